@@ -24,7 +24,7 @@ def parse_date(c: str | Column) -> Column:
     ``2010-01-05T00:00:00Z`` and ``2010-01-05`` give 2010-01-05; text that is
     not a date gives null (never an error under ANSI mode).
     """
-    return F.try_to_date(F.left(_col(c).cast("string"), F.lit(10)), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.left(_col(c).cast("string"), F.lit(10)), "yyyy-MM-dd")
 
 
 def parse_iso_date(c: str | Column) -> Column:

@@ -174,13 +174,13 @@ def case_branches(tables: EventTables, rules: CohortRules) -> DataFrame:
 
 
 def controls(tables: EventTables, rules: CohortRules) -> DataFrame:
-    """``(patient_id)`` of control patients (a diagnosis row is not needed).
+    """``(patient_id)`` meeting the control rules (a diagnosis row is not needed).
 
-    A case patient that also meets the control rules is not listed, so
-    controls and cases never overlap.
+    This is the rule set alone; in :func:`phenotype` a patient who is also a
+    case keeps the case label.
     """
-    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab)
-    return flags.where(label_column() == CONTROL).select("patient_id")
+    flags = patient_flags(rules, dx=tables.dx, lab=tables.lab)
+    return flags.where(is_control()).select("patient_id")
 
 
 # --- single-table patient sets ------------------------------------------------
