@@ -28,12 +28,17 @@ def parse_date(c: str | Column) -> Column:
 
 
 def parse_iso_date(c: str | Column) -> Column:
-    """Date of an ISO-8601 date-time with zone, e.g. ``2010-01-05T00:00:00Z``.
+    """UTC calendar date of an ISO-8601 date-time with zone.
 
-    The instant is converted to the session time zone before taking the date.
-    Bad text gives null.
+    ``2010-01-05T00:00:00Z`` gives 2010-01-05 and ``2010-01-05T00:00:00+02:00``
+    gives 2010-01-04 whatever the session time zone; bad text gives null.
     """
-    return F.try_to_timestamp(_col(c).cast("string"), F.lit("yyyy-MM-dd'T'HH:mm:ssX")).cast("date")
+    text = _col(c).cast("string")
+    instant = F.coalesce(
+        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
+        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX")),
+    )
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / F.lit(86400)).cast("int"))
 
 
 def parse_number(c: str | Column) -> Column:

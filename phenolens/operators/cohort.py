@@ -103,7 +103,8 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
         parts.append(lab_row_flags(lab, rules))
     if not parts:
         raise ValueError("patient_flags needs at least one event table")
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).where(
+        F.col("patient_id").isNotNull())
     for name, dtype in (("in_dx", "boolean"), ("dx_target", "boolean"),
                         ("dx_excluding", "boolean"), ("dx_related", "boolean"),
                         ("med_excluding", "boolean"), ("med_target", "boolean"),

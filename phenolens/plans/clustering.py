@@ -3,9 +3,9 @@
 Model fitting is Spark ML's own (driver coordinates, executors scan); only
 model parameters (k centres, the PC matrix) reach the driver. The projected
 rows feed three fits, so they are range-partitioned by patient, sorted, and
-checkpointed: the fits then read a fixed, lineage-free input (same partition
-layout every run, so a fixed seed repeats; a lost executor re-reads the
-checkpoint instead of recomputing the feature pipeline).
+written once under ``spark.checkpoint.dir``: the fits then read a fixed,
+lineage-free input (same layout every run, so a fixed seed repeats; a lost
+executor re-reads the files instead of recomputing the feature pipeline).
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import feature_index, feature_matrix_long, patient_vectors
 from ..operators.metrics import paired_by_patient, purity
-from ..session import checkpoint_dir
+from ..session import materialize as materialize_table
 from ..streaming.kmeans import assign, random_centres, update
 
 # Settings of the published experiment.
@@ -43,8 +44,17 @@ class FeatureSpace:
     n_features: int
 
 
-def build_feature_space(tuples: DataFrame) -> FeatureSpace:
-    """Index, long matrix and dense patient vectors from feature tuples."""
+def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureSpace:
+    """Index, long matrix and dense patient vectors from feature tuples.
+
+    The tuples feed the index, its size and the long matrix. With
+    ``materialize`` they are written once under ``spark.checkpoint.dir``:
+    the aggregated tuples are far smaller than the raw events, so writing
+    them beats re-running the event scans and joins for every consumer, and
+    a lost executor re-reads them instead of recomputing the lineage.
+    """
+    if materialize:
+        tuples = materialize_table(tuples, "feature-tuples")
     index = feature_index(tuples)
     n_features = index.count()
     long_form = feature_matrix_long(tuples, index, n_features)
@@ -52,31 +62,37 @@ def build_feature_space(tuples: DataFrame) -> FeatureSpace:
 
 
 def _stable(df: DataFrame, key: str = "patient_id") -> DataFrame:
-    """Fixed layout (range by key, sorted) and a reliable checkpoint."""
-    checkpoint_dir(df.sparkSession)
+    """Fixed layout (range by key, sorted), written once and read back."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(parts, key).sortWithinPartitions(key).checkpoint(eager=True)
+    return materialize_table(df.repartitionByRange(parts, key).sortWithinPartitions(key), "projection")
 
 
-def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS,
-                   clip_k: bool = False) -> tuple[PipelineModel, DataFrame]:
+def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS, clip_k: bool = False,
+                   n_features: int | None = None) -> tuple[PipelineModel, DataFrame]:
     """StandardScaler(mean, std) then PCA(k); returns the model and ``(patient_id, pca vector)``.
 
     The projection is ``scaled row x PC matrix`` (not re-centred). PCA needs
     at least ``k`` features; ``clip_k=True`` lowers k to the feature count.
+    The ML input is persisted for the scaler pass, the PCA passes and the
+    projection, then released once the projection is written.
     """
-    ml_in = vectors.select("patient_id", array_to_vector("features").alias("raw"))
-    n_features = len(vectors.select("features").first()["features"])
+    if n_features is None:
+        n_features = len(vectors.select("features").first()["features"])
     if clip_k:
         k = min(k, n_features)
     elif n_features < k:
         raise ValueError(f"PCA with k={k} needs at least {k} features, got {n_features}")
-    pipeline = Pipeline(stages=[
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        PCA(k=k, inputCol="scaled", outputCol="pca"),
-    ])
-    model = pipeline.fit(ml_in)
-    projection = _stable(model.transform(ml_in).select("patient_id", "pca"))
+    ml_in = vectors.select("patient_id", array_to_vector("features").alias("raw")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        pipeline = Pipeline(stages=[
+            StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
+            PCA(k=k, inputCol="scaled", outputCol="pca"),
+        ])
+        model = pipeline.fit(ml_in)
+        projection = _stable(model.transform(ml_in).select("patient_id", "pca"))
+    finally:
+        ml_in.unpersist()
     return model, projection
 
 
@@ -110,9 +126,10 @@ def streaming_kmeans_clusters(projection: DataFrame, k: int = K_CLUSTERS, seed:
     return assign(points, new_centres).select("patient_id", "cluster")
 
 
-def evaluate(labels: DataFrame, vectors: DataFrame, feature_set: str) -> DataFrame:
+def evaluate(labels: DataFrame, vectors: DataFrame, feature_set: str,
+             n_features: int | None = None) -> DataFrame:
     """Three purities for one feature set: ``(feature_set, algorithm, n_pairs, purity)``."""
-    _, projection = fit_projection(vectors)
+    _, projection = fit_projection(vectors, n_features=n_features)
     runs = {
         "kmeans": kmeans_clusters(projection),
         "gmm": gmm_clusters(projection),
@@ -131,5 +148,5 @@ def purity_report(labels: DataFrame, tuples_all: DataFrame, tuples_filtered: Dat
     parts = []
     for name, tuples in (("all", tuples_all), ("filtered", tuples_filtered)):
         space = build_feature_space(tuples)
-        parts.append(evaluate(labels, space.vectors, name))
+        parts.append(evaluate(labels, space.vectors, name, space.n_features))
     return parts[0].unionByName(parts[1])

@@ -215,12 +215,14 @@ def q_patient_vectors(spark, sf):
 # --- C21-C29: models and purity ----------------------------------------------
 
 def q_pca_projection(spark, sf):
-    _, projection = clustering.fit_projection(_space(spark, sf).vectors)
+    space = _space(spark, sf)
+    _, projection = clustering.fit_projection(space.vectors, n_features=space.n_features)
     return projection.select("patient_id", vector_to_array("pca").alias("pca"))
 
 
 def _projection(spark, sf):
-    return clustering.fit_projection(_space(spark, sf).vectors)[1]
+    space = _space(spark, sf)
+    return clustering.fit_projection(space.vectors, n_features=space.n_features)[1]
 
 
 def q_kmeans_clusters(spark, sf):

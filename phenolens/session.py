@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -72,3 +73,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return local
     raise RuntimeError(
         "spark.checkpoint.dir is not set: point it at a folder every executor can reach")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the input once
+    (a reliable RDD checkpoint runs its input a second time to write it), and
+    the result is a columnar table with exact sizes for AQE and pushdown for
+    later filters. The folder name is unique per call.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/phenolens-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
