@@ -74,12 +74,16 @@ def med_row_flags(med: DataFrame, rules: CohortRules) -> DataFrame:
     )
 
 
-def lab_row_flags(lab: DataFrame, rules: CohortRules) -> DataFrame:
-    return lab.select(
+def lab_row_flags(lab: DataFrame, rules: CohortRules, with_stat: bool = False) -> DataFrame:
+    cols = [
         "patient_id",
         _marker(F.col("test_name"), rules).alias("lab_marker"),
         abnormal_lab("test_name", "value", rules.abnormal_labs).alias("lab_abnormal"),
-    )
+    ]
+    if with_stat:
+        is_stat = F.lower(F.col("test_name")) == F.lit(rules.stat_test.lower())
+        cols.append(F.when(is_stat, F.col("value")).alias("stat_value"))
+    return lab.select(*cols)
 
 
 def _any(name: str) -> Column:
@@ -87,12 +91,15 @@ def _any(name: str) -> Column:
 
 
 def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
-                  med: DataFrame | None = None, lab: DataFrame | None = None) -> DataFrame:
+                  med: DataFrame | None = None, lab: DataFrame | None = None,
+                  with_stat: bool = False) -> DataFrame:
     """One row per patient seen in any given table, with every rule flag.
 
     Columns: ``patient_id, in_dx, dx_target, dx_excluding, dx_related,
     med_excluding, med_target, first_excluding_date, first_target_date,
     lab_marker, lab_abnormal``. Flags of a table that is not given are false.
+    ``with_stat`` adds ``stat_sum`` and ``stat_n``: sum and count of the
+    values of ``rules.stat_test`` for the patient, from the same pass.
     """
     parts = []
     if dx is not None:
@@ -100,7 +107,7 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
     if med is not None:
         parts.append(med_row_flags(med, rules))
     if lab is not None:
-        parts.append(lab_row_flags(lab, rules))
+        parts.append(lab_row_flags(lab, rules, with_stat))
     if not parts:
         raise ValueError("patient_flags needs at least one event table")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).where(
@@ -112,13 +119,18 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
                         ("lab_marker", "boolean"), ("lab_abnormal", "boolean")):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(dtype))
-    flags = rows.groupBy("patient_id").agg(
+    aggs = [
         _any("in_dx"), _any("dx_target"), _any("dx_excluding"), _any("dx_related"),
         _any("med_excluding"), _any("med_target"),
         F.min("excluding_date").alias("first_excluding_date"),
         F.min("target_date").alias("first_target_date"),
         _any("lab_marker"), _any("lab_abnormal"),
-    )
+    ]
+    if with_stat:
+        if "stat_value" not in rows.columns:
+            rows = rows.withColumn("stat_value", F.lit(None).cast("double"))
+        aggs += [F.sum("stat_value").alias("stat_sum"), F.count("stat_value").alias("stat_n")]
+    flags = rows.groupBy("patient_id").agg(*aggs)
     if rules.exclusion == "patient":
         flags = flags.withColumn("dx_target", F.col("dx_target") & ~F.col("dx_excluding"))
     return flags
@@ -160,6 +172,23 @@ def phenotype(tables: EventTables, rules: CohortRules) -> DataFrame:
     )
 
 
+def label_stat(tables: EventTables, rules: CohortRules) -> DataFrame:
+    """Mean of ``rules.stat_test`` per label in one pass over the events.
+
+    ``(label int, mean_value double, n_rows bigint)``; same result as
+    :func:`phenolens.operators.stats.lab_mean_by_label` on the labels, but the
+    labels and the per-patient sums come out of the same aggregation, so the
+    events are read and shuffled once.
+    """
+    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab, with_stat=True)
+    return (
+        flags.select(label_column().cast("int").alias("label"), "stat_sum", "stat_n")
+        .where(F.col("label").isNotNull() & (F.col("stat_n") > 0))
+        .groupBy("label")
+        .agg((F.sum("stat_sum") / F.sum("stat_n")).alias("mean_value"), F.sum("stat_n").alias("n_rows"))
+    )
+
+
 def label_counts(labels: DataFrame) -> DataFrame:
     """``(label int, n_patients bigint)``."""
     return labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_patients"))

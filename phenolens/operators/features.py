@@ -155,20 +155,24 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
 
 
 def feature_matrix_long(tuples: DataFrame, index: DataFrame,
-                        n_features: int | None = None) -> DataFrame:
+                        n_features: int | None = None, salt_buckets: int = 32) -> DataFrame:
     """``(patient_id, idx int, value double)``, duplicates per (patient, idx) summed.
 
-    The index is broadcast only when its row count is known and below
-    :data:`BROADCAST_INDEX_MAX_ROWS`; otherwise the join shuffles.
+    The index is broadcast only when its row count is known and at most
+    :data:`BROADCAST_INDEX_MAX_ROWS`. A larger dictionary is joined with a
+    shuffle on (feature, salt): every tuple gets a salt from its patient and
+    the index is copied once per salt value, so a feature carried by a large
+    share of all tuples is spread over ``salt_buckets`` tasks.
     """
     if n_features is None:
         n_features = index.count()
-    side = F.broadcast(index) if n_features <= BROADCAST_INDEX_MAX_ROWS else index
-    return (
-        tuples.join(side, "feature")
-        .groupBy("patient_id", "idx")
-        .agg(F.sum("value").alias("value"))
-    )
+    if n_features <= BROADCAST_INDEX_MAX_ROWS:
+        joined = tuples.join(F.broadcast(index), "feature")
+    else:
+        salted = tuples.withColumn("_salt", F.pmod(F.xxhash64("patient_id"), F.lit(salt_buckets)))
+        copies = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        joined = salted.join(copies, ["feature", "_salt"]).drop("_salt")
+    return joined.groupBy("patient_id", "idx").agg(F.sum("value").alias("value"))
 
 
 def _densify_udf(n_features: int):

@@ -144,7 +144,11 @@ def evaluate(labels: DataFrame, vectors: DataFrame, feature_set: str,
 
 
 def purity_report(labels: DataFrame, tuples_all: DataFrame, tuples_filtered: DataFrame) -> DataFrame:
-    """Six purities: k-means, GMM, streaming k-means on all and on filtered features."""
+    """Six purities: k-means, GMM, streaming k-means on all and on filtered features.
+
+    The labels are joined six times, so they are written once first.
+    """
+    labels = materialize_table(labels.select("patient_id", "label"), "labels")
     parts = []
     for name, tuples in (("all", tuples_all), ("filtered", tuples_filtered)):
         space = build_feature_space(tuples)

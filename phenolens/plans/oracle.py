@@ -173,6 +173,7 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT b.label, round(avg(l.value), 6) AS mean_value, count(*) AS n_rows
             FROM lab l JOIN labels b ON b.patient_id = l.patient_id
             WHERE lower(l.test_name) = '{R.stat_test}' GROUP BY b.label""")
+    q["lab_mean_by_label_one_pass"] = q["lab_mean_by_label"]
     all_t, filt_t = _tuple_ctes(False), _tuple_ctes(True)
     q["features_diagnostic"] = _with(*all_t) + "SELECT patient_id, feature, value FROM f_dx"
     q["features_medication"] = _with(*all_t) + "SELECT patient_id, feature, value FROM f_med"

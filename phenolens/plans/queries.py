@@ -119,11 +119,18 @@ def q_phenotype_labels_patient_exclusion(spark, sf):
 
 
 def q_lab_mean_by_label(spark, sf):
+    """Two-input form: labels, then the lab table joined to them."""
     t = _tables(spark, sf)
     out = stats.lab_mean_by_label(t.lab, cohort.phenotype(t, RULES), RULES.stat_test)
     return out.select("label", _r("mean_value"), "n_rows")
 
 
+def q_lab_mean_by_label_one_pass(spark, sf):
+    """Same statistic with labels and sums from one aggregation."""
+    out = cohort.label_stat(_tables(spark, sf), RULES)
+    return out.select("label", _r("mean_value"), "n_rows")
+
+
 # --- C13-C20: features ---------------------------------------------------------
 
 def _tuples_all(spark, sf):
@@ -294,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "phenotype_label_counts": q_phenotype_label_counts,
     "phenotype_labels_patient_exclusion": q_phenotype_labels_patient_exclusion,
     "lab_mean_by_label": q_lab_mean_by_label,
+    "lab_mean_by_label_one_pass": q_lab_mean_by_label_one_pass,
     "features_diagnostic": q_features_diagnostic,
     "features_medication": q_features_medication,
     "features_lab": q_features_lab,

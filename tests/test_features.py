@@ -100,3 +100,24 @@ def test_constant_feature_scales_to_zero(spark):
     mom = moments.feature_moments(space.matrix_long, 2)
     scaled = {(r.patient_id, r.idx): r.value for r in moments.scaled_long(space.matrix_long, mom, 2).collect()}
     assert scaled[("p1", 0)] == 0.0 and scaled[("p2", 0)] == 0.0
+
+
+def test_salted_index_join_matches_broadcast(spark, monkeypatch):
+    t = synthetic_event_tables(spark, "/root/testdata/sf0.001")
+    tuples = features.feature_tuples(t)
+    index = features.feature_index(tuples)
+    plain = sorted(tuple(r) for r in features.feature_matrix_long(tuples, index, 206).collect())
+    monkeypatch.setattr(features, "BROADCAST_INDEX_MAX_ROWS", 10)
+    salted_df = features.feature_matrix_long(tuples, index, 206, salt_buckets=4)
+    assert "_salt" in salted_df._jdf.queryExecution().logical().toString()
+    assert sorted(tuple(r) for r in salted_df.collect()) == plain
+
+
+def test_label_stat_one_pass_equals_two_input_form(spark):
+    from phenolens.operators import cohort, stats
+    from phenolens.rules import SYNTHETIC_RULES
+    t = synthetic_event_tables(spark, "/root/testdata/sf0.01")
+    a = {r.label: (round(r.mean_value, 9), r.n_rows) for r in cohort.label_stat(t, SYNTHETIC_RULES).collect()}
+    b = {r.label: (round(r.mean_value, 9), r.n_rows) for r in stats.lab_mean_by_label(
+        t.lab, cohort.phenotype(t, SYNTHETIC_RULES), "purchase").collect()}
+    assert a == b and a[2][1] == 723
