@@ -54,3 +54,14 @@ def test_purity_report(spark, space):
     assert [r.algorithm for r in rep] == ["kmeans", "gmm", "streaming_kmeans"]
     for r in rep:
         assert r.n_pairs == 148 and 1 / 3 <= r.purity <= 1
+
+
+def test_score_new_patients_with_fitted_model(spark, space):
+    _, sp = space
+    model, proj = clustering.fit_projection(sp.vectors, n_features=sp.n_features)
+    scored = {r.patient_id: r.p for r in clustering.score(model, sp.vectors).select(
+        "patient_id", vector_to_array("pca").alias("p")).collect()}
+    fitted = {r.patient_id: r.p for r in proj.select("patient_id", vector_to_array("pca").alias("p")).collect()}
+    assert scored.keys() == fitted.keys()
+    pid = next(iter(scored))
+    assert np.allclose(scored[pid], fitted[pid])
