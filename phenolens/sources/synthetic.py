@@ -13,14 +13,29 @@ match as joining the text forms and avoids casting billions of keys.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .clinical import EventTables
 
 
+# Schemas already read, by local path and modification time: a repeated read
+# passes the schema instead of launching a footer-reading job again.
+_SCHEMAS: dict[tuple[str, float], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (path, os.path.getmtime(path)) if os.path.exists(path) else None
+    if key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if key is not None:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def encounter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
