@@ -217,6 +217,7 @@ def oracle_sql() -> dict[str, str]:
         FROM per_cluster"""
     q["purity_cohort_modes"] = _purity_modes_sql()
     q["streaming_kmeans_update"] = _streaming_sql()
+    q["streaming_kmeans_stream"] = _streaming_sql()
     return q
 
 

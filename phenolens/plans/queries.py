@@ -8,6 +8,7 @@ oracle of :mod:`phenolens.plans.oracle` value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -25,6 +26,7 @@ from ..rules import (
 from ..sources import synthetic
 from ..sources.clinical import lab_events
 from ..streaming import kmeans as skm
+from ..session import checkpoint_dir
 from . import clustering
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +287,24 @@ def q_streaming_kmeans_update(spark, sf):
     return skm.centres_long(new).select("cluster", _r("weight"), "dim", _r("center"))
 
 
+def q_streaming_kmeans_stream(spark, sf):
+    """The same update driven by Structured Streaming over the embeddings file.
+
+    The file arrives as one micro-batch, so the final centres equal
+    ``streaming_kmeans_update``. State and stream offsets live in a fresh
+    folder under ``spark.checkpoint.dir``.
+    """
+    points = _embedding_points(spark, sf)
+    first = points.orderBy("vec_id").limit(STREAM_K).collect()  # k start centres
+    centres = skm.centres_frame(spark, [list(r["features"]) for r in first], 0.5)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-stream-{uuid.uuid4().hex}"
+    model = skm.StreamingKMeans(f"{base}/state", centres, decay=1.0, time_unit="points")
+    stream = synthetic.stream_table(spark, sf, "embeddings").select(
+        F.slice("embedding", 1, STREAM_POINT_DIM).cast("array<double>").alias("features"))
+    final = skm.run_stream(stream, model, f"{base}/offsets")
+    return skm.centres_long(final).select("cluster", _r("weight"), "dim", _r("center"))
+
+
 QUERIES: dict[str, Query] = {
     "medication_events": q_medication_events,
     "lab_events": q_lab_events,
@@ -318,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "purity_from_pairs": q_purity_from_pairs,
     "purity_cohort_modes": q_purity_cohort_modes,
     "streaming_kmeans_update": q_streaming_kmeans_update,
+    "streaming_kmeans_stream": q_streaming_kmeans_stream,
     "patient_vectors": q_patient_vectors,
     "pca_projection": q_pca_projection,
     "kmeans_clusters": q_kmeans_clusters,

@@ -38,6 +38,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a Structured Streaming file source.
+
+    The file source watches folders; a one-character glob turns the single
+    file into a pattern the source can list. New files matching it arrive
+    as new micro-batches.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(path[:-1] + "[" + path[-1] + "]")
+
+
 def encounter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines joined to their order and part: one row per line."""
     orders = table(spark, sf_dir, "orders").select(

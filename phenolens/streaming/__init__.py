@@ -8,6 +8,7 @@ from .kmeans import (
     centres_long,
     nearest_centre,
     random_centres,
+    run_stream,
     update,
     update_centres,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "centres_long",
     "nearest_centre",
     "random_centres",
+    "run_stream",
     "update",
     "update_centres",
 ]

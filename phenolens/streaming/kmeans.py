@@ -190,3 +190,23 @@ class StreamingKMeans:
 
     def predict(self, points: DataFrame) -> DataFrame:
         return assign(points, self.latest(points.sparkSession), self.features_col)
+
+
+def run_stream(points: DataFrame, model: StreamingKMeans, checkpoint_location: str,
+               timeout_s: float | None = None) -> DataFrame:
+    """Feed a streaming DataFrame of points through ``model`` until the
+    available input is consumed (``availableNow``); return the latest centres.
+
+    ``checkpoint_location`` holds the stream's offsets, so a restarted query
+    resumes after the last committed micro-batch.
+    """
+    query = (
+        points.writeStream.foreachBatch(model.process_batch)
+        .option("checkpointLocation", checkpoint_location)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination(timeout_s)
+    if query.exception() is not None:
+        raise query.exception()
+    return model.latest(points.sparkSession)
