@@ -25,6 +25,7 @@ HEADLINE = [
     "phenotype_label_counts",
     "cohort_case_branches",
     "lab_mean_by_label",
+    "lab_mean_by_label_one_pass",
     "feature_tuples_all",
     "feature_tuples_filtered",
     "feature_index",
@@ -32,6 +33,7 @@ HEADLINE = [
     "feature_moments",
     "feature_covariance",
     "streaming_kmeans_update",
+    "streaming_kmeans_stream",
     "kmeans_clusters",
     "purity_report",
 ]
