@@ -24,6 +24,8 @@ TUPLE_COLUMNS = ("patient_id", "feature", "value")
 # is already past what a broadcast should carry, so stay well below).
 BROADCAST_INDEX_MAX_ROWS = 200_000
 
+INDEX_MAX_PARTITIONS = 64
+
 Allow = Iterable[str] | DataFrame | None
 
 
@@ -129,7 +131,10 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
     """
     spark = tuples.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # A dictionary of names is small next to the data; 64 ranges hold
+        # millions of names, and the explicit count keeps partition ids
+        # stable between the two reads of the ranked names.
+        num_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), INDEX_MAX_PARTITIONS)
     names = tuples.select("feature").where(F.col("feature").isNotNull()).distinct()
     ranked = (
         names.repartitionByRange(num_partitions, "feature")

@@ -61,9 +61,19 @@ def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureS
     return FeatureSpace(index, long_form, patient_vectors(long_form, n_features), n_features)
 
 
-def _stable(df: DataFrame, key: str = "patient_id") -> DataFrame:
-    """Fixed layout (range by key, sorted), written once and read back."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Rows per partition of the projected points (k=10 doubles, ~100 bytes a row).
+PROJECTION_ROWS_PER_PARTITION = 200_000
+
+
+def _stable(df: DataFrame, n_rows: int, key: str = "patient_id") -> DataFrame:
+    """Fixed layout (range by key, sorted), written once and read back.
+
+    The partition count follows the row count (one partition per
+    :data:`PROJECTION_ROWS_PER_PARTITION` rows), capped at four per core, so
+    every ML iteration runs tasks of a useful size on small and large inputs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-n_rows // PROJECTION_ROWS_PER_PARTITION), 4 * cores))
     return materialize_table(df.repartitionByRange(parts, key).sortWithinPartitions(key), "projection")
 
 
@@ -89,8 +99,9 @@ def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS, clip_k: bool = F
             StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
             PCA(k=k, inputCol="scaled", outputCol="pca"),
         ])
+        n_rows = ml_in.count()  # also fills the cache the fits read
         model = pipeline.fit(ml_in)
-        projection = _stable(model.transform(ml_in).select("patient_id", "pca"))
+        projection = _stable(model.transform(ml_in).select("patient_id", "pca"), n_rows)
     finally:
         ml_in.unpersist()
     return model, projection
