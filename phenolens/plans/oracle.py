@@ -248,7 +248,7 @@ def _streaming_sql() -> str:
     dims = 10
     return f"""
         WITH pts AS (
-               SELECT vec_id, d - 1 AS dim, CAST(embedding[d] AS DOUBLE) AS x
+               SELECT vec_id, CAST(d - 1 AS INTEGER) AS dim, CAST(embedding[d] AS DOUBLE) AS x
                FROM embeddings, range(1, {dims} + 1) AS r(d)),
              seeds AS (
                SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster
