@@ -166,6 +166,7 @@ def oracle_sql() -> dict[str, str]:
     q["cohort_case_branches"] = _with(*_case_ctes(R)) + "SELECT patient_id, branch FROM cases"
     q["cohort_controls"] = _with(*_control_ctes(R)) + "SELECT patient_id FROM controls"
     q["phenotype_labels"] = _with(*labels_row) + "SELECT patient_id, label FROM labels"
+    q["phenotype_labels_from_csv"] = q["phenotype_labels"]
     q["phenotype_label_counts"] = _with(*labels_row) + (
         "SELECT label, count(*) AS n_patients FROM labels GROUP BY label")
     q["phenotype_labels_patient_exclusion"] = _with(*labels_patient) + "SELECT patient_id, label FROM labels"

@@ -24,7 +24,8 @@ from ..rules import (
     SYNTHETIC_RULES,
 )
 from ..sources import synthetic
-from ..sources.clinical import lab_events
+from ..sources.clinical import lab_events, load_event_tables
+from ..sources.sinks import write_labels
 from ..streaming import kmeans as skm
 from ..session import checkpoint_dir
 from . import clustering
@@ -112,6 +113,21 @@ def q_phenotype_labels(spark, sf):
     return cohort.phenotype(_tables(spark, sf), RULES)
 
 
+def q_phenotype_labels_from_csv(spark, sf):
+    """End to end through the raw-text path.
+
+    The driver tables are rendered as the four raw CSV inputs under
+    ``spark.checkpoint.dir``, read back with the header CSV reader and the
+    cleaners, labelled, exported as ``patient<TAB>label`` text and read back.
+    Equals ``phenotype_labels``.
+    """
+    base = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-csv-{uuid.uuid4().hex}"
+    synthetic.write_raw_csvs(spark, sf, f"{base}/raw")
+    labels = cohort.phenotype(load_event_tables(spark, f"{base}/raw"), RULES)
+    write_labels(labels, f"{base}/labels")
+    return spark.read.schema("patient_id string, label int").option("sep", "\t").csv(f"{base}/labels")
+
+
 def q_phenotype_label_counts(spark, sf):
     return cohort.label_counts(cohort.phenotype(_tables(spark, sf), RULES))
 
@@ -319,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "cohort_controls": q_cohort_controls,
     "phenotype_labels": q_phenotype_labels,
     "phenotype_label_counts": q_phenotype_label_counts,
+    "phenotype_labels_from_csv": q_phenotype_labels_from_csv,
     "phenotype_labels_patient_exclusion": q_phenotype_labels_patient_exclusion,
     "lab_mean_by_label": q_lab_mean_by_label,
     "lab_mean_by_label_one_pass": q_lab_mean_by_label_one_pass,

@@ -106,3 +106,43 @@ def synthetic_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
 def synthetic_event_tables(spark: SparkSession, sf_dir: str) -> EventTables:
     lines = encounter_lines(spark, sf_dir)
     return EventTables(dx=_dx(lines), med=_med(lines), lab=_lab(spark, sf_dir))
+
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def write_raw_csvs(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Render the driver tables as the four raw health-record CSV inputs.
+
+    Keys and numbers become text, dates become ISO date-times, lab values get
+    thousands separators; :func:`phenolens.sources.load_event_tables` must
+    turn them back into the same event tables.
+    """
+    from .clinical import ENCOUNTER_DX_FILE, ENCOUNTER_FILE, LAB_FILE, MEDICATION_FILE
+
+    def out(df: DataFrame, name: str) -> None:
+        df.write.mode("error").option("header", "true").csv(f"{folder.rstrip('/')}/{name}")
+
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    out(orders.select(
+        F.col("o_orderkey").cast("string").alias("Encounter_ID"),
+        F.col("o_custkey").cast("string").alias("Member_ID"),
+        F.date_format("o_orderdate", ISO).alias("Encounter_DateTime"),
+    ), ENCOUNTER_FILE)
+    out(lines.where(F.col("l_linenumber") == 1).select(
+        F.col("l_orderkey").cast("string").alias("Encounter_ID"),
+        F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("Code_ID"),
+    ), ENCOUNTER_DX_FILE)
+    out(lines.where(F.col("l_linenumber") > 1).select(
+        F.col("l_orderkey").cast("string").alias("Encounter_ID"),
+        F.date_format("l_shipdate", ISO).alias("Order_Date"),
+        F.col("p_name").alias("Drug_Name"),
+    ), MEDICATION_FILE)
+    out(table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("Member_ID"),
+        F.date_format("ts", ISO).alias("Date_Resulted"),
+        F.col("event_type").alias("Result_Name"),
+        F.format_number("value", 2).alias("Numeric_Result"),
+    ), LAB_FILE)
