@@ -18,6 +18,7 @@ from .features import (
     feature_index,
     feature_matrix_long,
     feature_tuples,
+    indexed_tuples,
     lab_features,
     medication_features,
     patient_vectors,
@@ -40,6 +41,7 @@ __all__ = [
     "feature_moments",
     "feature_tuples",
     "gram_long",
+    "indexed_tuples",
     "lab_abnormal_patients",
     "lab_features",
     "lab_marker_patients",

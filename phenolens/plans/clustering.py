@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.features import feature_index, feature_matrix_long, patient_vectors
+from ..operators.features import feature_index, feature_matrix_long, indexed_tuples, patient_vectors
 from ..operators.metrics import paired_by_patient, purity
 from ..session import materialize as materialize_table
 from ..streaming.kmeans import assign, random_centres, update
@@ -51,14 +51,20 @@ def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureS
     ``materialize`` they are written once under ``spark.checkpoint.dir``:
     the aggregated tuples are far smaller than the raw events, so writing
     them beats re-running the event scans and joins for every consumer, and
-    a lost executor re-reads them instead of recomputing the lineage.
+    a lost executor re-reads them instead of recomputing the lineage. The
+    index is written the same way.
     """
     if materialize:
         tuples = materialize_table(tuples, "feature-tuples")
-    index = feature_index(tuples)
+        # Small, but read by the size check and by every join below.
+        index = materialize_table(feature_index(tuples), "feature-index")
+    else:
+        index = feature_index(tuples)
     n_features = index.count()
     long_form = feature_matrix_long(tuples, index, n_features)
-    return FeatureSpace(index, long_form, patient_vectors(long_form, n_features), n_features)
+    # Vectors from the unsummed indexed tuples: one shuffle (by patient).
+    vectors = patient_vectors(indexed_tuples(tuples, index, n_features), n_features)
+    return FeatureSpace(index, long_form, vectors, n_features)
 
 
 # Rows per partition of the projected points (k=10 doubles, ~100 bytes a row).

@@ -63,3 +63,10 @@ def test_mini_batch_assignment_has_no_join(spark):
 def test_phenotype_has_no_python_udf(spark):
     p = plan(cohort.phenotype(Q._tables(spark, SF), Q.RULES))
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_vectors_need_one_shuffle(spark):
+    from phenolens.plans import clustering
+    sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)))
+    p = plan(sp.vectors)
+    assert p.count("Exchange hashpartitioning") == 1
