@@ -70,3 +70,16 @@ def test_vectors_need_one_shuffle(spark):
     sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)))
     p = plan(sp.vectors)
     assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_patient_is_combined_before_the_shuffle(spark):
+    """A patient owning a third of all rows still sends one row per map task."""
+    from helpers import tables
+    from phenolens.rules import DIABETES_RULES
+    hot = [("hot", "250.02", "2010-01-01")] * 300 + [(f"p{i}", "401.9", "2010-01-01") for i in range(600)]
+    t = tables(spark, dx=hot, lab=[("hot", "2010-01-01", "glucose", 90.0)] * 300)
+    df = cohort.phenotype(t, DIABETES_RULES)
+    p = plan(df)
+    head, _, tail = p.partition("Exchange hashpartitioning(patient_id")
+    assert "partial_max" in tail and "partial_min" in tail  # combined below the exchange
+    assert {r.patient_id: r.label for r in df.collect()}["hot"] == 1

@@ -98,3 +98,18 @@ def test_foreach_batch_stream(spark, tmpdir_fresh):
     final = model.latest(spark).orderBy("cluster").collect()
     assert [r.weight for r in final] == pytest.approx(list(w))
     assert model.predict(points_df(spark, batches[1])).select("cluster").distinct().count() >= 1
+
+
+def test_replayed_batch_writes_same_state(spark, tmpdir_fresh):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(50, 2))
+    model = skm.StreamingKMeans(os.path.join(tmpdir_fresh, "state"),
+                                skm.centres_frame(spark, [[0.0, 0.0], [1.0, 1.0]], 1.0))
+    batch = points_df(spark, x)
+    model.process_batch(batch, 0)
+    first = sorted((r.cluster, r.weight, tuple(r.center)) for r in model.latest(spark).collect())
+    model.process_batch(batch, 0)  # replay after a failure
+    again = sorted((r.cluster, r.weight, tuple(r.center)) for r in model.latest(spark).collect())
+    assert first == again
+    state = spark.read.parquet(os.path.join(tmpdir_fresh, "state"))
+    assert state.where("batch = 0").count() == 2
