@@ -43,6 +43,10 @@ def _target_code(code: Column, rules: CohortRules) -> Column:
     return target
 
 
+def _target_row(code: Column, rules: CohortRules) -> Column:
+    return in_set(code, rules.target_dx) & ~in_set(code, rules.excluding_dx)
+
+
 def _related_code(code: Column, rules: CohortRules) -> Column:
     return in_set(code, rules.related_dx) | contains_any(code, rules.related_contains)
 
@@ -56,7 +60,8 @@ def dx_row_flags(dx: DataFrame, rules: CohortRules) -> DataFrame:
     return dx.select(
         "patient_id",
         F.lit(True).alias("in_dx"),
-        _target_code(code, rules).alias("dx_target"),
+        _target_row(code, rules).alias("dx_target_row"),
+        in_set(code, rules.target_dx).alias("dx_target_any"),
         in_set(code, rules.excluding_dx).alias("dx_excluding"),
         _related_code(code, rules).alias("dx_related"),
     )
@@ -95,9 +100,11 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
                   with_stat: bool = False) -> DataFrame:
     """One row per patient seen in any given table, with every rule flag.
 
-    Columns: ``patient_id, in_dx, dx_target, dx_excluding, dx_related,
+    Columns: ``patient_id, in_dx, dx_target_row, dx_target_any, dx_excluding,
+    dx_related,
     med_excluding, med_target, first_excluding_date, first_target_date,
-    lab_marker, lab_abnormal``. Flags of a table that is not given are false.
+    lab_marker, lab_abnormal, dx_target``, where ``dx_target`` follows
+    ``rules.exclusion``. Flags of a table that is not given are false.
     ``with_stat`` adds ``stat_sum`` and ``stat_n``: sum and count of the
     values of ``rules.stat_test`` for the patient, from the same pass.
     """
@@ -112,7 +119,7 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
         raise ValueError("patient_flags needs at least one event table")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).where(
         F.col("patient_id").isNotNull())
-    for name, dtype in (("in_dx", "boolean"), ("dx_target", "boolean"),
+    for name, dtype in (("in_dx", "boolean"), ("dx_target_row", "boolean"), ("dx_target_any", "boolean"),
                         ("dx_excluding", "boolean"), ("dx_related", "boolean"),
                         ("med_excluding", "boolean"), ("med_target", "boolean"),
                         ("excluding_date", "date"), ("target_date", "date"),
@@ -120,7 +127,8 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(dtype))
     aggs = [
-        _any("in_dx"), _any("dx_target"), _any("dx_excluding"), _any("dx_related"),
+        _any("in_dx"), _any("dx_target_row"), _any("dx_target_any"), _any("dx_excluding"),
+        _any("dx_related"),
         _any("med_excluding"), _any("med_target"),
         F.min("excluding_date").alias("first_excluding_date"),
         F.min("target_date").alias("first_target_date"),
@@ -131,16 +139,21 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
             rows = rows.withColumn("stat_value", F.lit(None).cast("double"))
         aggs += [F.sum("stat_value").alias("stat_sum"), F.count("stat_value").alias("stat_n")]
     flags = rows.groupBy("patient_id").agg(*aggs)
-    if rules.exclusion == "patient":
-        flags = flags.withColumn("dx_target", F.col("dx_target") & ~F.col("dx_excluding"))
-    return flags
+    return flags.withColumn("dx_target", _target_flag(rules.exclusion))
+
+
+def _target_flag(exclusion: str) -> Column:
+    """Target-diagnosis flag of a patient under an exclusion mode."""
+    if exclusion == "row":
+        return F.col("dx_target_row")
+    return F.col("dx_target_any") & ~F.col("dx_excluding")
 
 
 # --- labels from flags --------------------------------------------------------
 
-def case_branch() -> Column:
+def case_branch(target: Column | None = None) -> Column:
     """1, 2 or 3 for the case branch a patient qualifies by, else null."""
-    target = F.col("dx_target")
+    target = F.col("dx_target") if target is None else target
     excl = F.col("med_excluding")
     tgt = F.col("med_target")
     first_before = F.col("first_target_date") < F.col("first_excluding_date")
@@ -155,9 +168,9 @@ def is_control() -> Column:
     return F.col("lab_marker") & ~F.col("lab_abnormal") & ~F.col("dx_related")
 
 
-def label_column() -> Column:
+def label_column(target: Column | None = None) -> Column:
     return (
-        F.when(case_branch().isNotNull(), F.lit(CASE))
+        F.when(case_branch(target).isNotNull(), F.lit(CASE))
         .when(is_control(), F.lit(CONTROL))
         .when(F.col("in_dx"), F.lit(OTHER))
     )
@@ -172,6 +185,22 @@ def phenotype(tables: EventTables, rules: CohortRules) -> DataFrame:
     )
 
 
+def phenotype_modes(tables: EventTables, rules: CohortRules) -> DataFrame:
+    """``(patient_id, label_row int, label_patient int)``: both exclusion modes, one pass.
+
+    Both labels come from the same flag aggregation (any target row, any
+    target-and-not-excluding row, any excluding row), so comparing the modes
+    reads and shuffles the events once. The labelled patients are the same in
+    both modes (a case needs a diagnosis row, and so does "other").
+    """
+    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab)
+    return flags.select(
+        "patient_id",
+        label_column(_target_flag("row")).cast("int").alias("label_row"),
+        label_column(_target_flag("patient")).cast("int").alias("label_patient"),
+    ).where(F.col("label_row").isNotNull())
+
+
 def label_stat(tables: EventTables, rules: CohortRules) -> DataFrame:
     """Mean of ``rules.stat_test`` per label in one pass over the events.
 

@@ -282,12 +282,13 @@ def q_purity_from_pairs(spark, sf):
 
 
 def q_purity_cohort_modes(spark, sf):
-    """Patient-mode labels as clusters against row-mode labels, paired by patient."""
-    t = _tables(spark, sf)
-    row = cohort.phenotype(t, RULES)
-    patient = cohort.phenotype(t, RULES.with_exclusion("patient")).select(
-        "patient_id", F.col("label").alias("cluster"))
-    return metrics.purity(metrics.paired_by_patient(patient, row)).select("n_pairs", _r("purity"))
+    """Patient-mode labels as clusters against row-mode labels, paired by patient.
+
+    Both labels come from one aggregation over the events.
+    """
+    both = cohort.phenotype_modes(_tables(spark, sf), RULES)
+    pairs = both.select(F.col("label_patient").alias("cluster"), F.col("label_row").alias("label"))
+    return metrics.purity(pairs).select("n_pairs", _r("purity"))
 
 
 def q_streaming_kmeans_update(spark, sf):

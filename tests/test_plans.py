@@ -83,3 +83,9 @@ def test_hot_patient_is_combined_before_the_shuffle(spark):
     head, _, tail = p.partition("Exchange hashpartitioning(patient_id")
     assert "partial_max" in tail and "partial_min" in tail  # combined below the exchange
     assert {r.patient_id: r.label for r in df.collect()}["hot"] == 1
+
+
+def test_both_exclusion_modes_in_one_pass(spark):
+    p = plan(Q.q_purity_cohort_modes(spark, SF))
+    assert p.count("hashpartitioning(patient_id") == 1
+    assert p.count("events.parquet") == 1
