@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.clinical import EventTables
 
 TUPLE_COLUMNS = ("patient_id", "feature", "value")
@@ -127,7 +128,9 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
     row's position inside its partition comes from
     ``monotonically_increasing_id`` (partition id in the upper bits, position in
     the lower 33 bits), and the per-partition start offsets come from a
-    running sum over the partition counts (one row per partition).
+    running sum over the partition counts (one row per partition). The ranks
+    are written once under ``spark.checkpoint.dir`` because two branches read
+    them.
     """
     spark = tuples.sparkSession
     if num_partitions is None:
@@ -136,7 +139,9 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
         # stable between the two reads of the ranked names.
         num_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), INDEX_MAX_PARTITIONS)
     names = tuples.select("feature").where(F.col("feature").isNotNull()).distinct()
-    ranked = (
+    # Written once: the counts and the final join both read these ranks, so
+    # the tuples upstream run once and both reads see the same positions.
+    ranked = materialize(
         names.repartitionByRange(num_partitions, "feature")
         .sortWithinPartitions("feature")
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -144,7 +149,8 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
             "feature",
             F.shiftright("_mid", 33).alias("_part"),
             F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
-        )
+        ),
+        "feature-ranks",
     )
     counts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a global window over it is tiny by construction.

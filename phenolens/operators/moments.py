@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .features import BROADCAST_INDEX_MAX_ROWS
 
 
@@ -95,6 +96,8 @@ def feature_covariance(vectors: DataFrame, moments: DataFrame, n_patients: int,
     feature is constant.
     """
     n = float(n_patients)
+    # Read twice (for i and for j): written once, one row per feature.
+    moments = materialize(moments.select("idx", "mean", "sd"), "moments")
     side = F.broadcast(moments) if n_features <= BROADCAST_INDEX_MAX_ROWS else moments
     mi = side.select(F.col("idx").alias("i"), F.col("mean").alias("mu_i"), F.col("sd").alias("sd_i"))
     mj = side.select(F.col("idx").alias("j"), F.col("mean").alias("mu_j"), F.col("sd").alias("sd_j"))
