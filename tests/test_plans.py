@@ -46,9 +46,11 @@ def test_column_pruning(spark):
 
 def test_feature_index_no_global_window_over_names(spark):
     t = Q._tables(spark, SF)
-    p = plan(features.feature_index(features.feature_tuples(t)))
+    index = features.feature_index(features.feature_tuples(t))
+    p = plan(index)
     # The range-partitioned ranks are written once and read by both branches.
-    assert "phenolens-feature-ranks" in p and "lineitem.parquet" not in p
+    files = index.inputFiles()
+    assert files and all("phenolens-feature-ranks" in f for f in files)
     # The only single-partition exchange feeds the per-partition counts window.
     assert p.count("SinglePartition") <= 1
 
