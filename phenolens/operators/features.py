@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources.clinical import EventTables
 
-TUPLE_COLUMNS = ("patient_id", "feature", "value")
-
 # Above this many features the index is joined with a shuffle instead of
 # being broadcast (about 100 bytes a name: 1M names ~ 100 MB on each executor
 # is already past what a broadcast should carry, so stay well below).

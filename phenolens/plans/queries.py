@@ -201,9 +201,8 @@ def q_feature_index(spark, sf):
     return features.feature_index(_tuples_all(spark, sf))
 
 
-def _space(spark, sf, filtered: bool = False):
-    tuples = _tuples_filtered(spark, sf) if filtered else _tuples_all(spark, sf)
-    return clustering.build_feature_space(tuples)
+def _space(spark, sf):
+    return clustering.build_feature_space(_tuples_all(spark, sf))
 
 
 def q_feature_matrix_long(spark, sf):
