@@ -80,7 +80,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", help="folder for labels/ and feature_tuples/ (tab-separated)")
     parser.add_argument("--rules", choices=sorted(RULE_SETS), default="diabetes")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("phenolens-study").getOrCreate()
+    spark = (SparkSession.builder.appName("phenolens-study")
+             .config("spark.ui.enabled", "false").getOrCreate())
     study = run_study(spark, args.raw_folder, args.allow_folder, RULE_SETS[args.rules])
     if args.out:
         write_labels(study.labels, os.path.join(args.out, "labels"))
