@@ -17,11 +17,18 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.features import feature_index, feature_matrix_long, indexed_tuples, patient_vectors
+from ..operators.features import (
+    BROADCAST_INDEX_MAX_ROWS,
+    feature_index,
+    feature_matrix_long,
+    indexed_tuples,
+    patient_vectors,
+)
 from ..operators.metrics import paired_by_patient, purity
 from ..session import materialize as materialize_table
 from ..streaming.kmeans import assign, random_centres, update
@@ -119,6 +126,38 @@ def score(model: PipelineModel, vectors: DataFrame) -> DataFrame:
     return model.transform(ml_in).select("patient_id", "pca")
 
 
+def score_long(model: PipelineModel, long_form: DataFrame) -> DataFrame:
+    """Project patients from ``(patient_id, idx, value)`` rows, never densifying.
+
+    Scaling and projection are linear: ``scaled_i = (x_i - mean_i) * w_i``
+    with ``w_i = 1 / sd_i`` (0 for a constant feature), and the projection is
+    ``sum_i scaled_i * PC_i``. So every present tuple adds
+    ``value * w_i * PC_i`` to its patient, and the absent zeros add one
+    constant ``-sum_i mean_i * w_i * PC_i``. The weighted PC rows (features x k
+    model parameters) are broadcast behind the same size check as the feature
+    index; one ``groupBy(patient_id)`` with partial sums does the rest.
+    Result ``(patient_id, pca array<double>)`` equals ``score`` on the dense
+    vectors, for patients with at least one tuple.
+    """
+    scaler, pca = model.stages[0], model.stages[1]
+    mean, std = scaler.mean.toArray(), scaler.std.toArray()
+    pc = pca.pc.toArray()  # features x k
+    w = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
+    weighted = pc * w[:, None]
+    offset = -(mean * w) @ pc
+    n, k = pc.shape
+    spark = long_form.sparkSession
+    table = spark.createDataFrame(
+        [(i, weighted[i].tolist()) for i in range(n)], "idx int, wpc array<double>")
+    side = F.broadcast(table) if n <= BROADCAST_INDEX_MAX_ROWS else table
+    parts = long_form.join(side, "idx").select(
+        "patient_id", *[(F.col("value") * F.col("wpc")[d]).alias(f"_c{d}") for d in range(k)])
+    sums = parts.groupBy("patient_id").agg(*[F.sum(f"_c{d}").alias(f"_c{d}") for d in range(k)])
+    return sums.select(
+        "patient_id",
+        F.array(*[F.col(f"_c{d}") + F.lit(float(offset[d])) for d in range(k)]).alias("pca"))
+
+
 def kmeans_clusters(projection: DataFrame, k: int = K_CLUSTERS, seed: int = SEED,
                     max_iter: int = KMEANS_MAX_ITER) -> DataFrame:
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="pca",

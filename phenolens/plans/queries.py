@@ -244,6 +244,13 @@ def q_pca_projection(spark, sf):
     return projection.select("patient_id", vector_to_array("pca").alias("pca"))
 
 
+def q_pca_projection_long(spark, sf):
+    """Fitted scaler + PCA applied to the long form (no dense vectors)."""
+    space = _space(spark, sf)
+    model, _ = clustering.fit_projection(space.vectors, n_features=space.n_features)
+    return clustering.score_long(model, space.matrix_long)
+
+
 def _projection(spark, sf):
     space = _space(spark, sf)
     return clustering.fit_projection(space.vectors, n_features=space.n_features)[1]
@@ -358,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "streaming_kmeans_stream": q_streaming_kmeans_stream,
     "patient_vectors": q_patient_vectors,
     "pca_projection": q_pca_projection,
+    "pca_projection_long": q_pca_projection_long,
     "kmeans_clusters": q_kmeans_clusters,
     "gmm_clusters": q_gmm_clusters,
     "streaming_kmeans_clusters": q_streaming_kmeans_clusters,

@@ -65,3 +65,14 @@ def test_score_new_patients_with_fitted_model(spark, space):
     assert scored.keys() == fitted.keys()
     pid = next(iter(scored))
     assert np.allclose(scored[pid], fitted[pid])
+
+
+def test_score_long_equals_dense_projection(spark, space):
+    _, sp = space
+    model, _ = clustering.fit_projection(sp.vectors, n_features=sp.n_features)
+    dense = {r.patient_id: r.p for r in clustering.score(model, sp.vectors).select(
+        "patient_id", vector_to_array("pca").alias("p")).collect()}
+    sparse = {r.patient_id: r.pca for r in clustering.score_long(model, sp.matrix_long).collect()}
+    assert dense.keys() == sparse.keys()
+    for pid, vec in dense.items():
+        assert np.allclose(sparse[pid], vec, atol=1e-9)

@@ -92,3 +92,12 @@ def test_both_exclusion_modes_in_one_pass(spark):
     p = plan(Q.q_purity_cohort_modes(spark, SF))
     assert p.count("hashpartitioning(patient_id") == 1
     assert p.count("events.parquet") == 1
+
+
+def test_long_form_scoring_stays_in_the_jvm(spark):
+    from phenolens.plans import clustering
+    sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)))
+    model, _ = clustering.fit_projection(sp.vectors, n_features=sp.n_features)
+    p = plan(clustering.score_long(model, sp.matrix_long))
+    assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+    assert "patient_id" in p and p.count("Exchange hashpartitioning") == 2  # (patient, idx) sums, then patient
