@@ -101,10 +101,10 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
     """One row per patient seen in any given table, with every rule flag.
 
     Columns: ``patient_id, in_dx, dx_target_row, dx_target_any, dx_excluding,
-    dx_related,
-    med_excluding, med_target, first_excluding_date, first_target_date,
-    lab_marker, lab_abnormal, dx_target``, where ``dx_target`` follows
-    ``rules.exclusion``. Flags of a table that is not given are false.
+    dx_related, med_excluding, med_target, first_excluding_date,
+    first_target_date, lab_marker, lab_abnormal, dx_target``, where
+    ``dx_target`` follows ``rules.exclusion``. Flags of a table that is not
+    given are false.
     ``with_stat`` adds ``stat_sum`` and ``stat_n``: sum and count of the
     values of ``rules.stat_test`` for the patient, from the same pass.
     """

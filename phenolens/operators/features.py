@@ -132,9 +132,9 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
     """
     spark = tuples.sparkSession
     if num_partitions is None:
-        # A dictionary of names is small next to the data; 64 ranges hold
-        # millions of names, and the explicit count keeps partition ids
-        # stable between the two reads of the ranked names.
+        # A dictionary of names is small next to the data, and 64 ranges hold
+        # millions of names. With an explicit count AQE keeps the ranges as
+        # they are, one partition id per range.
         num_partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), INDEX_MAX_PARTITIONS)
     names = tuples.select("feature").where(F.col("feature").isNotNull()).distinct()
     # Written once: the counts and the final join both read these ranks, so
