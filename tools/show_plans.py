@@ -21,7 +21,7 @@ from phenolens.session import local_session  # noqa: E402
 DEFAULT = [
     "phenotype_labels", "lab_mean_by_label_one_pass", "purity_cohort_modes", "feature_tuples_filtered",
     "feature_index", "feature_matrix_long", "patient_vectors", "feature_moments", "feature_covariance",
-    "streaming_kmeans_update",
+    "streaming_kmeans_update", "pca_projection_long",
 ]
 
 
