@@ -163,25 +163,33 @@ def feature_index(tuples: DataFrame, num_partitions: int | None = None) -> DataF
         "feature", (F.col("_offset") + F.col("_pos")).cast("int").alias("idx"))
 
 
+def join_per_feature(rows: DataFrame, table: DataFrame, key: str, n_table: int,
+                     salt_buckets: int = 32) -> DataFrame:
+    """Inner join of per-patient rows with a one-row-per-feature table on ``key``.
+
+    The table is broadcast when its row count ``n_table`` is at most
+    :data:`BROADCAST_INDEX_MAX_ROWS`. Otherwise the join shuffles on
+    (key, salt): each row gets a salt from its patient, and the table is
+    copied once per salt value, so a feature carried by a large share of all
+    rows is spread over ``salt_buckets`` tasks.
+    """
+    if n_table <= BROADCAST_INDEX_MAX_ROWS:
+        return rows.join(F.broadcast(table), key)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("patient_id"), F.lit(salt_buckets)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
+
+
 def indexed_tuples(tuples: DataFrame, index: DataFrame,
                    n_features: int | None = None, salt_buckets: int = 32) -> DataFrame:
     """``(patient_id, idx int, value double)``: each tuple with its feature number.
 
-    The index is broadcast only when its row count is known and at most
-    :data:`BROADCAST_INDEX_MAX_ROWS`. A larger dictionary is joined with a
-    shuffle on (feature, salt): every tuple gets a salt from its patient and
-    the index is copied once per salt value, so a feature carried by a large
-    share of all tuples is spread over ``salt_buckets`` tasks. A name used in
-    two domains gives two rows with the same index.
+    Joined through :func:`join_per_feature` (bounded broadcast, else salted
+    shuffle). A name used in two domains gives two rows with the same index.
     """
     if n_features is None:
         n_features = index.count()
-    if n_features <= BROADCAST_INDEX_MAX_ROWS:
-        joined = tuples.join(F.broadcast(index), "feature")
-    else:
-        salted = tuples.withColumn("_salt", F.pmod(F.xxhash64("patient_id"), F.lit(salt_buckets)))
-        copies = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        joined = salted.join(copies, ["feature", "_salt"])
+    joined = join_per_feature(tuples, index, "feature", n_features, salt_buckets)
     return joined.select("patient_id", "idx", "value")
 
 

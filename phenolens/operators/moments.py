@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .features import BROADCAST_INDEX_MAX_ROWS
+from .features import BROADCAST_INDEX_MAX_ROWS, join_per_feature
 
 
 def count_patients(matrix_long: DataFrame) -> int:
@@ -54,10 +54,9 @@ def feature_moments(matrix_long: DataFrame, n_patients: int | None = None) -> Da
 
 def scaled_long(matrix_long: DataFrame, moments: DataFrame, n_features: int) -> DataFrame:
     """``(patient_id, idx, value)`` standardised; present tuples only."""
-    side = F.broadcast(moments) if n_features <= BROADCAST_INDEX_MAX_ROWS else moments
     scaled = F.when(F.col("sd") > 0, (F.col("value") - F.col("mean")) / F.col("sd")).otherwise(F.lit(0.0))
-    return matrix_long.join(side.select("idx", "mean", "sd"), "idx").select(
-        "patient_id", "idx", scaled.alias("value"))
+    joined = join_per_feature(matrix_long, moments.select("idx", "mean", "sd"), "idx", n_features)
+    return joined.select("patient_id", "idx", scaled.alias("value"))
 
 
 def _gram_partials(n_features: int):

@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import (
-    BROADCAST_INDEX_MAX_ROWS,
     feature_index,
     feature_matrix_long,
     indexed_tuples,
+    join_per_feature,
     patient_vectors,
 )
 from ..operators.metrics import paired_by_patient, purity
@@ -134,8 +134,9 @@ def score_long(model: PipelineModel, long_form: DataFrame) -> DataFrame:
     ``sum_i scaled_i * PC_i``. So every present tuple adds
     ``value * w_i * PC_i`` to its patient, and the absent zeros add one
     constant ``-sum_i mean_i * w_i * PC_i``. The weighted PC rows (features x k
-    model parameters) are broadcast behind the same size check as the feature
-    index; one ``groupBy(patient_id)`` with partial sums does the rest.
+    model parameters) are joined like the feature index (bounded broadcast,
+    else salted shuffle); one ``groupBy(patient_id)`` with partial sums does
+    the rest.
     Result ``(patient_id, pca array<double>)`` equals ``score`` on the dense
     vectors, for patients with at least one tuple.
     """
@@ -149,8 +150,7 @@ def score_long(model: PipelineModel, long_form: DataFrame) -> DataFrame:
     spark = long_form.sparkSession
     table = spark.createDataFrame(
         [(i, weighted[i].tolist()) for i in range(n)], "idx int, wpc array<double>")
-    side = F.broadcast(table) if n <= BROADCAST_INDEX_MAX_ROWS else table
-    parts = long_form.join(side, "idx").select(
+    parts = join_per_feature(long_form, table, "idx", n).select(
         "patient_id", *[(F.col("value") * F.col("wpc")[d]).alias(f"_c{d}") for d in range(k)])
     sums = parts.groupBy("patient_id").agg(*[F.sum(f"_c{d}").alias(f"_c{d}") for d in range(k)])
     return sums.select(

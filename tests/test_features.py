@@ -122,3 +122,20 @@ def test_label_stat_one_pass_equals_two_input_form(spark):
     b = {r.label: (round(r.mean_value, 9), r.n_rows) for r in stats.lab_mean_by_label(
         t.lab, cohort.phenotype(t, SYNTHETIC_RULES), "purchase").collect()}
     assert a == b and a[2][1] == 723
+
+
+def test_salted_paths_of_scaling_and_scoring(spark, monkeypatch):
+    from phenolens.plans import clustering
+    t = synthetic_event_tables(spark, "/root/testdata/sf0.001")
+    space = build_feature_space(features.feature_tuples(t))
+    n = space.matrix_long.select("patient_id").distinct().count()
+    mom = moments.feature_moments(space.matrix_long, n)
+    model, _ = clustering.fit_projection(space.vectors, n_features=space.n_features)
+    plain_scaled = sorted(tuple(r) for r in moments.scaled_long(space.matrix_long, mom, space.n_features).collect())
+    plain_scores = {r.patient_id: r.pca for r in clustering.score_long(model, space.matrix_long).collect()}
+    monkeypatch.setattr(features, "BROADCAST_INDEX_MAX_ROWS", 10)
+    salted_scaled = sorted(tuple(r) for r in moments.scaled_long(space.matrix_long, mom, space.n_features).collect())
+    salted_scores = {r.patient_id: r.pca for r in clustering.score_long(model, space.matrix_long).collect()}
+    assert salted_scaled == plain_scaled
+    assert salted_scores.keys() == plain_scores.keys()
+    assert all(np.allclose(salted_scores[p], plain_scores[p]) for p in plain_scores)
