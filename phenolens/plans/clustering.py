@@ -30,6 +30,7 @@ from ..operators.features import (
     patient_vectors,
 )
 from ..operators.metrics import paired_by_patient, purity
+from ..operators.moments import count_patients, feature_covariance, feature_moments
 from ..session import materialize as materialize_table
 from ..streaming.kmeans import assign, random_centres, update
 
@@ -126,7 +127,50 @@ def score(model: PipelineModel, vectors: DataFrame) -> DataFrame:
     return model.transform(ml_in).select("patient_id", "pca")
 
 
-def score_long(model: PipelineModel, long_form: DataFrame) -> DataFrame:
+@dataclass
+class LinearProjection:
+    """Scaler + PCA parameters: per-feature mean and sd, and the features x k PC matrix."""
+
+    mean: np.ndarray
+    std: np.ndarray
+    pc: np.ndarray
+    explained_variance: np.ndarray | None = None
+
+    @classmethod
+    def from_pipeline(cls, model: PipelineModel) -> "LinearProjection":
+        scaler, pca = model.stages[0], model.stages[1]
+        return cls(scaler.mean.toArray(), scaler.std.toArray(), pca.pc.toArray(),
+                   pca.explainedVariance.toArray())
+
+
+def fit_pca_long(space: FeatureSpace, k: int = PCA_COMPONENTS) -> LinearProjection:
+    """Standardise + PCA from the long form and the distributed Gram matrix.
+
+    The moments come from the long form. The correlation matrix (the
+    covariance of the standardised features) is the sum of per-partition Gram
+    partials. Only these model-sized results (features and features^2
+    numbers, what Spark ML's PCA also builds) reach the driver, for one
+    symmetric eigen-solve. Components are sorted by explained variance; the
+    sign of each is arbitrary, as in any PCA.
+    """
+    n_patients = count_patients(space.matrix_long)
+    mom = feature_moments(space.matrix_long, n_patients)
+    n = space.n_features
+    if n < k:
+        raise ValueError(f"PCA with k={k} needs at least {k} features, got {n}")
+    mean, std = np.zeros(n), np.zeros(n)
+    for r in mom.select("idx", "mean", "sd").collect():  # one row per feature
+        mean[r["idx"]], std[r["idx"]] = r["mean"], r["sd"]
+    corr = np.zeros((n, n))
+    for r in feature_covariance(space.vectors, mom, n_patients, n).collect():  # n(n+1)/2 rows
+        corr[r["i"], r["j"]] = corr[r["j"], r["i"]] = r["covariance"]
+    values, vectors = np.linalg.eigh(corr)
+    order = np.argsort(values)[::-1][:k]
+    total = values[values > 0].sum()
+    return LinearProjection(mean, std, vectors[:, order], values[order] / total if total > 0 else None)
+
+
+def score_long(model: PipelineModel | LinearProjection, long_form: DataFrame) -> DataFrame:
     """Project patients from ``(patient_id, idx, value)`` rows, never densifying.
 
     Scaling and projection are linear: ``scaled_i = (x_i - mean_i) * w_i``
@@ -136,13 +180,11 @@ def score_long(model: PipelineModel, long_form: DataFrame) -> DataFrame:
     constant ``-sum_i mean_i * w_i * PC_i``. The weighted PC rows (features x k
     model parameters) are joined like the feature index (bounded broadcast,
     else salted shuffle); one ``groupBy(patient_id)`` with partial sums does
-    the rest.
-    Result ``(patient_id, pca array<double>)`` equals ``score`` on the dense
-    vectors, for patients with at least one tuple.
+    the rest. Result ``(patient_id, pca array<double>)`` equals ``score`` on
+    the dense vectors, for patients with at least one tuple.
     """
-    scaler, pca = model.stages[0], model.stages[1]
-    mean, std = scaler.mean.toArray(), scaler.std.toArray()
-    pc = pca.pc.toArray()  # features x k
+    params = model if isinstance(model, LinearProjection) else LinearProjection.from_pipeline(model)
+    mean, std, pc = params.mean, params.std, params.pc
     w = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
     weighted = pc * w[:, None]
     offset = -(mean * w) @ pc

@@ -245,10 +245,10 @@ def q_pca_projection(spark, sf):
 
 
 def q_pca_projection_long(spark, sf):
-    """Fitted scaler + PCA applied to the long form (no dense vectors)."""
+    """Scaler + PCA fitted from moments and the distributed Gram matrix, and
+    applied to the long form: no persisted dense vectors anywhere."""
     space = _space(spark, sf)
-    model, _ = clustering.fit_projection(space.vectors, n_features=space.n_features)
-    return clustering.score_long(model, space.matrix_long)
+    return clustering.score_long(clustering.fit_pca_long(space), space.matrix_long)
 
 
 def _projection(spark, sf):

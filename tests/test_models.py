@@ -76,3 +76,19 @@ def test_score_long_equals_dense_projection(spark, space):
     assert dense.keys() == sparse.keys()
     for pid, vec in dense.items():
         assert np.allclose(sparse[pid], vec, atol=1e-9)
+
+
+def test_long_form_pca_matches_ml_up_to_sign(spark, space):
+    _, sp = space
+    model, _ = clustering.fit_projection(sp.vectors, n_features=sp.n_features)
+    ml = clustering.LinearProjection.from_pipeline(model)
+    ours = clustering.fit_pca_long(sp)
+    assert np.allclose(ours.mean, ml.mean) and np.allclose(ours.std, ml.std)
+    assert np.allclose(ours.explained_variance, ml.explained_variance, atol=1e-9)
+    for d in range(10):
+        a, b = ours.pc[:, d], ml.pc[:, d]
+        assert np.allclose(a, b, atol=1e-6) or np.allclose(a, -b, atol=1e-6)
+    scores = {r.patient_id: np.abs(r.pca) for r in clustering.score_long(ours, sp.matrix_long).collect()}
+    dense = {r.patient_id: np.abs(r.p) for r in clustering.score(model, sp.vectors).select(
+        "patient_id", vector_to_array("pca").alias("p")).collect()}
+    assert all(np.allclose(scores[p], dense[p], atol=1e-6) for p in dense)
