@@ -60,14 +60,12 @@ def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureS
     the aggregated tuples are far smaller than the raw events, so writing
     them beats re-running the event scans and joins for every consumer, and
     a lost executor re-reads them instead of recomputing the lineage. The
-    index is written the same way.
+    index is rebuilt from its written ranks by a tiny aggregation.
     """
     if materialize:
         tuples = materialize_table(tuples, "feature-tuples")
-        # Small, but read by the size check and by every join below.
-        index = materialize_table(feature_index(tuples), "feature-index")
-    else:
-        index = feature_index(tuples)
+    # The index reads its ranks from a table written once (see feature_index).
+    index = feature_index(tuples)
     n_features = index.count()
     long_form = feature_matrix_long(tuples, index, n_features)
     # Vectors from the unsummed indexed tuples: one shuffle (by patient).
