@@ -13,7 +13,7 @@ windows of ``WIDTH`` characters that overlap by half; each is decoded by the
 network, the scores of overlapping windows are blended with the weight falling
 to the window's edges, and one Viterbi pass over the whole stretch gives the
 spans. Those of at least ``LEAST_CHARS`` characters whose labels have a mean
-probability of ``SURE`` or more and that touch no base span are added.
+score (a softmax over the tags) of ``SURE`` or more and that touch no base span are added.
 
 The training set is the ``TRAIN_WINDOWS`` windows of all documents with the
 smallest hash (a documented bound); everything else covers every text whole.
@@ -44,7 +44,7 @@ STEPS = 320
 WIDTH = 64
 REACH = 24
 LEAST_CHARS = 7
-SURE = 0.97
+SURE = 0.7
 HIDDEN, EMBED, SYMBOLS, TAGS = 16, 12, 130, 1 + len(KINDS)
 
 _LOCAL = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, packing, substring_dedup, suffix_dedup
+from . import bpe, near_dedup, packing, pii, quality, substring_dedup, suffix_dedup
 from .common import documents
 
 
@@ -19,6 +19,17 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return quality.with_verdict(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.fit(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return bpe.digests(bpe.encode(documents(spark, sf_dir), path), path)
@@ -41,6 +52,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_pii": op4_pii,
     "op6_bpe": op6_bpe,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
