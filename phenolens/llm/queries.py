@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, near_dedup, packing, pii, quality, substring_dedup, suffix_dedup
+from . import bpe, fingerprint, language_id, licenses, near_dedup, packing, pii, quality, substring_dedup, suffix_dedup
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
@@ -30,11 +34,20 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(documents(spark, sf_dir))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     return bpe.digests(bpe.encode(documents(spark, sf_dir), path), path)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,10 +64,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_pii": op4_pii,
+    "op5_fingerprints": op5_fingerprints,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
