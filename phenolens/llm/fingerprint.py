@@ -51,10 +51,11 @@ def fingerprints(docs: DataFrame, text: str, out: str) -> DataFrame:
     docs = docs.withColumn("__r", F.filter(
         F.transform("__p", lambda e, j: F.when(F.coalesce(F.get("__p", j - 1) < e.bitwiseAND(F.lit(_TOP)), F.lit(True)), j)),
         lambda j: j.isNotNull()))
-    docs = docs.withColumn("__o", F.when(F.size("__r") < F.size("__p"), F.flatten(F.transform("__r", lambda s, r: F.sequence(
-        F.lit(0), F.coalesce(F.get("__r", r + 1), F.size("__p")) - s - 1)))))
-    docs = docs.withColumn("__e", F.transform("__p", lambda e, j: F.xxhash64(
-        e.bitwiseAND(F.lit(_TOP)), F.coalesce(F.get("__o", j), F.lit(0))).bitwiseAND(F.lit(_TOP)).bitwiseOR(e.bitwiseAND(F.lit(PLACES - 1)))))
+    occurrence = F.when(F.size("__r") < F.size("__p"), F.flatten(F.transform("__r", lambda s, r: F.sequence(
+        F.lit(0), F.coalesce(F.get("__r", r + 1), F.size("__p")) - s - 1))))
+    # Bound once for each row: a column that is read in one place would move into the inner function.
+    docs = docs.withColumn("__e", let(occurrence, lambda o: F.transform("__p", lambda e, j: F.xxhash64(
+        e.bitwiseAND(F.lit(_TOP)), F.coalesce(F.get(o, j), F.lit(0))).bitwiseAND(F.lit(_TOP)).bitwiseOR(e.bitwiseAND(F.lit(PLACES - 1))))))
     docs = docs.withColumn("__e", F.slice(F.sort_array("__e"), 1, SMALLEST))
 
     def sketch(b: int) -> Column:
@@ -62,7 +63,7 @@ def fingerprints(docs: DataFrame, text: str, out: str) -> DataFrame:
         members = F.sort_array(F.transform(F.slice(own, 1, TUPLE), place))
         return let(members, lambda m: F.when(F.size(m) > 0, F.xxhash64(F.transform(m, lambda i: F.get("__k", i)))))
 
-    return docs.withColumn(out, F.array(*(sketch(b) for b in range(SKETCHES)))).drop("__w", "__k", "__p", "__r", "__o", "__e")
+    return docs.withColumn(out, F.array(*(sketch(b) for b in range(SKETCHES)))).drop("__w", "__k", "__p", "__r", "__e")
 
 
 def likeness(a: Column, b: Column) -> Column:
