@@ -16,7 +16,9 @@ are one class first, so copies are never paired. In a bucket each member is
 compared with the smallest one; members that did not join its component are
 compared in further rounds with a growing share of the members of other
 components, all of them in the last round, so that no pair of different
-components in a bucket is left unchecked. Every link is confirmed on the full sets.
+components in a bucket is left unchecked. Pairs are passed over only if their
+distances to the bucket's centre differ by more than a link allows (Jaccard
+distance is a metric). Every link is confirmed on the full sets.
 
 A pair at the threshold shares no bucket with probability
 (1 - .75 ** ROWS) ** BANDS, 2e-5 with the defaults, less above it.
@@ -29,7 +31,6 @@ Ties in a bucket go to the smallest id. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +45,8 @@ COORDINATES = 200
 ROWS = 5
 BANDS = COORDINATES // ROWS
 PERCENT = 75
-#: Each further round compares with so many times the members of the round before.
-GROWTH = 8
+#: The rounds after the first compare with one member in so many of the other components.
+SHARES = (64, 1)
 
 _MULT = mix(np.arange(1, 64, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
@@ -125,9 +126,9 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose full sets pass the threshold; the last right text's set is kept."""
+    """Pairs with the comparison of their full sets; the last right text's set is kept."""
     for batch in batches:
-        keep, last, last_set = [], None, None
+        linked, distance, last, last_set = [], [], None, None
         right = batch.column("text_b").to_pylist()
         left = [s for _, _, data, offs in chunks(batch.column("text_a"))
                 for s in _sets(*shingles(data, offs), len(offs) - 1)]
@@ -137,9 +138,12 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 (_, _, data, offs), = chunks(pa.array([b]))
                 last_set = shingles(data, offs)[1]
             both = len(np.intersect1d(a, last_set, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(a) + len(last_set) - both) and both > 0)
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+            either = len(a) + len(last_set) - both
+            linked.append(100 * both >= PERCENT * either and both > 0)
+            distance.append(1 - both / either if either else 1.0)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())],
+            names=["a", "b", "linked", "distance"])
 
 
 def _sets(at: np.ndarray, value: np.ndarray, rows: int) -> list[np.ndarray]:
@@ -147,11 +151,12 @@ def _sets(at: np.ndarray, value: np.ndarray, rows: int) -> list[np.ndarray]:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of document ids with a similarity at the threshold or above."""
+    """The pairs (a, b) of document ids with linked (similarity at the threshold or above) and Jaccard distance."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify_batches, "a long, b long").distinct())
+            .mapInArrow(_verify_batches, "a long, b long, linked boolean, distance double")
+            .groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("distance").alias("distance")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -193,33 +198,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = F.least("n", "center_n") * 100 >= F.greatest("n", "center_n") * PERCENT
     pairs = buckets.where((F.col("rep") != F.col("center")) & alike).select(
         F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-    checked = written(pairs, "pairs")
-    links = written(verified(checked, texts), "links")
-    share = None
-    while True:
-        component = connected_components(links)
+    checked = written(verified(pairs, texts), "checked")
+    links = checked.where("linked").select("a", "b")
+    # Bounds of each member's distance to the bucket's centre: known where it was compared, else from the sizes.
+    known = checked.select(F.col("a").alias("rep"), F.col("b").alias("center"), "distance")
+    buckets = written(buckets.join(known, ["rep", "center"], "left").select(
+        "key", "rep", "n",
+        F.when(F.col("rep") == F.col("center"), 0.0).otherwise(
+            F.coalesce("distance", 1 - F.least("n", "center_n") / F.greatest("n", "center_n"))).alias("near"),
+        F.when(F.col("rep") == F.col("center"), 0.0).otherwise(F.coalesce("distance", F.lit(1.0))).alias("far")), "bounded")
+    checked = checked.select("a", "b")
+    # Jaccard distance is a metric: two members cannot be linked if their distances to the centre differ by more.
+    most = 1 - PERCENT / 100 + 1e-9
+    reachable = (F.col("near") - F.col("center_far") <= most) & (F.col("center_near") - F.col("far") <= most)
+    component = connected_components(links)
+    for share in SHARES:
         tagged = buckets.join(component, buckets.rep == component.node, "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("c"))
+            "key", "rep", "n", "near", "far", F.coalesce("component", "rep").alias("c"))
         open_keys = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        mixed = written(tagged.join(open_keys, "key"), "mixed")
-        if share is None:
-            largest = mixed.groupBy("key", "c").count().agg(F.max("count")).first()[0] or 0
-            share = GROWTH ** math.ceil(math.log(max(largest, 1), GROWTH))
-        elif share == 1:
-            break
-        else:
-            share //= GROWTH
+        mixed = tagged.join(open_keys, "key")
         # The centres of a round: of every component in the bucket one member in `share`.
         centers = (mixed.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0)
-                   .select("key", F.col("c").alias("center_c"), F.col("rep").alias("center"), F.col("n").alias("center_n")))
-        todo = written(
-            mixed.join(centers, "key").where((F.col("c") != F.col("center_c")) & alike)
-            .select(F.greatest("rep", "center").alias("a"), F.least("rep", "center").alias("b")).distinct()
-            .join(checked, ["a", "b"], "left_anti"), "pairs")
-        if todo.isEmpty():
-            continue
-        links = written(links.union(verified(todo, texts)).distinct(), "links")
-        checked = written(checked.union(todo), "checked")
+                   .select("key", F.col("c").alias("center_c"), F.col("rep").alias("center"), F.col("n").alias("center_n"),
+                           F.col("near").alias("center_near"), F.col("far").alias("center_far")))
+        todo = (mixed.join(centers, "key").where((F.col("c") != F.col("center_c")) & alike & reachable)
+                .select(F.greatest("rep", "center").alias("a"), F.least("rep", "center").alias("b")).distinct()
+                .join(checked, ["a", "b"], "left_anti"))
+        new = written(verified(todo, texts).select("a", "b", "linked"), "checked")
+        checked = checked.union(new.select("a", "b"))
+        new = new.where("linked").select("a", "b")
+        if not new.isEmpty():
+            links = links.union(new)
+            component = connected_components(links)
 
     by_class = classes.join(component, classes.rep == component.node, "left").select(
         "n_shingles", "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
