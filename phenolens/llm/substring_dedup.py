@@ -124,8 +124,8 @@ def repeated_chunks(own: DataFrame) -> DataFrame:
     """doc_id, version, spans: the chunks of each row that an earlier place has too."""
     pieces = own.mapInArrow(_chunk_batches, "doc_id long, version long, start int, end int, digest binary")
     place = F.struct("doc_id", "version", "start")
-    repeated = (pieces.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                .where("not (first <=> last)").select("digest", "first"))
+    repeated = (pieces.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+                .where("n > 1").select("digest", "first"))
     return (pieces.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
             .groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
 
