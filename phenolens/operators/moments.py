@@ -36,15 +36,17 @@ def feature_moments(matrix_long: DataFrame, n_patients: int | None = None) -> Da
     if n_patients is None:
         n_patients = count_patients(matrix_long)
     n = F.lit(float(n_patients))
+    # Central moments of the present values merge without cancellation; the zeros are folded in after.
     sums = matrix_long.groupBy("idx").agg(
         F.count(F.lit(1)).alias("n_present"),
-        F.sum("value").alias("_s"),
-        F.sum(F.col("value") * F.col("value")).alias("_ss"),
+        F.avg("value").alias("_m"),
+        F.coalesce(F.var_samp("value"), F.lit(0.0)).alias("_v"),
     )
-    var = (F.col("_ss") - F.col("_s") * F.col("_s") / n) / (n - F.lit(1.0))
-    sd = F.sqrt(F.greatest(var, F.lit(0.0)))
+    p = F.col("n_present")
+    m2 = (p - 1) * F.col("_v") + F.col("_m") * F.col("_m") * p * (n - p) / n
+    sd = F.sqrt(m2 / F.lit(n_patients - 1.0)) if n_patients > 1 else F.lit(0.0)
     return (
-        sums.select("idx", "n_present", (F.col("_s") / n).alias("mean"), sd.alias("sd"))
+        sums.select("idx", "n_present", (F.col("_m") * p / n).alias("mean"), sd.alias("sd"))
         .withColumn(
             "zero_value",
             F.when(F.col("sd") > 0, -F.col("mean") / F.col("sd")).otherwise(F.lit(0.0)),
@@ -59,7 +61,7 @@ def scaled_long(matrix_long: DataFrame, moments: DataFrame, n_features: int) ->
     return joined.select("patient_id", "idx", scaled.alias("value"))
 
 
-def _gram_partials(n_features: int):
+def _gram_partials(n_features: int, center: np.ndarray):
     iu, ju = np.triu_indices(n_features)
 
     def fold(batches):
@@ -67,7 +69,7 @@ def _gram_partials(n_features: int):
         for pdf in batches:
             if pdf.empty:
                 continue
-            x = np.stack(pdf["features"].to_numpy()).astype(np.float64, copy=False)
+            x = np.stack(pdf["features"].to_numpy()).astype(np.float64, copy=False) - center
             part = x.T @ x
             gram = part if gram is None else gram + part
         if gram is not None:
@@ -80,10 +82,14 @@ def _gram_partials(n_features: int):
     return fold
 
 
-def gram_long(vectors: DataFrame, n_features: int) -> DataFrame:
-    """``(i, j, s)`` with ``s = sum over patients of x_i * x_j`` for ``i <= j``."""
+def gram_long(vectors: DataFrame, n_features: int, center: np.ndarray | None = None) -> DataFrame:
+    """``(i, j, s)`` with ``s = sum over patients of (x_i - c_i) * (x_j - c_j)`` for ``i <= j``.
+
+    ``center`` is zero if not given; with the means, nothing cancels in the sums.
+    """
+    center = np.zeros(n_features) if center is None else center
     partials = vectors.select("features").mapInPandas(
-        _gram_partials(n_features), "i int, j int, s double")
+        _gram_partials(n_features, center), "i int, j int, s double")
     return partials.groupBy("i", "j").agg(F.sum("s").alias("s"))
 
 
@@ -98,12 +104,15 @@ def feature_covariance(vectors: DataFrame, moments: DataFrame, n_patients: int,
     # Read twice (for i and for j): written once, one row per feature.
     moments = materialize(moments.select("idx", "mean", "sd"), "moments")
     side = F.broadcast(moments) if n_features <= BROADCAST_INDEX_MAX_ROWS else moments
-    mi = side.select(F.col("idx").alias("i"), F.col("mean").alias("mu_i"), F.col("sd").alias("sd_i"))
-    mj = side.select(F.col("idx").alias("j"), F.col("mean").alias("mu_j"), F.col("sd").alias("sd_j"))
-    cov = (F.col("s") - F.lit(n) * F.col("mu_i") * F.col("mu_j")) / F.lit(n - 1.0)
+    mi = side.select(F.col("idx").alias("i"), F.col("sd").alias("sd_i"))
+    mj = side.select(F.col("idx").alias("j"), F.col("sd").alias("sd_j"))
+    center = np.zeros(n_features)
+    for r in moments.select("idx", "mean").collect():  # model-sized: one row per feature
+        center[r["idx"]] = r["mean"]
+    cov = F.col("s") / F.lit(max(n - 1.0, 1.0))
     denom = F.col("sd_i") * F.col("sd_j")
     return (
-        gram_long(vectors, n_features)
+        gram_long(vectors, n_features, center)
         .join(mi, "i")
         .join(mj, "j")
         .select("i", "j", F.when(denom > 0, cov / denom).otherwise(F.lit(0.0)).alias("covariance"))

@@ -78,15 +78,14 @@ PROJECTION_ROWS_PER_PARTITION = 200_000
 
 
 def _stable(df: DataFrame, n_rows: int, key: str = "patient_id") -> DataFrame:
-    """Fixed layout (range by key, sorted), written once and read back.
+    """Layout that depends on the rows alone: written once, dealt by a hash of the key, sorted.
 
     The partition count follows the row count (one partition per
-    :data:`PROJECTION_ROWS_PER_PARTITION` rows), capped at four per core, so
-    every ML iteration runs tasks of a useful size on small and large inputs.
+    :data:`PROJECTION_ROWS_PER_PARTITION` rows). The rows are dealt after the
+    read-back, as Spark packs file splits by the number of cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(-(-n_rows // PROJECTION_ROWS_PER_PARTITION), 4 * cores))
-    return materialize_table(df.repartitionByRange(parts, key).sortWithinPartitions(key), "projection")
+    parts = max(1, -(-n_rows // PROJECTION_ROWS_PER_PARTITION))
+    return materialize_table(df, "projection").repartition(parts, key).sortWithinPartitions(key)
 
 
 def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS, clip_k: bool = False,

@@ -142,10 +142,13 @@ SPACE = [
     """npat AS (SELECT CAST(count(DISTINCT patient_id) AS DOUBLE) AS n FROM mlong)""",
     """moments AS (
          SELECT idx, n_present, mean, sd, CASE WHEN sd > 0 THEN -mean / sd ELSE 0.0 END AS zero_value
-         FROM (SELECT idx, n_present, s / n AS mean,
-                      sqrt(greatest((ss - s * s / n) / (n - 1.0), 0.0)) AS sd
-               FROM (SELECT idx, count(*) AS n_present, sum(value) AS s, sum(value * value) AS ss
-                     FROM mlong GROUP BY idx) CROSS JOIN npat))""",
+         FROM (SELECT m.idx, count(*) AS n_present, any_value(a.mean) AS mean,
+                      CASE WHEN any_value(n) > 1 THEN
+                        sqrt((sum((m.value - a.mean) * (m.value - a.mean))
+                              + (any_value(n) - count(*)) * any_value(a.mean) * any_value(a.mean)) / (any_value(n) - 1.0))
+                      ELSE 0.0 END AS sd
+               FROM mlong m JOIN (SELECT idx, sum(value) / any_value(n) AS mean FROM mlong CROSS JOIN npat GROUP BY idx) a
+                 ON a.idx = m.idx CROSS JOIN npat GROUP BY m.idx))""",
 ]
 
 
@@ -246,11 +249,10 @@ def _rename(cte: str) -> str:
 
 
 def _streaming_sql() -> str:
-    dims = 10
-    return f"""
+    return """
         WITH pts AS (
                SELECT vec_id, CAST(d - 1 AS INTEGER) AS dim, CAST(embedding[d] AS DOUBLE) AS x
-               FROM embeddings, range(1, {dims} + 1) AS r(d)),
+               FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS d FROM embeddings)),
              seeds AS (
                SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster
                FROM embeddings ORDER BY vec_id LIMIT 3),

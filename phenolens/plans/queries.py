@@ -34,7 +34,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RULES = SYNTHETIC_RULES
 DIGITS = 6
-STREAM_POINT_DIM = 10
 STREAM_K = 3
 
 
@@ -277,7 +276,7 @@ def q_purity_report(spark, sf):
 
 def _embedding_points(spark, sf):
     return synthetic.table(spark, sf, "embeddings").select(
-        "vec_id", F.slice("embedding", 1, STREAM_POINT_DIM).cast("array<double>").alias("features"), "label")
+        "vec_id", F.col("embedding").cast("array<double>").alias("features"), "label")
 
 
 def q_purity_from_pairs(spark, sf):
@@ -298,7 +297,7 @@ def q_purity_cohort_modes(spark, sf):
 
 
 def q_streaming_kmeans_update(spark, sf):
-    """One mini-batch update over all embeddings (first 10 components).
+    """One mini-batch update over all embeddings, every component.
 
     Start centres: the points of the three lowest ``vec_id`` (a top-k by
     id), weight 0.5 each; decay 1.0 per point.
@@ -323,7 +322,7 @@ def q_streaming_kmeans_stream(spark, sf):
     base = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-stream-{uuid.uuid4().hex}"
     model = skm.StreamingKMeans(f"{base}/state", centres, decay=1.0, time_unit="points")
     stream = synthetic.stream_table(spark, sf, "embeddings").select(
-        F.slice("embedding", 1, STREAM_POINT_DIM).cast("array<double>").alias("features"))
+        F.col("embedding").cast("array<double>").alias("features"))
     final = skm.run_stream(stream, model, f"{base}/offsets")
     return skm.centres_long(final).select("cluster", _r("weight"), "dim", _r("center"))
 

@@ -114,8 +114,8 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 def write_raw_csvs(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Render the driver tables as the four raw health-record CSV inputs.
 
-    Keys and numbers become text, dates become ISO date-times, lab values get
-    thousands separators; :func:`phenolens.sources.load_event_tables` must
+    Keys and numbers become text, dates become ISO date-times, lab values
+    are printed in full; :func:`phenolens.sources.load_event_tables` must
     turn them back into the same event tables.
     """
     from .clinical import ENCOUNTER_DX_FILE, ENCOUNTER_FILE, LAB_FILE, MEDICATION_FILE
@@ -144,5 +144,5 @@ def write_raw_csvs(spark: SparkSession, sf_dir: str, folder: str) -> None:
         F.col("user_id").cast("string").alias("Member_ID"),
         F.date_format("ts", ISO).alias("Date_Resulted"),
         F.col("event_type").alias("Result_Name"),
-        F.format_number("value", 2).alias("Numeric_Result"),
+        F.col("value").cast("string").alias("Numeric_Result"),
     ), LAB_FILE)

@@ -206,7 +206,10 @@ def run_stream(points: DataFrame, model: StreamingKMeans, checkpoint_location: s
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
+    done = query.awaitTermination(timeout_s)
+    if done is False:
+        query.stop()
+        raise TimeoutError(f"the stream was not consumed within {timeout_s} s")
     if query.exception() is not None:
         raise query.exception()
     return model.latest(points.sparkSession)
