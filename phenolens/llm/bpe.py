@@ -5,12 +5,13 @@ Texts are split at ASCII white space and between an ASCII letter and one of
 the ids of a text are those of its words one after the other (a special token
 holds no such place). Three steps:
 
-1. Spark counts the distinct words; each is encoded once, in parallel, into a
-   table (word, count, ids) in the shared folder.
-2. The ``COMMON_WORDS`` most frequent words of at most ``COMMON_BYTES`` bytes
+1. Each slice of texts gives its distinct words with their counts, Spark adds
+   them up; every word is encoded once, in parallel, into a table (word,
+   count, ids) in the shared folder.
+2. Frequent words, at most ``COMMON_WORDS`` of at most ``COMMON_BYTES`` bytes,
    are sent to all tasks (a fixed bound of a few MB). They cover most of any
-   text, and every hot word, so no join key is hot. The other words of a text
-   leave it with their position, are joined to the table by word, and their
+   text, and every hot word, so no join key is hot. The other words leave
+   their text with their position, are joined to the table by word, and their
    ids come back by position.
 3. Decoding joins ids to pieces (the vocabulary: a table of fixed size) and
    puts them together as the tokenizer's decoder does.
@@ -26,21 +27,25 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import renamed, versioned, written
+from .common import SPACES, chunks, renamed, versioned, written
 
 COMMON_WORDS = 1 << 18
 COMMON_BYTES = 32
-SPLIT = r"[\x20\x09-\x0D]+|(?<=[A-Za-z])(?=[.,!?;:])"
+SLICE_BYTES = 4 << 20
 _MISSING = np.uint32(0xFFFFFFFF)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,!?;:"]] = True
 
 
 def load(path: str):
@@ -52,17 +57,38 @@ def load(path: str):
     return tokenizer
 
 
+def words(data: np.ndarray, offs: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(the words of the texts in order, the number of words before each text and in all)."""
+    keep = ~SPACES[data]
+    begins = np.ones(len(data), bool)
+    begins[1:] = ~keep[:-1] | (_LETTER[data[:-1]] & _STOP[data[1:]])
+    begins[offs[:-1][offs[:-1] < len(data)]] = True
+    start = np.flatnonzero(keep & begins)
+    compact = data[keep]
+    ends = np.append(np.cumsum(keep)[start] - 1, len(compact))
+    found = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(compact)])
+    return found.dictionary_encode(), np.searchsorted(start, offs)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, data, offs in chunks(batch.column("text"), SLICE_BYTES):
+            found, _ = words(data, offs)
+            n = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+            yield pa.RecordBatch.from_arrays([found.dictionary.cast(pa.string()), pa.array(n, pa.int64())], names=["word", "count"])
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    words = docs.select(F.explode(F.split("text", SPLIT)).alias("word")).where("word <> ''")
-    return words.groupBy("word").count()
+    """word, count: every distinct word of ``docs``."""
+    return (docs.select("text").mapInArrow(_count_words, "word string, count long")
+            .groupBy("word").agg(F.sum("count").alias("count")))
 
 
 def _encode_words(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            ids = [x.ids for x in tokenizer.encode_batch(words, add_special_tokens=False)]
+            ids = [x.ids for x in tokenizer.encode_batch_fast(batch.column("word").to_pylist(), add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("count"), pa.array([np.array(x, np.uint32).tobytes() for x in ids], pa.binary())],
                 names=["word", "count", "ids"])
@@ -75,43 +101,87 @@ def word_table(docs: DataFrame, path: str) -> DataFrame:
     return written(word_counts(docs).mapInArrow(_encode_words(path), "word string, count long, ids binary"), "words")
 
 
+def common_words(table: DataFrame) -> pa.Table:
+    """word, ids of the most frequent short words: those of the counts (by eighths of a power of two)
+    that no more than ``COMMON_WORDS`` words reach."""
+    short = table.where(F.octet_length("word") <= COMMON_BYTES).withColumn("level", F.floor(F.log2("count") * 8))
+    levels = sorted(short.groupBy("level").count().collect(), reverse=True)  # at most 8 * 63 rows
+    total, least = 0, 8 * 64
+    for level, n in levels:
+        total += n
+        if total > COMMON_WORDS:
+            break
+        least = level
+    return short.where(F.col("level") >= least).select("word", "ids").toArrow()
+
+
+def _unpack(known: tuple[bytes, np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, first id, number of ids, ids); a last word without a name has the one id ``_MISSING``."""
+    names, size, ids = known
+    table = pa.ipc.open_stream(names).read_all().column(0).combine_chunks()
+    size = np.append(size, 1)
+    return table, np.cumsum(size) - size, size, np.append(ids, _MISSING)
+
+
+def _look_up(batch: pa.RecordBatch, table: pa.Array):
+    """For slices of the rows: (first row, row after the last, words, words before each row, place of each word in the table)."""
+    for lo, hi, data, offs in chunks(batch.column("text"), SLICE_BYTES):
+        found, bounds = words(data, offs)
+        place = pc.fill_null(pc.index_in(found.dictionary, value_set=table), len(table)).to_numpy()
+        yield lo, hi, found, bounds, place[found.indices.to_numpy()]
+
+
+def _rare(common):
+    """Every word that is not among the frequent ones, with its position in its text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _unpack(common.value)[0]
+        for batch in batches:
+            for lo, hi, found, bounds, place in _look_up(batch, table):
+                at = np.flatnonzero(place == len(table))
+                row = np.searchsorted(bounds, at, "right") - 1
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("doc_id").take(pa.array(row)), own.column("version").take(pa.array(row)),
+                     pa.array((at - bounds[row]).astype(np.int32)),
+                     found.dictionary.take(found.indices.take(pa.array(at))).cast(pa.string())],
+                    names=["doc_id", "version", "at", "word"])
+
+    return run
+
+
 def _begin(common):
-    """Ids of the frequent words, with a place for every other word, and those words' positions."""
+    """Ids of the frequent words, with a place for every other word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = common.value
-        missing = (_MISSING,)
-        hole = missing[0].tobytes()
-        cut = re.compile(SPLIT)
+        table, first, size, flat = _unpack(common.value)
+        squeeze = zstandard.ZstdCompressor(3)
         for batch in batches:
-            packed, rare = [], []
-            for text in batch.column("text").to_pylist():
-                words = [w for w in cut.split(text or "") if w]
-                parts = [known.get(w, hole) for w in words]
-                packed.append(zlib.compress(b"".join(parts), 1))
-                rare.append([{"at": i, "word": w} for i, (w, p) in enumerate(zip(words, parts, strict=True)) if p is hole])
+            packed = []
+            for _, _, _, bounds, place in _look_up(batch, table):
+                n = size[place]
+                cuts = np.concatenate(([0], np.cumsum(n)))
+                ids = flat[np.arange(cuts[-1]) + np.repeat(first[place] - cuts[:-1], n)]
+                packed += [squeeze.compress(ids[lo:hi].tobytes()) for lo, hi in zip(cuts[bounds[:-1]], cuts[bounds[1:]], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("version"), pa.array(packed, pa.binary()),
-                 pa.array(rare, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())])))],
-                names=["doc_id", "version", "packed", "rare"])
+                [batch.column("doc_id"), batch.column("version"), pa.array(packed, pa.binary())], names=["doc_id", "version", "packed"])
 
     return run
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor()
     for batch in batches:
         out = []
         for packed, filled in zip(batch.column("packed").to_pylist(), batch.column("filled"), strict=True):
-            ids = np.frombuffer(zlib.decompress(packed), np.uint32)
+            ids = np.frombuffer(expand.decompress(packed), np.uint32)
             if filled.is_valid:
                 flat = filled.values
                 order = np.argsort(flat.field("at").to_numpy())
                 parts = [np.frombuffer(x, np.uint32) for x in flat.field("ids").take(pa.array(order)).to_pylist()]
                 size = np.ones(len(ids), np.int64)
-                holes = np.flatnonzero(ids == _MISSING)
+                holes = ids == _MISSING
                 size[holes] = [len(p) for p in parts]
                 whole = np.repeat(ids, size)
-                inside = np.repeat(np.isin(np.arange(len(ids)), holes, assume_unique=True), size)
-                whole[inside] = np.concatenate(parts)
+                whole[np.repeat(holes, size)] = np.concatenate(parts)
                 ids = whole
             out.append(ids.astype(np.int32))
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
@@ -120,24 +190,28 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
 
+def _sent(table: pa.Table) -> tuple[bytes, np.ndarray, np.ndarray]:
+    sink = pa.BufferOutputStream()
+    names = table.select(["word"]).cast(pa.schema([("word", pa.large_string())]))
+    with pa.ipc.new_stream(sink, names.schema) as out:
+        out.write_table(names)
+    ids = table.column("ids").to_pylist()
+    return sink.getvalue().to_pybytes(), np.array([len(x) // 4 for x in ids], np.int64), np.frombuffer(b"".join(ids), np.uint32)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) of every row."""
-    spark = docs.sparkSession
     own = versioned(renamed(docs, {id_col: "doc_id", text_col: "text"}))
     table = word_table(own, path)
-    common = (table.where(F.octet_length("word") <= COMMON_BYTES).orderBy(F.desc("count"), "word").limit(COMMON_WORDS)
-              .select("word", "ids").toArrow())
-    known = spark.sparkContext.broadcast(
-        dict(zip(common.column("word").to_pylist(), common.column("ids").to_pylist(), strict=True)))
-    begun = written(own.mapInArrow(
-        _begin(known), "doc_id long, version long, packed binary, rare array<struct<at:int,word:string>>"), "begun")
-    rare = begun.select("doc_id", "version", F.explode("rare").alias("r")).select("doc_id", "version", "r.at", "r.word")
+    known = docs.sparkSession.sparkContext.broadcast(_sent(common_words(table)))
+    # Texts are read once more for the rare words: cheaper than keeping all ids on disk between the two steps.
+    rare = own.mapInArrow(_rare(known), "doc_id long, version long, at int, word string")
     # Equal rows (same id and text) would list each position twice.
     filled = (rare.join(table.select("word", "ids"), "word").groupBy("doc_id", "version")
               .agg(F.collect_set(F.struct("at", "ids")).alias("filled"))
               .select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "filled"))
-    joined = begun.select("doc_id", "version", "packed").join(
-        filled, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
+    begun = own.mapInArrow(_begin(known), "doc_id long, version long, packed binary")
+    joined = begun.join(filled, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
     return joined.select("doc_id", "packed", "filled").mapInArrow(_finish, "doc_id long, ids array<int>")
 
 
