@@ -27,6 +27,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,8 @@ from .common import SPACES, chunks, renamed, versioned, written
 
 COMMON_WORDS = 1 << 18
 COMMON_BYTES = 32
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+ENCODED_AT_ONCE = 1000
 _MISSING = np.uint32(0xFFFFFFFF)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -49,6 +51,8 @@ _STOP[[ord(c) for c in ".,!?;:"]] = True
 
 
 def load(path: str):
+    # One thread a task: the tasks are the parallel part, and each further thread holds memory of its own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -88,10 +92,12 @@ def _encode_words(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
         for batch in batches:
-            ids = [x.ids for x in tokenizer.encode_batch_fast(batch.column("word").to_pylist(), add_special_tokens=False)]
+            ids = []
+            for lo in range(0, len(batch), ENCODED_AT_ONCE):
+                some = batch.column("word").slice(lo, ENCODED_AT_ONCE).to_pylist()
+                ids += [np.array(x.ids, np.uint32).tobytes() for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("count"), pa.array([np.array(x, np.uint32).tobytes() for x in ids], pa.binary())],
-                names=["word", "count", "ids"])
+                [batch.column("word"), batch.column("count"), pa.array(ids, pa.binary())], names=["word", "count", "ids"])
 
     return run
 
