@@ -5,14 +5,15 @@ Texts are split at ASCII white space and between an ASCII letter and one of
 the ids of a text are those of its words one after the other (a special token
 holds no such place). Three steps:
 
-1. Each slice of texts gives its distinct words with their counts, Spark adds
-   them up; every word is encoded once, in parallel, into a table (word,
-   count, ids) in the shared folder.
-2. Frequent words, at most ``COMMON_WORDS`` of at most ``COMMON_BYTES`` bytes,
-   are sent to all tasks (a fixed bound of a few MB). They cover most of any
-   text, and every hot word, so no join key is hot. The other words leave
-   their text with their position, are joined to the table by word, and their
-   ids come back by position.
+1. Every slice of texts counts its distinct words; those found twice or more
+   in a slice are added up by Spark. The most frequent ones, at most
+   ``COMMON_WORDS`` of at most ``COMMON_BYTES`` bytes, are encoded once and
+   sent to all tasks (a fixed bound of a few MB). They cover most of any text,
+   so hot words need no shuffle.
+2. Every other word leaves its text with its position. These rows are dealt by
+   word and sorted, each distinct word is encoded once, and its ids go back to
+   their texts by position. (A partition that one word overfills is split, and
+   the word is encoded once in each part.)
 3. Decoding joins ids to pieces (the vocabulary: a table of fixed size) and
    puts them together as the tokenizer's decoder does.
 
@@ -43,7 +44,6 @@ COMMON_WORDS = 1 << 18
 COMMON_BYTES = 32
 SLICE_BYTES = 1 << 20
 ENCODED_AT_ONCE = 1000
-_MISSING = np.uint32(0xFFFFFFFF)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 _STOP = np.zeros(256, bool)
@@ -79,38 +79,47 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, offs in chunks(batch.column("text"), SLICE_BYTES):
             found, _ = words(data, offs)
             n = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
-            yield pa.RecordBatch.from_arrays([found.dictionary.cast(pa.string()), pa.array(n, pa.int64())], names=["word", "count"])
+            often = np.flatnonzero(n > 1)
+            yield pa.RecordBatch.from_arrays(
+                [found.dictionary.take(pa.array(often)).cast(pa.string()), pa.array(n[often], pa.int64())], names=["word", "count"])
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, count: every distinct word of ``docs``."""
+    """word, count: the words found twice or more in a slice, with their number in all such slices."""
     return (docs.select("text").mapInArrow(_count_words, "word string, count long")
             .groupBy("word").agg(F.sum("count").alias("count")))
 
 
-def _encode_words(path: str):
+def _encode_words(path: str, kind: type):
+    """Every row's word replaced by its ids; of a batch (and where one batch goes on with the last word) each word is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
+        last, last_ids = None, b""
         for batch in batches:
-            ids = []
-            for lo in range(0, len(batch), ENCODED_AT_ONCE):
-                some = batch.column("word").slice(lo, ENCODED_AT_ONCE).to_pylist()
-                ids += [np.array(x.ids, np.uint32).tobytes() for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            if not len(batch):
+                continue
+            found = batch.column("word").dictionary_encode()
+            distinct = found.dictionary.to_pylist()
+            known = [last_ids] if distinct[0] == last else []
+            for lo in range(len(known), len(distinct), ENCODED_AT_ONCE):
+                some = tokenizer.encode_batch_fast(distinct[lo:lo + ENCODED_AT_ONCE], add_special_tokens=False)
+                known += [np.array(x.ids, kind).tobytes() for x in some]
+            last, last_ids = distinct[-1], known[-1]
+            at = batch.schema.get_field_index("word")
+            columns = [c for i, c in enumerate(batch.columns) if i != at]
+            names = [c for i, c in enumerate(batch.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("count"), pa.array(ids, pa.binary())], names=["word", "count", "ids"])
+                [*columns, *([batch.column("word")] if not columns else []), pa.array(known, pa.binary()).take(found.indices)],
+                names=[*names, *(["word"] if not columns else []), "ids"])
 
     return run
 
 
-def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """word, count, ids (32-bit little-endian) of every distinct word of ``docs``."""
-    return written(word_counts(docs).mapInArrow(_encode_words(path), "word string, count long, ids binary"), "words")
-
-
-def common_words(table: DataFrame) -> pa.Table:
+def common_words(docs: DataFrame, path: str, kind: type) -> pa.Table:
     """word, ids of the most frequent short words: those of the counts (by eighths of a power of two)
     that no more than ``COMMON_WORDS`` words reach."""
-    short = table.where(F.octet_length("word") <= COMMON_BYTES).withColumn("level", F.floor(F.log2("count") * 8))
+    short = written(word_counts(docs).where(F.octet_length("word") <= COMMON_BYTES)
+                    .withColumn("level", F.floor(F.log2("count") * 8)), "words")
     levels = sorted(short.groupBy("level").count().collect(), reverse=True)  # at most 8 * 63 rows
     total, least = 0, 8 * 64
     for level, n in levels:
@@ -118,15 +127,26 @@ def common_words(table: DataFrame) -> pa.Table:
         if total > COMMON_WORDS:
             break
         least = level
-    return short.where(F.col("level") >= least).select("word", "ids").toArrow()
+    return (short.where(F.col("level") >= least).select("word")
+            .mapInArrow(_encode_words(path, kind), "word string, ids binary").toArrow())
+
+
+def _sent(table: pa.Table, kind: type) -> tuple[bytes, np.ndarray, np.ndarray]:
+    sink = pa.BufferOutputStream()
+    names = table.select(["word"]).cast(pa.schema([("word", pa.large_string())]))
+    with pa.ipc.new_stream(sink, names.schema) as out:
+        out.write_table(names)
+    ids = table.column("ids").to_pylist()
+    size = np.dtype(kind).itemsize
+    return sink.getvalue().to_pybytes(), np.array([len(x) // size for x in ids], np.int64), np.frombuffer(b"".join(ids), kind)
 
 
 def _unpack(known: tuple[bytes, np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, first id, number of ids, ids); a last word without a name has the one id ``_MISSING``."""
+    """(words, first id, number of ids, ids); behind the words, a nameless one has the largest number as its one id."""
     names, size, ids = known
-    table = pa.ipc.open_stream(names).read_all().column(0).combine_chunks()
+    table = pa.concat_arrays([pa.array([], pa.large_string()), *pa.ipc.open_stream(names).read_all().column(0).chunks])
     size = np.append(size, 1)
-    return table, np.cumsum(size) - size, size, np.append(ids, _MISSING)
+    return table, np.cumsum(size) - size, size, np.append(ids, np.iinfo(ids.dtype).max).astype(ids.dtype)
 
 
 def _look_up(batch: pa.RecordBatch, table: pa.Array):
@@ -156,69 +176,92 @@ def _rare(common):
 
 
 def _begin(common):
-    """Ids of the frequent words, with a place for every other word."""
+    """Ids of the frequent words, with a hole for every other word; the position of this row is -1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, first, size, flat = _unpack(common.value)
         squeeze = zstandard.ZstdCompressor(3)
         for batch in batches:
-            packed = []
-            for _, _, _, bounds, place in _look_up(batch, table):
+            for lo, hi, _, bounds, place in _look_up(batch, table):
                 n = size[place]
                 cuts = np.concatenate(([0], np.cumsum(n)))
                 ids = flat[np.arange(cuts[-1]) + np.repeat(first[place] - cuts[:-1], n)]
-                packed += [squeeze.compress(ids[lo:hi].tobytes()) for lo, hi in zip(cuts[bounds[:-1]], cuts[bounds[1:]], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("version"), pa.array(packed, pa.binary())], names=["doc_id", "version", "packed"])
+                packed = [squeeze.compress(ids[i:j].tobytes()) for i, j in zip(cuts[bounds[:-1]], cuts[bounds[1:]], strict=True)]
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("doc_id"), own.column("version"), pa.array(np.full(hi - lo, -1, np.int32)), pa.array(packed, pa.binary())],
+                    names=["doc_id", "version", "at", "ids"])
 
     return run
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    expand = zstandard.ZstdDecompressor()
-    for batch in batches:
-        out = []
-        for packed, filled in zip(batch.column("packed").to_pylist(), batch.column("filled"), strict=True):
-            ids = np.frombuffer(expand.decompress(packed), np.uint32)
-            if filled.is_valid:
-                flat = filled.values
-                order = np.argsort(flat.field("at").to_numpy())
-                parts = [np.frombuffer(x, np.uint32) for x in flat.field("ids").take(pa.array(order)).to_pylist()]
-                size = np.ones(len(ids), np.int64)
-                holes = ids == _MISSING
-                size[holes] = [len(p) for p in parts]
-                whole = np.repeat(ids, size)
-                whole[np.repeat(holes, size)] = np.concatenate(parts)
-                ids = whole
-            out.append(ids.astype(np.int32))
+def _filled(packed: bytes, at: list[np.ndarray], parts: list[bytes], kind: type) -> np.ndarray:
+    """The ids of a text whose holes, in order, get the parts at the distinct positions."""
+    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+    if parts:
+        # Equal rows (same id and text) list each position as often as there are rows.
+        first = np.unique(np.concatenate(at), return_index=True)[1]
+        words = [np.frombuffer(parts[i], kind) for i in first.tolist()]
+        size = np.ones(len(ids), np.int64)
+        holes = ids == np.iinfo(kind).max
+        size[holes] = [len(w) for w in words]
+        ids = np.repeat(ids, size)
+        ids[np.repeat(holes, size)] = np.concatenate(words)
+    return ids.astype(np.int32)
+
+
+def _merge(kind: type):
+    """doc_id, ids from rows sorted by document and position: a document's ids with holes come first, once for each copy."""
+    def flushed(texts: list) -> pa.RecordBatch:
+        owner, out = [], []
+        for (doc, null, _), copies, packed, at, parts in texts:
+            ids = _filled(packed, at, parts, kind)
+            owner += [None if null else doc] * copies
+            out += [ids] * copies
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
         flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(owner, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = None
+        for batch in batches:
+            doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            null = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            version, at, ids = batch.column("version").to_numpy(), batch.column("at").to_numpy(), batch.column("ids")
+            new = (doc[1:] != doc[:-1]) | (null[1:] != null[:-1]) | (version[1:] != version[:-1])
+            cuts = np.concatenate(([0], np.flatnonzero(new) + 1, [len(batch)])) if len(batch) else [0]
+            done = []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                key = (int(doc[lo]), bool(null[lo]), int(version[lo]))
+                if text is None or text[0] != key:
+                    done += [text] if text else []
+                    text = [key, 0, b"", [], []]
+                copies = int(np.count_nonzero(at[lo:hi] < 0))
+                if copies:
+                    text[1], text[2] = text[1] + copies, ids[lo].as_py()
+                if lo + copies < hi:
+                    text[3].append(at[lo + copies:hi])
+                    text[4] += ids.slice(lo + copies, hi - lo - copies).to_pylist()
+            if done:
+                yield flushed(done)
+        if text:
+            yield flushed([text])
 
-def _sent(table: pa.Table) -> tuple[bytes, np.ndarray, np.ndarray]:
-    sink = pa.BufferOutputStream()
-    names = table.select(["word"]).cast(pa.schema([("word", pa.large_string())]))
-    with pa.ipc.new_stream(sink, names.schema) as out:
-        out.write_table(names)
-    ids = table.column("ids").to_pylist()
-    return sink.getvalue().to_pybytes(), np.array([len(x) // 4 for x in ids], np.int64), np.frombuffer(b"".join(ids), np.uint32)
+    return run
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) of every row."""
     own = versioned(renamed(docs, {id_col: "doc_id", text_col: "text"}))
-    table = word_table(own, path)
-    known = docs.sparkSession.sparkContext.broadcast(_sent(common_words(table)))
-    # Texts are read once more for the rare words: cheaper than keeping all ids on disk between the two steps.
-    rare = own.mapInArrow(_rare(known), "doc_id long, version long, at int, word string")
-    # Equal rows (same id and text) would list each position twice.
-    filled = (rare.join(table.select("word", "ids"), "word").groupBy("doc_id", "version")
-              .agg(F.collect_set(F.struct("at", "ids")).alias("filled"))
-              .select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "filled"))
-    begun = own.mapInArrow(_begin(known), "doc_id long, version long, packed binary")
-    joined = begun.join(filled, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
-    return joined.select("doc_id", "packed", "filled").mapInArrow(_finish, "doc_id long, ids array<int>")
+    # The largest number marks a hole.
+    kind = np.uint16 if load(path).get_vocab_size() < np.iinfo(np.uint16).max else np.uint32
+    known = docs.sparkSession.sparkContext.broadcast(_sent(common_words(own, path, kind), kind))
+    rows = "doc_id long, version long, at int, ids binary"
+    rare = (own.mapInArrow(_rare(known), "doc_id long, version long, at int, word string")
+            .hint("rebalance", "word").sortWithinPartitions("word").mapInArrow(_encode_words(path, kind), rows))
+    return (own.mapInArrow(_begin(known), rows).union(rare)
+            .repartition("doc_id", "version").sortWithinPartitions("doc_id", "version", "at")
+            .mapInArrow(_merge(kind), "doc_id long, ids array<int>"))
 
 
 def pieces(path: str) -> list[str]:
