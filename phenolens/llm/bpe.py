@@ -90,7 +90,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("count").alias("count")))
 
 
-def _encode_words(path: str, kind: type):
+def _encode_words(path: str, kind: type, keep_word: bool):
     """Every row's word replaced by its ids; of a batch (and where one batch goes on with the last word) each word is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
@@ -105,18 +105,14 @@ def _encode_words(path: str, kind: type):
                 some = tokenizer.encode_batch_fast(distinct[lo:lo + ENCODED_AT_ONCE], add_special_tokens=False)
                 known += [np.array(x.ids, kind).tobytes() for x in some]
             last, last_ids = distinct[-1], known[-1]
-            at = batch.schema.get_field_index("word")
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, *([batch.column("word")] if not columns else []), pa.array(known, pa.binary()).take(found.indices)],
-                names=[*names, *(["word"] if not columns else []), "ids"])
+            kept = batch if keep_word else batch.drop_columns(["word"])
+            yield kept.append_column("ids", pa.array(known, pa.binary()).take(found.indices))
 
     return run
 
 
 def common_words(docs: DataFrame, path: str, kind: type) -> pa.Table:
-    """word, ids of the most frequent short words: those of the counts (by eighths of a power of two)
+    """word, count, ids of the most frequent short words, the first ones first: those of the counts (by eighths of a power of two)
     that no more than ``COMMON_WORDS`` words reach."""
     short = written(word_counts(docs).where(F.octet_length("word") <= COMMON_BYTES)
                     .withColumn("level", F.floor(F.log2("count") * 8)), "words")
@@ -127,11 +123,13 @@ def common_words(docs: DataFrame, path: str, kind: type) -> pa.Table:
         if total > COMMON_WORDS:
             break
         least = level
-    return (short.where(F.col("level") >= least).select("word")
-            .mapInArrow(_encode_words(path, kind), "word string, ids binary").toArrow())
+    return (short.where(F.col("level") >= least).select("word", "count")
+            .mapInArrow(_encode_words(path, kind, True), "word string, count long, ids binary").toArrow()
+            .sort_by([("count", "descending"), ("word", "ascending")]))
 
 
 def _sent(table: pa.Table, kind: type) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(words, number of ids of each, ids)."""
     sink = pa.BufferOutputStream()
     names = table.select(["word"]).cast(pa.schema([("word", pa.large_string())]))
     with pa.ipc.new_stream(sink, names.schema) as out:
@@ -141,29 +139,28 @@ def _sent(table: pa.Table, kind: type) -> tuple[bytes, np.ndarray, np.ndarray]:
     return sink.getvalue().to_pybytes(), np.array([len(x) // size for x in ids], np.int64), np.frombuffer(b"".join(ids), kind)
 
 
-def _unpack(known: tuple[bytes, np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, first id, number of ids, ids); behind the words, a nameless one has the largest number as its one id."""
-    names, size, ids = known
-    table = pa.concat_arrays([pa.array([], pa.large_string()), *pa.ipc.open_stream(names).read_all().column(0).chunks])
-    size = np.append(size, 1)
-    return table, np.cumsum(size) - size, size, np.append(ids, np.iinfo(ids.dtype).max).astype(ids.dtype)
+def _names(known: tuple[bytes, np.ndarray, np.ndarray]) -> pa.Array:
+    return pa.concat_arrays([pa.array([], pa.large_string()), *pa.ipc.open_stream(known[0]).read_all().column(0).chunks])
 
 
 def _look_up(batch: pa.RecordBatch, table: pa.Array):
-    """For slices of the rows: (first row, row after the last, words, words before each row, place of each word in the table)."""
+    """For slices of the rows: (first row, row after the last, words, words before each row, place of each word in the table).
+
+    Places count from 1; a word that is not in the table has 0.
+    """
     for lo, hi, data, offs in chunks(batch.column("text"), SLICE_BYTES):
         found, bounds = words(data, offs)
-        place = pc.fill_null(pc.index_in(found.dictionary, value_set=table), len(table)).to_numpy()
+        place = pc.fill_null(pc.index_in(found.dictionary, value_set=table), -1).to_numpy() + 1
         yield lo, hi, found, bounds, place[found.indices.to_numpy()]
 
 
 def _rare(common):
     """Every word that is not among the frequent ones, with its position in its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _unpack(common.value)[0]
+        table = _names(common.value)
         for batch in batches:
             for lo, hi, found, bounds, place in _look_up(batch, table):
-                at = np.flatnonzero(place == len(table))
+                at = np.flatnonzero(place == 0)
                 row = np.searchsorted(bounds, at, "right") - 1
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -176,16 +173,15 @@ def _rare(common):
 
 
 def _begin(common):
-    """Ids of the frequent words, with a hole for every other word; the position of this row is -1."""
+    """The places of a text's words in the table of frequent words; the position of this row is -1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, first, size, flat = _unpack(common.value)
+        table = _names(common.value)
         squeeze = zstandard.ZstdCompressor(3)
         for batch in batches:
             for lo, hi, _, bounds, place in _look_up(batch, table):
-                n = size[place]
-                cuts = np.concatenate(([0], np.cumsum(n)))
-                ids = flat[np.arange(cuts[-1]) + np.repeat(first[place] - cuts[:-1], n)]
-                packed = [squeeze.compress(ids[i:j].tobytes()) for i, j in zip(cuts[bounds[:-1]], cuts[bounds[1:]], strict=True)]
+                # Byte by byte: frequent words have small places, so that the higher bytes are mostly zero.
+                parts = place.astype("<u4").view(np.uint8).reshape(-1, 4).T
+                packed = [squeeze.compress(parts[:, i:j].tobytes()) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [own.column("doc_id"), own.column("version"), pa.array(np.full(hi - lo, -1, np.int32)), pa.array(packed, pa.binary())],
@@ -194,27 +190,32 @@ def _begin(common):
     return run
 
 
-def _filled(packed: bytes, at: list[np.ndarray], parts: list[bytes], kind: type) -> np.ndarray:
-    """The ids of a text whose holes, in order, get the parts at the distinct positions."""
-    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), kind)
+def _filled(packed: bytes, at: list[np.ndarray], parts: list[bytes], first: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The ids of a text from the places of its words and the ids of the words at the other positions."""
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    places = np.ascontiguousarray(places.reshape(4, -1).T).view("<u4").ravel()
+    n = size[places]
+    rare = []
     if parts:
         # Equal rows (same id and text) list each position as often as there are rows.
-        first = np.unique(np.concatenate(at), return_index=True)[1]
-        words = [np.frombuffer(parts[i], kind) for i in first.tolist()]
-        size = np.ones(len(ids), np.int64)
-        holes = ids == np.iinfo(kind).max
-        size[holes] = [len(w) for w in words]
-        ids = np.repeat(ids, size)
-        ids[np.repeat(holes, size)] = np.concatenate(words)
-    return ids.astype(np.int32)
-
-
-def _merge(kind: type):
-    """doc_id, ids from rows sorted by document and position: a document's ids with holes come first, once for each copy."""
-    def flushed(texts: list) -> pa.RecordBatch:
+        own = np.unique(np.concatenate(at), return_index=True)[1]
+        rare = [np.frombuffer(parts[i], flat.dtype) for i in own.tolist()]
+        n[places == 0] = [len(w) for w in rare]
+    ends = np.cumsum(n)
+    ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.int32)
+    if len(flat):
+        ids[:] = flat.take(np.arange(len(ids)) + np.repeat(first[places] - ends + n, n), mode="clip")
+    if rare:
+        ids[np.repeat(places == 0, n)] = np.concatenate(rare)
+    return ids
+
+
+def _merge(common):
+    """doc_id, ids from rows sorted by document and position: the places of a text's words come first, once for each copy."""
+    def flushed(texts: list, table: tuple) -> pa.RecordBatch:
         owner, out = [], []
         for (doc, null, _), copies, packed, at, parts in texts:
-            ids = _filled(packed, at, parts, kind)
+            ids = _filled(packed, at, parts, *table)
             owner += [None if null else doc] * copies
             out += [ids] * copies
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
@@ -223,6 +224,8 @@ def _merge(kind: type):
             [pa.array(owner, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, size, flat = common.value
+        table = np.concatenate(([0], np.cumsum(size) - size)), np.concatenate(([0], size)), flat
         text = None
         for batch in batches:
             doc = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
@@ -243,9 +246,9 @@ def _merge(kind: type):
                     text[3].append(at[lo + copies:hi])
                     text[4] += ids.slice(lo + copies, hi - lo - copies).to_pylist()
             if done:
-                yield flushed(done)
+                yield flushed(done, table)
         if text:
-            yield flushed([text])
+            yield flushed([text], table)
 
     return run
 
@@ -253,15 +256,14 @@ def _merge(kind: type):
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array<int>) of every row."""
     own = versioned(renamed(docs, {id_col: "doc_id", text_col: "text"}))
-    # The largest number marks a hole.
-    kind = np.uint16 if load(path).get_vocab_size() < np.iinfo(np.uint16).max else np.uint32
+    kind = np.uint16 if load(path).get_vocab_size() <= 1 << 16 else np.uint32
     known = docs.sparkSession.sparkContext.broadcast(_sent(common_words(own, path, kind), kind))
     rows = "doc_id long, version long, at int, ids binary"
     rare = (own.mapInArrow(_rare(known), "doc_id long, version long, at int, word string")
-            .hint("rebalance", "word").sortWithinPartitions("word").mapInArrow(_encode_words(path, kind), rows))
+            .hint("rebalance", "word").sortWithinPartitions("word").mapInArrow(_encode_words(path, kind, False), rows))
     return (own.mapInArrow(_begin(known), rows).union(rare)
             .repartition("doc_id", "version").sortWithinPartitions("doc_id", "version", "at")
-            .mapInArrow(_merge(kind), "doc_id long, ids array<int>"))
+            .mapInArrow(_merge(known), "doc_id long, ids array<int>"))
 
 
 def pieces(path: str) -> list[str]:
