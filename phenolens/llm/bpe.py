@@ -8,7 +8,7 @@ holds no such place). Three steps:
 1. Every slice of texts counts its distinct words; those found twice or more
    in a slice are added up by Spark. The most frequent ones, at most
    ``COMMON_WORDS`` of at most ``COMMON_BYTES`` bytes, are encoded once and
-   sent to all tasks (a fixed bound of a few MB). They cover most of any text,
+   sent to all tasks (a fixed bound of about 20 MB). They cover most of any text,
    so hot words need no shuffle.
 2. Every other word leaves its text with its position. These rows are dealt by
    word and sorted, each distinct word is encoded once, and its ids go back to
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, chunks, renamed, versioned, written
 
-COMMON_WORDS = 1 << 18
+COMMON_WORDS = 1 << 19
 COMMON_BYTES = 32
 SLICE_BYTES = 1 << 20
 ENCODED_AT_ONCE = 1000
