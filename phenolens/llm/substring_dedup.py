@@ -1,11 +1,15 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the bytes of a text: ``h = (h << 1) + gear[byte]``, of
-which the low ``WINDOW`` bits' worth of bytes count, so a boundary depends on
-the last ``WINDOW`` bytes alone and an insertion moves the chunks near it only.
-A chunk may end behind ASCII white space where the hash has ``MASK_BITS`` zero
-bits; it ends there if it has at least ``MIN_BYTES``, and at ``MAX_BYTES`` in
-any case (at the start of a code point). Chunks are deduplicated by a 128-bit
+A gear hash rolls over the bytes of a text: ``h = (h << 1) + gear[byte]`` over
+the last ``WINDOW`` bytes. A chunk ends, at the start of a code point, where
+the hash is the smallest among some ``SPREAD`` neighbouring places, whatever
+the script or the spacing. That depends on the bytes within ``SPREAD`` and
+``WINDOW`` of the place alone, so an insertion moves the chunks near it only,
+and a passage of ``2 * SPREAD + WINDOW`` bytes or more has a whole chunk in
+common wherever it stands. A chunk has about ``SPREAD / 2`` bytes and at most
+``SPREAD``; only where a text repeats itself every few bytes (a ruled line)
+are equal hashes passed over, up to ``MAX_BYTES``, and cuts counted from the
+start of such a stretch. Chunks are deduplicated by a 128-bit
 digest: the occurrence with the smallest (doc_id, start) stays. Runs of
 neighbouring repeated chunks that add up to ``RUN_BYTES`` are cut out of the
 text; shorter ones (a stock phrase) stay.
@@ -28,11 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, chunks, mix, renamed, versioned
+from .common import chunks, mix, renamed, versioned
 
 WINDOW = 16
-MASK_BITS = 2
-MIN_BYTES = 24
+SPREAD = 64
 MAX_BYTES = 256
 RUN_BYTES = 100
 
@@ -50,23 +53,36 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _running(best, x: np.ndarray, span: int) -> np.ndarray:
+    """``best`` (minimum or maximum) of every ``span`` neighbours."""
+    size = 1
+    while 2 * size <= span:
+        x, size = best(x[:-size], x[size:]), 2 * size
+    return best(x[:size - span], x[span - size:]) if size < span else x
+
+
 def boundaries(data: np.ndarray) -> list[int]:
     """Ends of the chunks of one text's bytes, the last being its length."""
     n = len(data)
-    high = np.uint64(((1 << MASK_BITS) - 1) << (WINDOW - MASK_BITS))
-    able = np.flatnonzero(SPACES[data] & ((gear_hash(data) & high) == 0)) + 1
-    ends, start = [], 0
-    for cut in [*able.tolist(), n]:
-        while cut - start > MAX_BYTES:
-            stop = start + MAX_BYTES
-            while stop > start + 1 and data[stop] & 0xC0 == 0x80:
-                stop -= 1
-            ends.append(stop)
-            start = stop
-        if cut - start >= MIN_BYTES or cut == n > start:
-            ends.append(cut)
-            start = cut
-    return ends
+    if n < SPREAD:
+        return [n] if n else []
+    h = gear_hash(data)
+    never = np.uint64(2 ** 64 - 1)
+    h[:-1][data[1:] & 0xC0 == 0x80] = never
+    least = np.pad(_running(np.minimum, h, SPREAD), SPREAD - 1)
+    ends = np.flatnonzero((h == _running(np.maximum, least, SPREAD)) & (h != never)) + 1
+    same = np.zeros(len(ends), bool)
+    same[1:] = (h[ends[1:] - 1] == h[ends[:-1] - 1]) & (np.diff(ends) < SPREAD)
+    ends, same = ends.tolist(), same.tolist()
+    if any(same):
+        out, start = [], 0
+        for k, end in enumerate(ends):
+            after = ends[k + 1] if k + 1 < len(ends) else n
+            if not same[k] or after - start > MAX_BYTES:
+                out.append(end)
+                start = end
+        ends = out
+    return ends if ends and ends[-1] == n else [*ends, n]
 
 
 def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -343,6 +343,22 @@ def test_chunks_cover_the_text_and_resist_insertions():
     assert len(pieces(data) & pieces(moved)) >= 0.7 * len(pieces(data))
 
 
+@pytest.mark.parametrize("alphabet", [[chr(0x4E00 + k) for k in range(600)], [chr(0x0E01 + k) for k in range(40)],
+                                      list("abcdefghijklmnopqrstuvwxyz\u00a0\u3000"), list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefgh+/0123456789")])
+def test_chunks_of_text_without_ascii_spaces_resist_insertions(spark, alphabet):
+    rng = np.random.default_rng(4)
+    own = lambda n: "".join(rng.choice(alphabet, n))
+    passage = own(900)
+    rows = [(i, own(50 + 7 * i) + passage + own(60)) for i in range(5)]
+    for _, text in rows:
+        raw = text.encode()
+        ends = substring_dedup.boundaries(np.frombuffer(raw, np.uint8))
+        assert ends[-1] == len(raw) and all(raw[a:b].decode() for a, b in zip([0, *ends[:-1]], ends, strict=True))
+        assert max(np.diff([0, *ends])) <= substring_dedup.MAX_BYTES
+    got = {r.doc_id: r for r in substring_dedup.cut_repeats(frame(spark, rows)).collect()}
+    assert got[0].n_removed == 0 and all(got[i].n_removed >= 0.85 * len(passage.encode()) for i in range(1, 5))
+
+
 def test_repeated_passages_are_cut_once(spark, odd, empty):
     rng = np.random.default_rng(9)
     own = lambda: " ".join(f"u{x}" for x in rng.integers(0, 10 ** 6, 60))
