@@ -10,9 +10,14 @@ common wherever it stands. A chunk has about ``SPREAD / 2`` bytes and at most
 ``SPREAD``; only where a text repeats itself every few bytes (a ruled line)
 are equal hashes passed over, up to ``MAX_BYTES``, and cuts counted from the
 start of such a stretch. Chunks are deduplicated by a 128-bit
-digest: the occurrence with the smallest (doc_id, start) stays. Runs of
-neighbouring repeated chunks that add up to ``RUN_BYTES`` are cut out of the
-text; shorter ones (a stock phrase) stay.
+digest: the occurrence with the smallest (doc_id, start) stays. A run of
+neighbouring repeated chunks is extended byte by byte, by up to ``REACH`` bytes
+on either side, as far as the text equals that around the first occurrence of
+the run's outermost chunk or the one next to it; so a repeated passage goes as a whole, not only
+its whole chunks. Extended runs of ``RUN_BYTES`` or more are cut out of the
+text, but for the parts of words at their ends and one space in front; shorter
+ones (a stock phrase) stay. Over 50 words of two letters or more on average
+(or over 50 Chinese characters) are long enough to have a whole chunk in common.
 
 Cases: null and empty texts have no chunks and stay as they are. Rows that
 share a ``doc_id`` are told apart by a hash of the text; equal rows are one
@@ -32,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, mix, renamed, versioned
+from .common import SPACES, chunks, mix, renamed, versioned, written
 
 WINDOW = 16
 SPREAD = 64
 MAX_BYTES = 256
 RUN_BYTES = 100
+REACH = 256
+#: Of a word cut by the end of a run, at most so many bytes are given back.
+WORD_BYTES = 24
 
 GEAR = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -87,38 +95,113 @@ def boundaries(data: np.ndarray) -> list[int]:
 
 def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        keys = batch.column("version").to_pylist()
         for lo, hi, data, offs in chunks(batch.column("text")):
-            out = ([], [], [], [], [])
+            starts, stops, digests, counts = [], [], [], []
             for i in range(lo, hi):
                 own = data[offs[i - lo]:offs[i - lo + 1]]
-                raw, start = own.tobytes(), 0
-                for end in boundaries(own):
-                    for column, x in zip(out, (ids[i], keys[i], start, end,
-                                               hashlib.blake2b(raw[start:end], digest_size=16).digest()), strict=True):
-                        column.append(x)
-                    start = end
+                raw, ends = own.tobytes(), boundaries(own)
+                begins = [0, *ends[:-1]] if ends else []
+                digests += [hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(begins, ends, strict=True)]
+                starts += begins
+                stops += ends
+                counts.append(len(ends))
+            rows = pa.array(np.repeat(np.arange(lo, hi), counts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                [batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(starts, pa.int32()),
+                 pa.array(stops, pa.int32()), pa.array(digests, pa.binary())],
                 names=["doc_id", "version", "start", "end", "digest"])
 
 
+def _edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Both ends of every run, with the same place of the first occurrence.
+
+    The second chunk from an end is another try where its first occurrence is not beside that of the outermost.
+    """
+    for batch in batches:
+        out: list[tuple] = []
+        for doc, version, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "spans")), strict=True):
+            spans.sort(key=lambda s: s["start"])
+            where = [(s["first"]["doc_id"], s["first"]["version"], s["first"]["start"] - s["start"]) for s in spans]
+            at = 0
+            for lo, hi in merged(spans):
+                end = at
+                while end < len(spans) and spans[end]["end"] <= hi:
+                    end += 1
+                for side, order in (("start", range(at, end)), ("end", range(end - 1, at - 1, -1))):
+                    for k in order[:2]:
+                        if k == order[0] or where[k] != where[order[0]]:
+                            place = spans[k][side]
+                            out.append((doc, version, lo, hi, place, side == "end", *where[k][:2], where[k][2] + place))
+                at = end
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(EDGES)], schema=EDGES)
+
+
+EDGES = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("place", pa.int32()),
+                   ("ahead", pa.bool_()), ("first_id", pa.int64()), ("first_version", pa.int64()), ("first_place", pa.int32())])
+
+
+def _beside_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``REACH`` bytes behind (ahead) or before places of a text."""
+    for batch in batches:
+        out: list[tuple] = []
+        for doc, version, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text", "places")), strict=True):
+            raw = text.encode()
+            for p in places:
+                at = p["first_place"]
+                out.append((doc, version, at, p["ahead"], raw[at:at + REACH] if p["ahead"] else raw[max(0, at - REACH):at]))
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)],
+                                         names=["first_id", "first_version", "first_place", "ahead", "beside"])
+
+
+def extended(raw: bytes, edges: list) -> list[tuple[int, int]]:
+    """Runs of at least ``RUN_BYTES`` after extension, in whole words."""
+    spans = []
+    for e in edges:
+        spans.append({"start": e["lo"], "end": e["hi"]})
+        at, beside, k = e["place"], e["beside"], 0
+        if e["ahead"]:
+            while k < min(len(raw) - at, len(beside)) and raw[at + k] == beside[k]:
+                k += 1
+            spans.append({"start": at, "end": at + k})
+        else:
+            while k < min(at, len(beside)) and raw[at - 1 - k] == beside[-1 - k]:
+                k += 1
+            spans.append({"start": at - k, "end": at})
+    out = []
+    for lo, hi in merged(spans):
+        if hi - lo < RUN_BYTES:
+            continue
+        while lo < hi and raw[lo] & 0xC0 == 0x80:
+            lo += 1
+        while hi > lo and hi < len(raw) and raw[hi] & 0xC0 == 0x80:
+            hi -= 1
+        if lo and not (SPACES[raw[lo - 1]] or SPACES[raw[lo]]):
+            lo = next((k for k in range(lo, min(lo + WORD_BYTES, hi)) if SPACES[raw[k]]), lo) if raw[lo] < 0xE0 else lo
+        if hi < len(raw) and not (SPACES[raw[hi - 1]] or SPACES[raw[hi]]) and raw[hi] < 0xE0:
+            hi = next((k for k in range(hi, max(hi - WORD_BYTES, lo), -1) if SPACES[raw[k - 1]]), hi)
+        if 0 < lo < hi and SPACES[raw[lo]] and not SPACES[raw[lo - 1]]:
+            lo += 1
+        if lo < hi:
+            out.append((lo, hi))
+    return out
+
+
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            if text is None or not spans:
+        for text, edges in zip(batch.column("text").to_pylist(), batch.column("edges").to_pylist(), strict=True):
+            if text is None or not edges:
                 out.append((text, 0, 0))
                 continue
             raw, kept, at = text.encode(), [], 0
-            runs = [r for r in merged(spans) if r[1] - r[0] >= RUN_BYTES]
+            runs = extended(raw, edges)
             for start, end in runs:
                 kept.append(raw[at:start])
                 at = end
             kept.append(raw[at:])
             out.append((b"".join(kept).decode(), sum(e - s for s, e in runs), len(runs)))
-        rest = [name for name in batch.schema.names if name not in ("text", "spans")]
+        rest = [name for name in batch.schema.names if name not in ("text", "edges")]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in rest), *(pa.array([x[k] for x in out], t) for k, t in
                                                  enumerate((pa.string(), pa.int64(), pa.int64())))],
@@ -137,13 +220,32 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 
 def repeated_chunks(own: DataFrame) -> DataFrame:
-    """doc_id, version, spans: the chunks of each row that an earlier place has too."""
+    """doc_id, version, spans: the chunks of each row that an earlier place has too, with that place."""
     pieces = own.mapInArrow(_chunk_batches, "doc_id long, version long, start int, end int, digest binary")
     place = F.struct("doc_id", "version", "start")
     repeated = (pieces.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                 .where("n > 1").select("digest", "first"))
     return (pieces.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
-            .groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+            .groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "first")).alias("spans")))
+
+
+def run_edges(own: DataFrame) -> DataFrame:
+    """doc_id, version, edges: the ends of each row's runs of repeated chunks and the bytes around their first occurrences."""
+    # Written: read for the places and again for the edges.
+    edges = written(repeated_chunks(own).mapInArrow(
+        _edge_batches, "doc_id long, version long, lo int, hi int, place int, ahead boolean, "
+        "first_id long, first_version long, first_place int"), "run_edges")
+    key = ["first_id", "first_version", "first_place", "ahead"]
+    places = (edges.select(*key).distinct().groupBy("first_id", "first_version")
+              .agg(F.collect_list(F.struct("first_place", "ahead")).alias("places")))
+    held = own.join(places, own.doc_id.eqNullSafe(places.first_id) & (own.version == places.first_version))
+    beside = (held.select("doc_id", "version", "text", "places").mapInArrow(
+        _beside_batches, "first_id long, first_version long, first_place int, ahead boolean, beside binary")
+        .dropDuplicates(key))
+    e, b = edges.alias("e"), beside.alias("b")
+    joined = e.join(b, F.expr(" and ".join(f"e.{k} <=> b.{k}" for k in key)))
+    return (joined.select("doc_id", "version", F.struct("lo", "hi", "place", "e.ahead", "beside").alias("edge"))
+            .groupBy("doc_id", "version").agg(F.collect_set("edge").alias("edges")))
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -152,12 +254,12 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     The other columns stay, but for ``n_chars``, which follows the new text.
     """
     own = versioned(renamed(docs, {id_col: "doc_id", text_col: "text"}))
-    spans = repeated_chunks(own).select(F.col("doc_id").alias("__id"), F.col("version").alias("__v"), F.col("spans").alias("__spans"))
+    spans = run_edges(own).select(F.col("doc_id").alias("__id"), F.col("version").alias("__v"), F.col("edges").alias("__edges"))
     whole = docs.withColumnRenamed(id_col, "doc_id").withColumnRenamed(text_col, "text")
     whole = versioned(whole, "__version")
     joined = whole.join(spans, whole.doc_id.eqNullSafe(F.col("__id")) & (whole["__version"] == F.col("__v")), "left")
     rest = [c for c in whole.columns if c not in ("text", "__version", "n_chars", "n_removed", "n_spans")]
-    joined = joined.select(*rest, "text", F.col("__spans").alias("spans"))
+    joined = joined.select(*rest, "text", F.col("__edges").alias("edges"))
     out = joined.mapInArrow(_cut_batches, T.StructType(
         [joined.schema[c] for c in rest]
         + [T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())]))

@@ -373,6 +373,33 @@ def test_repeated_passages_are_cut_once(spark, odd, empty):
     assert substring_dedup.cut_repeats(empty).count() == 0
 
 
+def test_passages_of_51_words_are_cut_as_a_whole(spark):
+    rng = np.random.default_rng(12)
+    word = lambda k: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), k))
+    rows, passages = [], []
+    for i in range(400):
+        passages.append(" ".join(word(2 + i % 5) for _ in range(51)))
+        rows += [(2 * i + k, f"{' '.join(word(7) for _ in range(20 + k))} {passages[-1]} {' '.join(word(7) for _ in range(20))}")
+                 for k in range(2)]
+    got = {r.doc_id: r for r in substring_dedup.cut_repeats(frame(spark, rows)).collect()}
+    for i, passage in enumerate(passages):
+        assert got[2 * i].text == rows[2 * i][1]
+        first, last = rows[2 * i + 1][1].split(passage)
+        assert got[2 * i + 1].n_spans == 1 and got[2 * i + 1].text.split() == (first + last).split()
+
+
+def test_passages_of_51_chinese_characters_are_cut_as_a_whole(spark):
+    rng = np.random.default_rng(13)
+    own = lambda n: "".join(chr(x) for x in rng.integers(0x4E00, 0x9F00, n))
+    rows, left = [], {}
+    for i in range(200):
+        passage, head, tail = own(51), own(40 + i % 7), own(40)
+        rows += [(2 * i, own(40) + passage + own(30)), (2 * i + 1, head + passage + tail)]
+        left[2 * i + 1] = head + tail
+    got = {r.doc_id: r.text for r in substring_dedup.cut_repeats(frame(spark, rows)).collect()}
+    assert all(got[i] == text for i, text in left.items())
+
+
 # --- packing ---
 
 def test_bins_hold_the_constraints(docs, odd, empty):
