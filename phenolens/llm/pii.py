@@ -6,17 +6,19 @@ LSTM with CRF transitions, trained in NumPy with Adam. Half of the training
 spans are rewritten (separators changed, a plus dropped, spaces put in), so
 the model learns forms that the patterns miss.
 
-A span of the model must hold a digit or an ``@``; so only stretches within
-``REACH`` characters of one are scored, and texts without either cannot have a
-span - that is the rule's meaning, not a shortcut. A stretch is covered by
-windows of ``WIDTH`` characters that overlap by half; each is decoded by the
+Every text is decoded as a whole, whatever characters it holds. It is covered
+by windows of ``WIDTH`` characters that overlap by half; each is scored by the
 network, the scores of overlapping windows are blended with the weight falling
-to the window's edges, and one Viterbi pass over the whole stretch gives the
-spans. Those of at least ``LEAST_CHARS`` characters whose labels have a mean
-score (a softmax over the tags) of ``SURE`` or more and that touch no base span are added.
+to the window's edges, and Viterbi over the whole text gives the spans. Where
+the score of the empty tag is ahead by more than any two transitions can make
+up for, the best path is known; the rest is decoded between such places, which
+gives the same path. Spans of at least ``LEAST_CHARS`` characters whose labels
+have a mean score (a softmax over the tags) of ``SURE`` or more and that touch
+no base span are added.
 
-The training set is the ``TRAIN_WINDOWS`` windows of all documents with the
-smallest hash (a documented bound); everything else covers every text whole.
+The training set is the ``TRAIN_WINDOWS`` windows around digits and ``@`` of all
+documents with the smallest hash, and the ``PLAIN_WINDOWS`` such ones of plain
+text (up to three of each text, one of them at its end; documented bounds). Everything else covers every text whole.
 
 Cases: a null text counts as empty and has no spans (``redact`` keeps it
 null). Rows are treated one by one, so repeated rows give repeated results and
@@ -36,14 +38,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, renamed
+from .common import renamed, texts_of, written
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_WINDOWS = 1200
+PLAIN_WINDOWS = 600
+BOUNDS = ((False, TRAIN_WINDOWS), (True, PLAIN_WINDOWS))
 STEPS = 320
 WIDTH = 64
 REACH = 24
 LEAST_CHARS = 7
+#: Characters and windows that are in memory together (one longer text at least).
+SLICE_CHARS, WINDOWS = 1 << 19, 1024
 SURE = 0.7
 HIDDEN, EMBED, SYMBOLS, TAGS = 16, 12, 130, 1 + len(KINDS)
 
@@ -54,8 +60,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
-_MARKS = np.zeros(256, bool)
-_MARKS[[*range(ord("0"), ord("9") + 1), ord("@")]] = True
 
 
 def luhn(digits: str) -> bool:
@@ -155,11 +159,30 @@ def _lstm_back(p, side, e, kept, dout, grad):
     return dz @ p[f"x{side}"].T
 
 
+def _states(p, side, x):
+    """Hidden states as ``_lstm`` gives them, of symbols (T, N); a sigmoid is a tanh of half the input."""
+    half = np.repeat(np.float32([0.5, 1]), (3 * HIDDEN, HIDDEN))
+    table, turn = (p["embed"] @ p[f"x{side}"] + p[f"c{side}"]) * half, p[f"h{side}"] * half
+    h = c = np.zeros((x.shape[1], HIDDEN), np.float32)
+    out = np.empty((*x.shape, HIDDEN), np.float32)
+    for t, own in enumerate(x):
+        z = h @ turn
+        z += table[own]
+        np.tanh(z, out=z)
+        gates = z[:, :3 * HIDDEN]
+        gates *= np.float32(0.5)
+        gates += np.float32(0.5)
+        c = gates[:, HIDDEN:2 * HIDDEN] * c
+        c += gates[:, :HIDDEN] * z[:, 3 * HIDDEN:]
+        h = np.multiply(gates[:, 2 * HIDDEN:], np.tanh(c), out=out[t])
+    return out
+
+
 def scores(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     """Tag scores (N, T, TAGS) of windows of symbols (N, T)."""
-    e = p["embed"][x.T]
-    both = np.concatenate((_lstm(p, "f", e), _lstm(p, "b", e[::-1])[::-1]), 2)
-    return (both @ p["out"] + p["bias"]).transpose(1, 0, 2)
+    x = np.ascontiguousarray(x.T)
+    s = _states(p, "f", x) @ p["out"][:HIDDEN] + _states(p, "b", x[::-1])[::-1] @ p["out"][HIDDEN:]
+    return (s + p["bias"]).transpose(1, 0, 2)
 
 
 def _logsum(x, axis):
@@ -219,21 +242,52 @@ def train(x: np.ndarray, y: np.ndarray, steps: int = STEPS, batch: int = 64, rat
     return p
 
 
-def viterbi(s: np.ndarray, step: np.ndarray) -> np.ndarray:
-    """Best tags (N, T) of scores (N, T, TAGS)."""
+def viterbi(s: np.ndarray, step: np.ndarray, length: np.ndarray | None = None, inner: np.ndarray | None = None) -> np.ndarray:
+    """Best tags (N, T) of scores (N, T, TAGS), of which the first ``length`` count.
+
+    ``inner`` (N, 2) tells where a tag 0 stands before and behind the scores.
+    """
     n, steps, _ = s.shape
-    best, back = s[:, 0], np.zeros((steps, n, TAGS), np.int8)
+    length = np.full(n, steps) if length is None else length
+    inner = np.zeros((n, 2), bool) if inner is None else inner
+    best, back = s[:, 0] + inner[:, :1] * step[0], np.zeros((steps, n, TAGS), np.int8)
     for t in range(1, steps):
         every = best[:, :, None] + step
-        back[t] = every.argmax(1)
-        best = every.max(1) + s[:, t]
+        on = (t < length)[:, None]
+        back[t] = np.where(on, every.argmax(1), np.arange(TAGS))
+        best = np.where(on, every.max(1) + s[:, t], best)
     out = np.empty((steps, n), np.int64)
-    out[-1] = best.argmax(1)
+    out[-1] = (best + inner[:, 1:] * step[:, 0]).argmax(1)
     for t in range(steps - 1, 0, -1):
         out[t - 1] = back[t][np.arange(n), out[t]]
     return out.T
 
 
+def best_tags(s: np.ndarray, offs: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Best tags of texts whose scores (T, TAGS) lie one behind the other, text k from offs[k] to offs[k + 1]."""
+    tags = np.zeros(len(s), np.int64)
+    open_ = s[:, 0] - s[:, 1:].max(1) <= 2 * (step.max() - step.min())
+    edge = np.zeros(len(s) + 1, bool)
+    edge[offs] = True
+    before, after = np.concatenate(([False], open_[:-1])), np.concatenate((open_[1:], [False]))
+    lo = np.flatnonzero(open_ & (~before | edge[:-1]))
+    hi = np.flatnonzero(open_ & (~after | edge[1:])) + 1
+    inner = np.stack((~edge[lo], ~edge[hi]), 1)
+    order = np.argsort(hi - lo, kind="stable")
+    at = 0
+    while at < len(order):
+        longest = 2 * (hi - lo)[order[at]]
+        end = min(int(np.searchsorted((hi - lo)[order], longest, "right")), at + max(1, (1 << 18) // int(longest)))
+        part = order[at:end]
+        size = (hi - lo)[part]
+        places = lo[part][:, None] + np.arange(size.max())
+        inside = np.arange(size.max()) < size[:, None]
+        found = viterbi(s[np.where(inside, places, 0)], step, size, inner[part])
+        tags[places[inside]] = found[inside]
+        at = end
+    return tags
+
+
 # --- windows ---------------------------------------------------------------
 
 def stretches(text: str) -> list[tuple[int, int]]:
@@ -267,9 +321,15 @@ def _number(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=6).digest(), "little")
 
 
-def training_windows(text: str) -> Iterator[tuple[int, str, bytes]]:
-    """(hash, window, its tags as bytes) around every stretch's first base span or trigger."""
+def training_windows(text: str) -> Iterator[tuple[int, str, bytes, bool]]:
+    """(hash, window, its tags as bytes, whether it is plain) around every stretch's first base span or trigger, and some plain ones without either."""
     spans = base_spans(text)
+    if text:
+        key = _number(text)
+        for at in (key % len(text), key // len(text) % len(text), max(0, len(text) - 1 - key % WIDTH)):
+            plain = text[at:at + WIDTH].ljust(WIDTH)
+            if not _TRIGGER.search(plain):
+                yield _number(plain), plain, bytes(WIDTH), True
     for lo, hi in stretches(text):
         inside = sorted(((s, e, k) for k, s, e in spans if lo <= s and e <= hi), key=lambda x: (x[0], -x[1]))
         key = _number(text[lo:hi])
@@ -284,33 +344,26 @@ def training_windows(text: str) -> Iterator[tuple[int, str, bytes]]:
         out += text[at:tail]
         tags += [0] * (tail - at)
         out, tags = out[:WIDTH].ljust(WIDTH), (tags + [0] * WIDTH)[:WIDTH]
-        yield key, out, bytes(tags)
-
-
-def _with_marks(column: pa.Array) -> np.ndarray:
-    """Whether each text has a digit or ``@``."""
-    out = np.zeros(len(column), bool)
-    for lo, hi, data, offs in chunks(column):
-        total = np.concatenate(([0], np.cumsum(_MARKS[data])))
-        out[lo:hi] = total[offs[1:]] > total[offs[:-1]]
-    return out
+        yield key, out, bytes(tags), False
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column("text")
-        rows = [w for text in column.filter(pa.array(_with_marks(column))).to_pylist() for w in training_windows(text)]
+        rows = [w for text in texts_of(batch.column("text")) for w in training_windows(text)]
         # No more than the bound can be among the smallest of all.
-        rows = sorted(set(rows))[:TRAIN_WINDOWS]
+        rows = [r for plain, most in BOUNDS for r in sorted({r for r in rows if r[3] == plain})[:most]]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
-             pa.array([r[2] for r in rows], pa.binary())], names=["key", "window", "tags"])
+             pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.bool_())],
+            names=["key", "window", "tags", "plain"])
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray] | None:
-    """Weights of the model, from the ``TRAIN_WINDOWS`` windows with the smallest hash."""
-    rows = (renamed(docs, {text_col: "text"}).mapInArrow(_window_batches, "key long, window string, tags binary")
-            .distinct().orderBy("key", "window").limit(TRAIN_WINDOWS).toArrow())
+    """Weights of the model, from the ``TRAIN_WINDOWS`` windows and ``PLAIN_WINDOWS`` plain ones with the smallest hashes."""
+    every = written(renamed(docs, {text_col: "text"}).mapInArrow(
+        _window_batches, "key long, window string, tags binary, plain boolean").distinct(), "windows")
+    rows = pa.concat_tables(every.where(F.col("plain") == plain).orderBy("key", "window").limit(most).toArrow()
+                            for plain, most in BOUNDS)
     if not rows.num_rows:
         return None
     x = np.stack([symbols(w) for w in rows.column("window").to_pylist()])
@@ -320,51 +373,66 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict[str, np.ndarray] | None
 
 def model_spans(p: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Spans of the model in each text, sure ones only."""
-    parts = [(i, lo, hi) for i, text in enumerate(texts) for lo, hi in stretches(text)]
-    found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    # Stretches of like length go through the network together.
-    parts.sort(key=lambda part: part[2] - part[1])
+    found: list[list[tuple[str, int, int]]] = []
     at = 0
-    while at < len(parts):
-        end = at
-        size = 0
-        while end < len(parts) and (end == at or size + parts[end][2] - parts[end][1] <= 1 << 16) \
-                and parts[end][2] - parts[end][1] <= 2 * (parts[at][2] - parts[at][1]):
-            size += parts[end][2] - parts[end][1]
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE_CHARS):
+            size += len(texts[end])
             end += 1
-        _decode_parts(p, texts, parts[at:end], found)
+        found += _decoded(p, texts[at:end])
         at = end
     return found
 
 
-def _decode_parts(p, texts, parts, found) -> None:
+def blended(p: dict[str, np.ndarray], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(scores of all characters, offsets of the texts), blended from windows that overlap by half."""
     half = WIDTH // 2
-    longest = max(hi - lo for _, lo, hi in parts)
-    count = max(1, -(-(longest - half) // half))
-    length = (count + 1) * half
-    x = np.full((len(parts), length), ord(" "), np.int64)
-    for k, (i, lo, hi) in enumerate(parts):
-        x[k, :hi - lo] = symbols(texts[i][lo:hi])
+    sizes = np.array([len(t) for t in texts])
+    counts = np.maximum(1, -(-(sizes - half) // half))
+    # Every text has room for its windows, filled up with spaces.
+    room = (counts + 1) * half
+    base = np.concatenate(([0], np.cumsum(room)))
+    x = np.full(base[-1], ord(" "), np.int64)
+    offs = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(offs[-1]) + np.repeat(base[:-1] - offs[:-1], sizes)
+    x[place] = symbols("".join(texts))
+    first = np.concatenate([b + half * np.arange(c) for b, c in zip(base[:-1].tolist(), counts.tolist(), strict=True)])
     weight = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)[:, None]
-    blend, total = np.zeros((len(parts), length, TAGS), np.float32), np.zeros((length, 1), np.float32)
-    for w in range(count):
-        part = slice(w * half, w * half + WIDTH)
-        blend[:, part] += scores(p, x[:, part]) * weight
-        total[part] += weight
-    blend /= total
-    tags = viterbi(blend, p["step"])
-    e = np.exp(blend - blend.max(2, keepdims=True))
-    sure = np.take_along_axis(e, tags[:, :, None], 2)[:, :, 0] / e.sum(2)
-    for k, (i, lo, hi) in enumerate(parts):
-        own = tags[k, :hi - lo]
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], own, [0]))))
-        for s, t in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            if not own[s] or sure[k, s:t].mean() < SURE:
-                continue
-            piece = texts[i][lo + s:lo + t]
-            s, t = s + len(piece) - len(piece.lstrip()), t - len(piece) + len(piece.rstrip())
-            if t - s >= LEAST_CHARS and _TRIGGER.search(texts[i], lo + s, lo + t):
-                found[i].append((KINDS[own[s] - 1], lo + s, lo + t))
+    halves, total = np.zeros((len(x) // half, half, TAGS), np.float32), np.zeros((len(x) // half, half, 1), np.float32)
+    for lo in range(0, len(first), WINDOWS):
+        own = first[lo:lo + WINDOWS]
+        s = scores(p, x[own[:, None] + np.arange(WIDTH)]) * weight
+        for k in range(2):
+            halves[own // half + k] += s[:, k * half:(k + 1) * half]
+            total[own // half + k] += weight[k * half:(k + 1) * half]
+    return (halves / total).reshape(-1, TAGS)[place], offs
+
+
+def _decoded(p, texts: list[str]) -> list[list[tuple[str, int, int]]]:
+    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    if not any(texts):
+        return out
+    s, offs = blended(p, texts)
+    tags = best_tags(s, offs, p["step"])
+    edge = np.ones(len(s) + 1, bool)
+    edge[1:-1] = tags[1:] != tags[:-1]
+    edge[offs] = True
+    places = np.flatnonzero(edge)
+    for lo, hi in zip(places[:-1].tolist(), places[1:].tolist(), strict=True):
+        tag = tags[lo]
+        if not tag:
+            continue
+        e = np.exp(s[lo:hi] - s[lo:hi].max(1, keepdims=True))
+        if (e[:, tag] / e.sum(1)).mean() < SURE:
+            continue
+        i = int(np.searchsorted(offs, lo, "right")) - 1
+        lo, hi = lo - offs[i], hi - offs[i]
+        piece = texts[i][lo:hi]
+        lo, hi = int(lo + len(piece) - len(piece.lstrip())), int(hi - len(piece) + len(piece.rstrip()))
+        if hi - lo >= LEAST_CHARS:
+            out[i].append((KINDS[tag - 1], lo, hi))
+    return out
 
 
 def all_spans(p, texts: list[str]) -> list[tuple[list, list]]:
@@ -382,12 +450,7 @@ def by_kind(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def _batch_spans(p, column: pa.Array) -> list[tuple[list, list]]:
-    out: list[tuple[list, list]] = [([], [])] * len(column)
-    rows = np.flatnonzero(_with_marks(column))
-    found = all_spans(p, column.take(pa.array(rows)).to_pylist())
-    for row, spans in zip(rows.tolist(), found, strict=True):
-        out[row] = spans
-    return out
+    return all_spans(p, texts_of(column))
 
 
 def find(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

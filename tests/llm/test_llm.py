@@ -199,6 +199,45 @@ def test_model_adds_rewritten_forms_and_leaves_prose_alone(spark):
     assert "<email>" in text and "@" not in text
 
 
+def test_model_finds_rewritten_emails_without_digits(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnoprstuvwz"), int(rng.integers(4, 8))))
+    prose = "the thing of an inner hand was seen at home and then we met at noon".split()
+
+    def filler(n):
+        return " ".join(rng.choice(prose, n))
+
+    docs = frame(spark, [(i, f"{filler(14)} {word()}.{word()}@{word()}.com {filler(14)}") for i in range(500)]
+                 + [(i, filler(40)) for i in range(500, 700)])
+    model = pii.fit(docs)
+    new = [f"{filler(30)} {data} {filler(30)}" for data in ("maria.klein(at)example.com", "maria.klein at example dot com")]
+    for text, spans, data in zip(new, pii.model_spans(model, new), ("maria.klein(at)example.com", "maria.klein at example dot com"), strict=True):
+        at = text.index(data)
+        assert [s[0] for s in spans] == ["email"] and abs(spans[0][1] - at) <= 2 and abs(spans[0][2] - at - len(data)) <= 2
+    plain = [filler(60) for _ in range(100)]
+    assert sum(map(len, pii.model_spans(model, plain))) <= 1
+    redacted = pii.redact(frame(spark, list(enumerate(new))), model).collect()
+    assert all("<email>" in r.text for r in redacted)
+
+
+def test_decoding_between_sure_places_gives_the_best_path():
+    rng = np.random.default_rng(8)
+    step = rng.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+    sizes = [0, 1, 40, 300, 7]
+    s = rng.standard_normal((sum(sizes), pii.TAGS)).astype(np.float32)
+    s[:, 0] += 30 * (rng.random(len(s)) < 0.6)
+    offs = np.concatenate(([0], np.cumsum(sizes)))
+    got = pii.best_tags(s, offs, step)
+    for a, b in zip(offs[:-1], offs[1:], strict=True):
+        if b > a:
+            assert (got[a:b] == pii.viterbi(s[None, a:b], step)[0]).all()
+    p = pii.initial()
+    x = rng.integers(0, 129, (5, pii.WIDTH))
+    e = p["embed"][x.T]
+    both = np.concatenate((pii._lstm(p, "f", e), pii._lstm(p, "b", e[::-1])[::-1]), 2)
+    assert np.abs(pii.scores(p, x) - (both @ p["out"] + p["bias"]).transpose(1, 0, 2)).max() < 1e-4
+
+
 def test_pii_odd_rows(odd, empty):
     assert pii.fit(empty) is None
     rows = pii.find(odd, None).collect()
