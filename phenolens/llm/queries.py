@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language_id, licenses, near_dedup, packing, pii, quality, substring_dedup, suffix_dedup
+from . import (
+    bpe,
+    fingerprint,
+    jaccard_join,
+    language_id,
+    licenses,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    resampling,
+    spelling,
+    substring_dedup,
+    suffix_dedup,
+)
 from .common import documents
 
 
@@ -63,6 +77,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(documents(spark, sf_dir), packing.text_cluster(F.col("text")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), benchmark).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(documents(spark, sf_dir))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -74,4 +101,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
+    "op13_spelling_variants": op13_spelling_variants,
 }
