@@ -156,9 +156,9 @@ def moves(groups: int) -> list[tuple[int, ...]]:
 
 def near_words(words: DataFrame) -> DataFrame:
     """word, near, near_n: both directions of every pair of near words of (word, n)."""
-    letters = F.split("word", "")
-    # Blocks by length and letters in each group; the numbers of all groups add up to the length.
-    numbers = [F.size(F.filter(letters, lambda c, k=k: F.ascii(c) % GROUPS == k)).alias(f"g{k}") for k in range(GROUPS)]
+    groups = F.transform(F.split("word", ""), lambda c: F.ascii(c) % GROUPS)
+    # The numbers of letters in the groups add up to the length.
+    numbers = [(F.size(groups) - F.size(F.array_remove(groups, k))).alias(f"g{k}") for k in range(GROUPS)]
     blocked = words.select("word", "n", F.length("word").alias("size"), *numbers)
     key = ["size", *(f"g{k}" for k in range(GROUPS))]
     sizes = blocked.groupBy(*key).agg(F.count("*").alias("held"))
