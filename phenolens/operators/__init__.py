@@ -23,13 +23,17 @@ from .features import (
     medication_features,
     patient_vectors,
 )
-from .metrics import paired_by_patient, purity
-from .moments import feature_covariance, feature_moments, gram_long, scaled_long
+from .metrics import paired_by_patient, paired_purity, pairing, purity
+from .moments import feature_covariance, feature_moments, gram_blocks, gram_long, scaled_long
+from .rule_table import CompiledRules, as_rule_table, compile_rules
 from .stats import lab_mean_by_label
 
 __all__ = [
+    "CompiledRules",
+    "as_rule_table",
     "avg_features",
     "case_branches",
+    "compile_rules",
     "controls",
     "count_features",
     "diagnostic_features",
@@ -40,6 +44,7 @@ __all__ = [
     "feature_matrix_long",
     "feature_moments",
     "feature_tuples",
+    "gram_blocks",
     "gram_long",
     "indexed_tuples",
     "lab_abnormal_patients",
@@ -49,6 +54,8 @@ __all__ = [
     "label_counts",
     "medication_features",
     "paired_by_patient",
+    "paired_purity",
+    "pairing",
     "patient_flags",
     "patient_vectors",
     "phenotype",

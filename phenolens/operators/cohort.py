@@ -1,7 +1,10 @@
 """Rule-based phenotyping: case (1), control (2), other (3) per patient.
 
-Plan shape: each event table is projected to ``(patient_id, flag columns)``,
-the projections are unioned and folded by ONE ``groupBy("patient_id")``.
+Plan shape: rows that no rule can use (drugs outside the lists, tests that are
+neither marker nor abnormal) are filtered out first, below the encounter
+joins. Then each event table is projected to ``(patient_id, flag columns)``,
+the projections are unioned and folded by ONE ``groupBy("patient_id")``. Rules
+may come as :class:`CohortRules` or from a table (``rule_table``).
 Spark aggregates partially before the shuffle, so a patient that owns a large
 share of all rows still sends only one row per map task; there is no collect,
 no ``isin`` over collected ids and no chain of joins.
@@ -29,24 +32,15 @@ from pyspark.sql import functions as F
 from ..functions import abnormal_lab, contains_any, in_set
 from ..rules import CohortRules
 from ..sources.clinical import EventTables
+from .rule_table import CODE_LISTS, DRUG_LISTS, CompiledRules, compiled, drug_terms
+
+Rules = CohortRules | CompiledRules
 
 CASE, CONTROL, OTHER = 1, 2, 3
 
 
 # --- per-row flags ------------------------------------------------------------
 
-def _target_code(code: Column, rules: CohortRules) -> Column:
-    target = in_set(code, rules.target_dx)
-    if rules.exclusion == "row":
-        # The excluding-code test is part of the same row predicate.
-        return target & ~in_set(code, rules.excluding_dx)
-    return target
-
-
-def _target_row(code: Column, rules: CohortRules) -> Column:
-    return in_set(code, rules.target_dx) & ~in_set(code, rules.excluding_dx)
-
-
 def _related_code(code: Column, rules: CohortRules) -> Column:
     return in_set(code, rules.related_dx) | contains_any(code, rules.related_contains)
 
@@ -55,49 +49,87 @@ def _marker(test_name: Column, rules: CohortRules) -> Column:
     return F.lower(test_name).contains(rules.lab_marker.lower())
 
 
-def dx_row_flags(dx: DataFrame, rules: CohortRules) -> DataFrame:
-    code = F.col("code")
-    return dx.select(
-        "patient_id",
-        F.lit(True).alias("in_dx"),
-        _target_row(code, rules).alias("dx_target_row"),
-        in_set(code, rules.target_dx).alias("dx_target_any"),
-        in_set(code, rules.excluding_dx).alias("dx_excluding"),
-        _related_code(code, rules).alias("dx_related"),
-    )
+def _with_lists(rows: DataFrame, name: Column, rules: CompiledRules, lists: tuple[str, ...], lower: bool) -> DataFrame:
+    """``rows`` with one boolean column for each of ``lists``: whether the name is in it (null counts as no)."""
+    key = F.lower(name) if lower else name
+    inline = {n: F.coalesce(in_set(key, getattr(rules.inline, n)), F.lit(False)) for n in lists}
+    terms = rules.flags_of_terms(lists)
+    if terms is None:
+        return rows.withColumns({f"_in_{n}": c for n, c in inline.items()})
+    terms = rules.bounded(terms.withColumnsRenamed({n: f"_long_{n}" for n in lists}), lists)
+    joined = rows.join(terms, key == F.col("term"), "left")
+    return joined.withColumns({f"_in_{n}": c | F.coalesce(F.col(f"_long_{n}"), F.lit(False)) for n, c in inline.items()})
+
+
+def _wanted_drugs(med: DataFrame, rules: CompiledRules) -> DataFrame:
+    """The drug orders whose drug is in a list: a pushed predicate, or a left semi join that Catalyst moves down."""
+    name = F.lower(F.col("medicine"))
+    if not any(n in rules.long for n in DRUG_LISTS):
+        return med.where(in_set(name, drug_terms(rules)))
+    inline = med.sparkSession.createDataFrame([(t,) for t in drug_terms(rules)], "term string")
+    terms = inline.unionByName(rules.flags_of_terms(DRUG_LISTS).select("term"))
+    return med.join(rules.bounded(terms, DRUG_LISTS), name == F.col("term"), "left_semi")
+
+
+def _dx_flags(rules: CompiledRules) -> list[Column]:
+    stem = F.coalesce(contains_any(F.col("code"), rules.inline.related_contains), F.lit(False))
+    return [
+        (F.col("_in_target_dx") & ~F.col("_in_excluding_dx")).alias("dx_target_row"),
+        F.col("_in_target_dx").alias("dx_target_any"),
+        F.col("_in_excluding_dx").alias("dx_excluding"),
+        (F.col("_in_related_dx") | stem).alias("dx_related"),
+    ]
 
 
-def med_row_flags(med: DataFrame, rules: CohortRules) -> DataFrame:
-    excluding = in_set("medicine", rules.excluding_drugs, lower=True)
-    target = in_set("medicine", rules.target_drugs, lower=True)
-    return med.select(
-        "patient_id",
+def _med_flags() -> list[Column]:
+    excluding, target = F.col("_in_excluding_drugs"), F.col("_in_target_drugs")
+    return [
         excluding.alias("med_excluding"),
         target.alias("med_target"),
         F.when(excluding, F.col("date")).alias("excluding_date"),
         F.when(target, F.col("date")).alias("target_date"),
-    )
+    ]
 
 
-def lab_row_flags(lab: DataFrame, rules: CohortRules, with_stat: bool = False) -> DataFrame:
-    cols = [
-        "patient_id",
-        _marker(F.col("test_name"), rules).alias("lab_marker"),
-        abnormal_lab("test_name", "value", rules.abnormal_labs).alias("lab_abnormal"),
-    ]
+def visit_row_flags(visits: DataFrame, rules: CompiledRules) -> DataFrame:
+    """Flags of rows ``(patient_id, code, medicine, date)``; one without a medicine is a diagnosis, even if its code is null."""
+    rows = _with_lists(visits, F.col("code"), rules, CODE_LISTS, lower=False).drop("term")
+    rows = _with_lists(rows, F.col("medicine"), rules, DRUG_LISTS, lower=True)
+    return rows.select("patient_id", F.col("medicine").isNull().alias("in_dx"), *_dx_flags(rules), *_med_flags())
+
+
+def dx_row_flags(dx: DataFrame, rules: Rules) -> DataFrame:
+    rules = compiled(rules)
+    rows = _with_lists(dx, F.col("code"), rules, CODE_LISTS, lower=False)
+    return rows.select("patient_id", F.lit(True).alias("in_dx"), *_dx_flags(rules))
+
+
+def med_row_flags(med: DataFrame, rules: Rules) -> DataFrame:
+    """Flags of the drug orders that a list names; others decide nothing."""
+    rules = compiled(rules)
+    return _with_lists(_wanted_drugs(med, rules), F.col("medicine"), rules, DRUG_LISTS, lower=True).select(
+        "patient_id", *_med_flags())
+
+
+def lab_row_flags(lab: DataFrame, rules: Rules, with_stat: bool = False) -> DataFrame:
+    """Flags of the lab rows that a rule can use."""
+    rules = compiled(rules).inline
+    marker = _marker(F.col("test_name"), rules)
+    abnormal = abnormal_lab("test_name", "value", rules.abnormal_labs)
+    used, cols = marker | abnormal, ["patient_id", marker.alias("lab_marker"), abnormal.alias("lab_abnormal")]
     if with_stat:
         is_stat = F.lower(F.col("test_name")) == F.lit(rules.stat_test.lower())
-        cols.append(F.when(is_stat, F.col("value")).alias("stat_value"))
-    return lab.select(*cols)
+        used, cols = used | is_stat, [*cols, F.when(is_stat, F.col("value")).alias("stat_value")]
+    return lab.where(used).select(*cols)
 
 
 def _any(name: str) -> Column:
     return F.coalesce(F.bool_or(name), F.lit(False)).alias(name)
 
 
-def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
+def patient_flags(rules: Rules, dx: DataFrame | None = None,
                   med: DataFrame | None = None, lab: DataFrame | None = None,
-                  with_stat: bool = False) -> DataFrame:
+                  with_stat: bool = False, visits: DataFrame | None = None) -> DataFrame:
     """One row per patient seen in any given table, with every rule flag.
 
     Columns: ``patient_id, in_dx, dx_target_row, dx_target_any, dx_excluding,
@@ -105,10 +137,14 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
     first_target_date, lab_marker, lab_abnormal, dx_target``, where
     ``dx_target`` follows ``rules.exclusion``. Flags of a table that is not
     given are false.
+    ``visits`` stands for ``dx`` and ``med`` together (see ``EventTables``).
     ``with_stat`` adds ``stat_sum`` and ``stat_n``: sum and count of the
     values of ``rules.stat_test`` for the patient, from the same pass.
     """
+    rules = compiled(rules)
     parts = []
+    if visits is not None:
+        parts.append(visit_row_flags(visits, rules))
     if dx is not None:
         parts.append(dx_row_flags(dx, rules))
     if med is not None:
@@ -139,7 +175,7 @@ def patient_flags(rules: CohortRules, dx: DataFrame | None = None,
             rows = rows.withColumn("stat_value", F.lit(None).cast("double"))
         aggs += [F.sum("stat_value").alias("stat_sum"), F.count("stat_value").alias("stat_n")]
     flags = rows.groupBy("patient_id").agg(*aggs)
-    return flags.withColumn("dx_target", _target_flag(rules.exclusion))
+    return flags.withColumn("dx_target", _target_flag(rules.inline.exclusion))
 
 
 def _target_flag(exclusion: str) -> Column:
@@ -176,16 +212,27 @@ def label_column(target: Column | None = None) -> Column:
     )
 
 
-def phenotype(tables: EventTables, rules: CohortRules) -> DataFrame:
+def table_flags(tables: EventTables, rules: Rules, lab: bool = True, with_stat: bool = False) -> DataFrame:
+    """``patient_flags`` of event tables; diagnoses and drug orders of a common source are read in one scan of it."""
+    rules = compiled(rules)
+    labs = tables.lab if lab else None
+    # Lists too long for a predicate: a semi join goes below the joins of tables.med.
+    if tables.visits is None or any(n in rules.long for n in DRUG_LISTS):
+        return patient_flags(rules, dx=tables.dx, med=tables.med, lab=labs, with_stat=with_stat)
+    wanted = drug_terms(rules)
+    return patient_flags(rules, visits=tables.visits(lambda name: in_set(F.lower(name), wanted)), lab=labs, with_stat=with_stat)
+
+
+def phenotype(tables: EventTables, rules: Rules) -> DataFrame:
     """``(patient_id string, label int)``: one row per labelled patient."""
-    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab)
+    flags = table_flags(tables, rules)
     return (
         flags.select("patient_id", label_column().cast("int").alias("label"))
         .where(F.col("label").isNotNull())
     )
 
 
-def phenotype_modes(tables: EventTables, rules: CohortRules) -> DataFrame:
+def phenotype_modes(tables: EventTables, rules: Rules) -> DataFrame:
     """``(patient_id, label_row int, label_patient int)``: both exclusion modes, one pass.
 
     Both labels come from the same flag aggregation (any target row, any
@@ -193,7 +240,7 @@ def phenotype_modes(tables: EventTables, rules: CohortRules) -> DataFrame:
     reads and shuffles the events once. The labelled patients are the same in
     both modes (a case needs a diagnosis row, and so does "other").
     """
-    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab)
+    flags = table_flags(tables, rules)
     return flags.select(
         "patient_id",
         label_column(_target_flag("row")).cast("int").alias("label_row"),
@@ -201,7 +248,7 @@ def phenotype_modes(tables: EventTables, rules: CohortRules) -> DataFrame:
     ).where(F.col("label_row").isNotNull())
 
 
-def label_stat(tables: EventTables, rules: CohortRules) -> DataFrame:
+def label_stat(tables: EventTables, rules: Rules) -> DataFrame:
     """Mean of ``rules.stat_test`` per label in one pass over the events.
 
     ``(label int, mean_value double, n_rows bigint)``; same result as
@@ -209,7 +256,7 @@ def label_stat(tables: EventTables, rules: CohortRules) -> DataFrame:
     labels and the per-patient sums come out of the same aggregation, so the
     events are read and shuffled once.
     """
-    flags = patient_flags(rules, dx=tables.dx, med=tables.med, lab=tables.lab, with_stat=True)
+    flags = table_flags(tables, rules, with_stat=True)
     return (
         flags.select(label_column().cast("int").alias("label"), "stat_sum", "stat_n")
         .where(F.col("label").isNotNull() & (F.col("stat_n") > 0))
@@ -223,16 +270,16 @@ def label_counts(labels: DataFrame) -> DataFrame:
     return labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_patients"))
 
 
-def case_branches(tables: EventTables, rules: CohortRules) -> DataFrame:
+def case_branches(tables: EventTables, rules: Rules) -> DataFrame:
     """``(patient_id, branch int)`` for every case patient."""
-    flags = patient_flags(rules, dx=tables.dx, med=tables.med)
+    flags = table_flags(tables, rules, lab=False)
     return (
         flags.select("patient_id", case_branch().cast("int").alias("branch"))
         .where(F.col("branch").isNotNull())
     )
 
 
-def controls(tables: EventTables, rules: CohortRules) -> DataFrame:
+def controls(tables: EventTables, rules: Rules) -> DataFrame:
     """``(patient_id)`` meeting the control rules (a diagnosis row is not needed).
 
     This is the rule set alone; in :func:`phenotype` a patient who is also a
@@ -244,25 +291,29 @@ def controls(tables: EventTables, rules: CohortRules) -> DataFrame:
 
 # --- single-table patient sets ------------------------------------------------
 
-def dx_target_patients(dx: DataFrame, rules: CohortRules) -> DataFrame:
+def dx_target_patients(dx: DataFrame, rules: Rules) -> DataFrame:
     """Patients with a target diagnosis (exclusion applied per ``rules.exclusion``)."""
-    if rules.exclusion == "row":
-        return dx.where(_target_code(F.col("code"), rules)).select("patient_id").distinct()
-    flags = patient_flags(rules, dx=dx)
-    return flags.where(F.col("dx_target")).select("patient_id")
+    rules = compiled(rules)
+    if rules.inline.exclusion == "row" and not any(n in rules.long for n in CODE_LISTS):
+        target = in_set("code", rules.inline.target_dx) & ~in_set("code", rules.inline.excluding_dx)
+        return dx.where(target).select("patient_id").distinct()
+    return patient_flags(rules, dx=dx).where(F.col("dx_target")).select("patient_id")
 
 
-def dx_related_patients(dx: DataFrame, rules: CohortRules) -> DataFrame:
+def dx_related_patients(dx: DataFrame, rules: Rules) -> DataFrame:
     """Patients with a related code (in the list, or containing a stem)."""
-    return dx.where(_related_code(F.col("code"), rules)).select("patient_id").distinct()
+    rules = compiled(rules)
+    if "related_dx" in rules.long:
+        return patient_flags(rules, dx=dx).where(F.col("dx_related")).select("patient_id")
+    return dx.where(_related_code(F.col("code"), rules.inline)).select("patient_id").distinct()
 
 
-def lab_marker_patients(lab: DataFrame, rules: CohortRules) -> DataFrame:
+def lab_marker_patients(lab: DataFrame, rules: Rules) -> DataFrame:
     """Patients with a test whose lower-cased name contains the marker."""
-    return lab.where(_marker(F.col("test_name"), rules)).select("patient_id").distinct()
+    return lab.where(_marker(F.col("test_name"), compiled(rules).inline)).select("patient_id").distinct()
 
 
-def lab_abnormal_patients(lab: DataFrame, rules: CohortRules) -> DataFrame:
+def lab_abnormal_patients(lab: DataFrame, rules: Rules) -> DataFrame:
     """Marker patients with at least one abnormal lab row."""
     flags = patient_flags(rules, lab=lab)
     return flags.where(F.col("lab_marker") & F.col("lab_abnormal")).select("patient_id")

@@ -9,13 +9,14 @@ built per patient from the long form without any driver round trip.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, written_path
 from ..sources.clinical import EventTables
 
 # Above this many features the index is joined with a shuffle instead of
@@ -32,9 +33,11 @@ def _allowed(df: DataFrame, allow: Allow, case_insensitive: bool) -> DataFrame:
     """Keep rows whose ``feature`` is in the allow-list.
 
     A Python collection becomes an ``isin`` predicate (pushed into the scan).
-    A one-column DataFrame of terms (``term``) becomes a left semi join; its
-    size is only known at run time, so the join strategy is left to AQE,
-    which broadcasts it when the shuffled side is small.
+    A one-column DataFrame of terms (``term``) becomes a left semi join, which
+    the callers put behind their aggregation: there a name that a third of all
+    events carry has one row a patient. Its size is only known at run time, so
+    the join strategy is left to AQE, which broadcasts the terms when they are
+    few and splits a hot name otherwise.
     """
     if allow is None:
         return df
@@ -51,6 +54,14 @@ def _allowed(df: DataFrame, allow: Allow, case_insensitive: bool) -> DataFrame:
     return df.where(name.isin(values)) if values else df.where(F.lit(False))
 
 
+def _grouped(rows: DataFrame, value: Column, allow: Allow, case_insensitive: bool) -> DataFrame:
+    """``value`` per (patient, feature): a list of terms filters the scan, a table of terms the groups."""
+    late = isinstance(allow, DataFrame)
+    rows = rows if late else _allowed(rows, allow, case_insensitive)
+    out = rows.groupBy("patient_id", "feature").agg(value.cast("double").alias("value"))
+    return _allowed(out, allow, case_insensitive) if late else out
+
+
 def count_features(events: DataFrame, name_col: str, allow: Allow = None,
                    case_insensitive: bool = False) -> DataFrame:
     """Number of rows per (patient, name) as a double value.
@@ -61,8 +72,7 @@ def count_features(events: DataFrame, name_col: str, allow: Allow = None,
     """
     df = events.select("patient_id", F.col(name_col).alias("feature")).where(
         F.col("feature").isNotNull())
-    df = _allowed(df, allow, case_insensitive)
-    return df.groupBy("patient_id", "feature").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return _grouped(df, F.count(F.lit(1)), allow, case_insensitive)
 
 
 def avg_features(events: DataFrame, name_col: str, value_col: str = "value",
@@ -70,8 +80,7 @@ def avg_features(events: DataFrame, name_col: str, value_col: str = "value",
     """Average value per (patient, name)."""
     df = events.select("patient_id", F.col(name_col).alias("feature"), F.col(value_col).alias("v")).where(
         F.col("feature").isNotNull())
-    df = _allowed(df, allow, case_insensitive)
-    return df.groupBy("patient_id", "feature").agg(F.avg("v").cast("double").alias("value"))
+    return _grouped(df, F.avg("v"), allow, case_insensitive)
 
 
 def diagnostic_features(dx: DataFrame, allow: Allow = None, case_insensitive: bool = False) -> DataFrame:
@@ -86,6 +95,21 @@ def lab_features(lab: DataFrame, allow: Allow = None, case_insensitive: bool = F
     return avg_features(lab, "test_name", "value", allow, case_insensitive)
 
 
+def tagged_tuples(tables: EventTables) -> DataFrame:
+    """``(domain, patient_id, feature, value)``: the tuples of all three event tables with where they come from."""
+    parts = (("dx", diagnostic_features(tables.dx)), ("lab", lab_features(tables.lab)), ("med", medication_features(tables.med)))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(domain).alias("domain"), *df.columns) for domain, df in parts])
+
+
+def allowed_tuples(tagged: DataFrame, allow_codes: Allow = None, allow_drugs: Allow = None, allow_labs: Allow = None,
+                   case_insensitive: bool = False) -> DataFrame:
+    """The tuples of ``tagged_tuples`` that the lists of their domains allow (a missing list allows none)."""
+    lists = {"dx": allow_codes, "lab": allow_labs, "med": allow_drugs}
+    parts = [_allowed(tagged.where(F.col("domain") == domain), [] if allow is None else allow, case_insensitive)
+             for domain, allow in lists.items()]
+    return reduce(DataFrame.unionByName, parts).select("patient_id", "feature", "value")
+
+
 def feature_tuples(tables: EventTables, allow_codes: Allow = None, allow_drugs: Allow = None,
                    allow_labs: Allow = None, case_insensitive: bool = False,
                    filtered: bool | None = None, prefix_domain: bool = False) -> DataFrame:
@@ -203,45 +227,30 @@ def feature_matrix_long(tuples: DataFrame, index: DataFrame,
     )
 
 
-def _densify_udf(n_features: int):
-    """Arrow-batched scatter of (idx[], value[]) pairs into dense rows.
+def patient_vectors(long_form: DataFrame) -> DataFrame:
+    """``(patient_id, indices array<int>, values array<double>)``: one sparse row per patient, indices rising.
 
-    One ``np.bincount`` per Arrow batch, which also adds up repeated indices
-    of a row; the per-element alternative in SQL (``transform`` over 0..n-1
-    with a map lookup each) is interpreted per element and an order of
-    magnitude slower.
+    Takes ``(patient_id, idx, value)`` rows, summed per (patient, idx) or not:
+    the rows are dealt by patient once, and both the sums of repeated indices
+    and the grouping use that layout. A patient's row holds its present
+    features only, so it is bounded by the dictionary and grows with the
+    patient's own features, never with the dictionary.
     """
+    summed = (long_form.repartition("patient_id").groupBy("patient_id", "idx")
+              .agg(F.sum("value").alias("value")))
+    entries = F.sort_array(F.collect_list(F.struct("idx", "value")))
+    return summed.groupBy("patient_id").agg(entries.alias("_entries")).select(
+        "patient_id", F.col("_entries.idx").alias("indices"), F.col("_entries.value").alias("values"))
+
+
+def as_ml_vectors(vectors: DataFrame, n_features: int, label: str = "ml-vectors") -> DataFrame:
+    """``(patient_id, features vector)``: the sparse rows as Spark ML vectors.
 
-    @F.pandas_udf("array<double>")
-    def densify(idx: pd.Series, val: pd.Series) -> pd.Series:
-        n_rows = len(idx)
-        lengths = idx.map(len).to_numpy()
-        if lengths.sum() == 0:
-            flat = np.zeros(n_rows * n_features, dtype=np.float64)
-        else:
-            rows = np.repeat(np.arange(n_rows), lengths)
-            cells = rows * n_features + np.concatenate(idx.to_numpy()).astype(np.int64)
-            weights = np.concatenate(val.to_numpy()).astype(np.float64)
-            flat = np.bincount(cells, weights=weights, minlength=n_rows * n_features)
-        return pd.Series(list(flat.reshape(n_rows, n_features)))
-
-    return densify
-
-
-def patient_vectors(long_form: DataFrame, n_features: int) -> DataFrame:
-    """``(patient_id, features array<double>)``: one dense row per patient.
-
-    Takes ``(patient_id, idx, value)`` rows, summed per (patient, idx) or
-    not: repeated indices of a patient are added while densifying, so the
-    vectors need only this one ``groupBy(patient_id)`` shuffle. A patient's
-    group holds at most one entry per feature and domain, bounded by the
-    dictionary, not by the patient's event count. Use
-    ``pyspark.ml.functions.array_to_vector`` for ML input.
+    A vector column is stored as a struct ``(type, size, indices, values)``;
+    the rows are written in that form once and read back as vectors, so no row
+    passes through Python and none is ever dense.
     """
-    if n_features <= 0:
-        raise ValueError("no features")
-    grouped = long_form.groupBy("patient_id").agg(
-        F.collect_list(F.struct(F.col("idx"), F.col("value"))).alias("_entries"))
-    densify = _densify_udf(n_features)
-    return grouped.select(
-        "patient_id", densify(F.col("_entries.idx"), F.col("_entries.value")).alias("features"))
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(n_features).alias("size"), "indices", "values")
+    path = written_path(vectors.select("patient_id", stored.alias("features")), label)
+    schema = T.StructType([T.StructField("patient_id", T.StringType()), T.StructField("features", VectorUDT())])
+    return vectors.sparkSession.read.schema(schema).parquet(path)

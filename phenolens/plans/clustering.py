@@ -1,9 +1,9 @@
 """Unsupervised phenotyping: standardise, PCA, cluster, score by purity.
 
-Model fitting is Spark ML's own (driver coordinates, executors scan); only
+The clusterers are Spark ML's own (driver coordinates, executors scan); only
 model parameters (k centres, the PC matrix) reach the driver. The projected
-rows feed three fits, so they are range-partitioned by patient, sorted, and
-written once under ``spark.checkpoint.dir``: the fits then read a fixed,
+rows feed three fits, so they are written once under ``spark.checkpoint.dir``,
+dealt by a hash of the patient and sorted: the fits then read a fixed,
 lineage-free input (same layout every run, so a fixed seed repeats; a lost
 executor re-reads the files instead of recomputing the feature pipeline).
 """
@@ -18,21 +18,23 @@ from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import (
+    Allow,
+    allowed_tuples,
+    as_ml_vectors,
     feature_index,
-    feature_matrix_long,
     indexed_tuples,
     join_per_feature,
     patient_vectors,
 )
 from ..operators.metrics import paired_by_patient, purity
-from ..operators.moments import count_patients, feature_covariance, feature_moments
+from ..operators.moments import feature_moments, gram_blocks, matrix_of, moment_arrays
 from ..session import materialize as materialize_table
 from ..streaming.kmeans import assign, random_centres, update
+from .subspace import LinearProjection, fit_subspace
 
 # Settings of the published experiment.
 K_CLUSTERS = 3
@@ -42,34 +44,38 @@ KMEANS_MAX_ITER = 20
 STREAM_CENTRE_WEIGHT = 0.5
 STREAM_DECAY = 1.0
 STREAM_TIME_UNIT = "points"
+#: Up to so many features the correlation matrix (8 bytes a cell) is taken to the driver: 128 MB.
+DRIVER_FEATURES = 4096
 
 
 @dataclass
 class FeatureSpace:
     index: DataFrame          # (feature, idx)
     matrix_long: DataFrame    # (patient_id, idx, value)
-    vectors: DataFrame        # (patient_id, features array<double>)
+    vectors: DataFrame        # (patient_id, indices array<int>, values array<double>), sparse
     n_features: int
 
 
 def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureSpace:
-    """Index, long matrix and dense patient vectors from feature tuples.
-
-    The tuples feed the index, its size and the long matrix. With
-    ``materialize`` they are written once under ``spark.checkpoint.dir``:
-    the aggregated tuples are far smaller than the raw events, so writing
-    them beats re-running the event scans and joins for every consumer, and
-    a lost executor re-reads them instead of recomputing the lineage. The
-    index is rebuilt from its written ranks by a tiny aggregation.
+    """Index, long matrix and sparse patient vectors from feature tuples.
+
+    The tuples feed the index, its size and the vectors. With ``materialize``
+    they are written once under ``spark.checkpoint.dir``, and so are the
+    vectors: the aggregated tuples are far smaller than the raw events, so
+    writing them beats re-running the event scans and joins for every
+    consumer, and a lost executor re-reads them. The long matrix lists the
+    vectors' entries, so neither join nor shuffle is repeated for it.
     """
     if materialize:
         tuples = materialize_table(tuples, "feature-tuples")
     # The index reads its ranks from a table written once (see feature_index).
     index = feature_index(tuples)
     n_features = index.count()
-    long_form = feature_matrix_long(tuples, index, n_features)
-    # Vectors from the unsummed indexed tuples: one shuffle (by patient).
-    vectors = patient_vectors(indexed_tuples(tuples, index, n_features), n_features)
+    vectors = patient_vectors(indexed_tuples(tuples, index, n_features))
+    if materialize:
+        vectors = materialize_table(vectors, "patient-vectors")
+    long_form = vectors.select("patient_id", F.explode(F.arrays_zip("indices", "values")).alias("e")).select(
+        "patient_id", F.col("e.indices").alias("idx"), F.col("e.values").alias("value"))
     return FeatureSpace(index, long_form, vectors, n_features)
 
 
@@ -77,90 +83,68 @@ def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureS
 PROJECTION_ROWS_PER_PARTITION = 200_000
 
 
-def _stable(df: DataFrame, n_rows: int, key: str = "patient_id") -> DataFrame:
+def _stable(df: DataFrame, label: str, key: str = "patient_id") -> DataFrame:
     """Layout that depends on the rows alone: written once, dealt by a hash of the key, sorted.
 
     The partition count follows the row count (one partition per
     :data:`PROJECTION_ROWS_PER_PARTITION` rows). The rows are dealt after the
     read-back, as Spark packs file splits by the number of cores.
     """
-    parts = max(1, -(-n_rows // PROJECTION_ROWS_PER_PARTITION))
-    return materialize_table(df, "projection").repartition(parts, key).sortWithinPartitions(key)
+    written = materialize_table(df, label)
+    parts = max(1, -(-written.count() // PROJECTION_ROWS_PER_PARTITION))
+    return written.repartition(parts, key).sortWithinPartitions(key)
+
+
+def checked_k(k: int, n_features: int, clip_k: bool = False) -> int:
+    if n_features < k and not clip_k:
+        raise ValueError(f"PCA with k={k} needs at least {k} features, got {n_features}")
+    return min(k, n_features)
 
 
-def fit_projection(vectors: DataFrame, k: int = PCA_COMPONENTS, clip_k: bool = False,
-                   n_features: int | None = None) -> tuple[PipelineModel, DataFrame]:
-    """StandardScaler(mean, std) then PCA(k); returns the model and ``(patient_id, pca vector)``.
+def fit_projection(space: FeatureSpace, k: int = PCA_COMPONENTS, clip_k: bool = False) -> tuple[LinearProjection, DataFrame]:
+    """Standardise and PCA(k); returns the model and ``(patient_id, pca vector)``.
 
     The projection is ``scaled row x PC matrix`` (not re-centred). PCA needs
     at least ``k`` features; ``clip_k=True`` lowers k to the feature count.
-    The ML input is persisted for the scaler pass, the PCA passes and the
-    projection, then released once the projection is written.
+    Neither fitting nor projecting makes a patient's row dense outside a task.
     """
-    if n_features is None:
-        n_features = len(vectors.select("features").first()["features"])
-    if clip_k:
-        k = min(k, n_features)
-    elif n_features < k:
-        raise ValueError(f"PCA with k={k} needs at least {k} features, got {n_features}")
-    ml_in = vectors.select("patient_id", array_to_vector("features").alias("raw")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        pipeline = Pipeline(stages=[
-            StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-            PCA(k=k, inputCol="scaled", outputCol="pca"),
-        ])
-        n_rows = ml_in.count()  # also fills the cache the fits read
-        model = pipeline.fit(ml_in)
-        projection = _stable(model.transform(ml_in).select("patient_id", "pca"), n_rows)
-    finally:
-        ml_in.unpersist()
-    return model, projection
-
-
-def score(model: PipelineModel, vectors: DataFrame) -> DataFrame:
-    """Project new patients with a fitted scaler + PCA model: ``(patient_id, pca)``."""
-    ml_in = vectors.select("patient_id", array_to_vector("features").alias("raw"))
-    return model.transform(ml_in).select("patient_id", "pca")
+    model = fit_pca_long(space, checked_k(k, space.n_features, clip_k))
+    scored = score_long(model, space.matrix_long).select("patient_id", array_to_vector("pca").alias("pca"))
+    return model, _stable(scored, "projection")
 
 
-@dataclass
-class LinearProjection:
-    """Scaler + PCA parameters: per-feature mean and sd, and the features x k PC matrix."""
+def fit_pipeline(space: FeatureSpace, k: int = PCA_COMPONENTS, clip_k: bool = False) -> PipelineModel:
+    """The same model as a Spark ML pipeline (StandardScaler with mean and std, then PCA), fitted to sparse vectors."""
+    return Pipeline(stages=[
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        PCA(k=checked_k(k, space.n_features, clip_k), inputCol="scaled", outputCol="pca"),
+    ]).fit(as_ml_vectors(space.vectors, space.n_features))
 
-    mean: np.ndarray
-    std: np.ndarray
-    pc: np.ndarray
-    explained_variance: np.ndarray | None = None
 
-    @classmethod
-    def from_pipeline(cls, model: PipelineModel) -> "LinearProjection":
-        scaler, pca = model.stages[0], model.stages[1]
-        return cls(scaler.mean.toArray(), scaler.std.toArray(), pca.pc.toArray(),
-                   pca.explainedVariance.toArray())
+def score(model: PipelineModel, vectors: DataFrame, n_features: int) -> DataFrame:
+    """Project new patients with a fitted scaler + PCA pipeline: ``(patient_id, pca)``."""
+    return model.transform(as_ml_vectors(vectors, n_features)).select("patient_id", "pca")
 
 
 def fit_pca_long(space: FeatureSpace, k: int = PCA_COMPONENTS) -> LinearProjection:
-    """Standardise + PCA from the long form and the distributed Gram matrix.
-
-    The moments come from the long form. The correlation matrix (the
-    covariance of the standardised features) is the sum of per-partition Gram
-    partials. Only these model-sized results (features and features^2
-    numbers, what Spark ML's PCA also builds) reach the driver, for one
-    symmetric eigen-solve. Components are sorted by explained variance; the
-    sign of each is arbitrary, as in any PCA.
+    """Standardise + PCA from sparse vectors.
+
+    Up to ``DRIVER_FEATURES`` features the correlation matrix is folded in
+    blocks (``gram_blocks``) and its eigenvectors are taken on the driver, as
+    Spark ML's PCA does. Above, no n x n matrix is built anywhere: see
+    :func:`phenolens.plans.subspace.fit_subspace`. Components are sorted by
+    explained variance; the sign of each is arbitrary, as in any PCA.
     """
-    n_patients = count_patients(space.matrix_long)
-    mom = feature_moments(space.matrix_long, n_patients)
     n = space.n_features
-    if n < k:
-        raise ValueError(f"PCA with k={k} needs at least {k} features, got {n}")
-    mean, std = np.zeros(n), np.zeros(n)
-    for r in mom.select("idx", "mean", "sd").collect():  # one row per feature
-        mean[r["idx"]], std[r["idx"]] = r["mean"], r["sd"]
-    corr = np.zeros((n, n))
-    for r in feature_covariance(space.vectors, mom, n_patients, n).collect():  # n(n+1)/2 rows
-        corr[r["i"], r["j"]] = corr[r["j"], r["i"]] = r["covariance"]
+    checked_k(k, n)
+    n_patients = space.vectors.count()
+    mom = materialize_table(feature_moments(space.matrix_long, n_patients), "moments")
+    if n > DRIVER_FEATURES:
+        return fit_subspace(space.matrix_long, mom, n_patients, n, k)
+    mean, std = moment_arrays(mom, n)
+    corr = matrix_of(gram_blocks(space.vectors, n, mean), n) / max(n_patients - 1.0, 1.0)
+    w = np.divide(1.0, std, out=np.zeros_like(std), where=std > 0)
+    corr *= w[:, None] * w
     values, vectors = np.linalg.eigh(corr)
     order = np.argsort(values)[::-1][:k]
     total = values[values > 0].sum()
@@ -221,10 +205,9 @@ def streaming_kmeans_clusters(projection: DataFrame, k: int = K_CLUSTERS, seed:
     return assign(points, new_centres).select("patient_id", "cluster")
 
 
-def evaluate(labels: DataFrame, vectors: DataFrame, feature_set: str,
-             n_features: int | None = None) -> DataFrame:
+def evaluate(labels: DataFrame, space: FeatureSpace, feature_set: str) -> DataFrame:
     """Three purities for one feature set: ``(feature_set, algorithm, n_pairs, purity)``."""
-    _, projection = fit_projection(vectors, n_features=n_features)
+    _, projection = fit_projection(space)
     runs = {
         "kmeans": kmeans_clusters(projection),
         "gmm": gmm_clusters(projection),
@@ -238,14 +221,16 @@ def evaluate(labels: DataFrame, vectors: DataFrame, feature_set: str,
     return reduce(DataFrame.unionByName, rows)
 
 
-def purity_report(labels: DataFrame, tuples_all: DataFrame, tuples_filtered: DataFrame) -> DataFrame:
-    """Six purities: k-means, GMM, streaming k-means on all and on filtered features.
+def purity_report(labels: DataFrame, tagged: DataFrame, allow_codes: Allow = None, allow_drugs: Allow = None,
+                  allow_labs: Allow = None, case_insensitive: bool = False) -> DataFrame:
+    """Six purities: k-means, GMM, streaming k-means on all and on allow-listed features.
 
-    The labels are joined six times, so they are written once first.
+    ``tagged`` are the domain-tagged tuples; they are written once and both
+    arms read that table. The labels are joined six times, so they are written
+    once too. The events are read twice in all: for the labels and the tuples.
     """
     labels = materialize_table(labels.select("patient_id", "label"), "labels")
-    parts = []
-    for name, tuples in (("all", tuples_all), ("filtered", tuples_filtered)):
-        space = build_feature_space(tuples)
-        parts.append(evaluate(labels, space.vectors, name, space.n_features))
-    return parts[0].unionByName(parts[1])
+    tagged = materialize_table(tagged, "tagged-tuples")
+    arms = (("all", tagged.select("patient_id", "feature", "value")),
+            ("filtered", allowed_tuples(tagged, allow_codes, allow_drugs, allow_labs, case_insensitive)))
+    return reduce(DataFrame.unionByName, [evaluate(labels, build_feature_space(tuples), name) for name, tuples in arms])

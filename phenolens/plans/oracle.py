@@ -199,19 +199,27 @@ def oracle_sql() -> dict[str, str]:
         """SELECT l.patient_id, l.idx,
                   round(CASE WHEN m.sd > 0 THEN (l.value - m.mean) / m.sd ELSE 0.0 END, 6) AS value
            FROM mlong l JOIN moments m ON m.idx = l.idx""")
+    # Centred products over every patient, absent features as zeros: nothing cancels.
     q["feature_covariance"] = _with(*space, """
-        gram AS (SELECT a.idx AS i, b.idx AS j, sum(a.value * b.value) AS s
-                 FROM mlong a JOIN mlong b ON a.patient_id = b.patient_id AND a.idx <= b.idx
-                 GROUP BY a.idx, b.idx),
-        pairs AS (SELECT mi.idx AS i, mj.idx AS j, coalesce(g.s, 0.0) AS s,
-                         mi.mean AS mu_i, mj.mean AS mu_j, mi.sd AS sd_i, mj.sd AS sd_j
-                  FROM moments mi JOIN moments mj ON mi.idx <= mj.idx
-                  LEFT JOIN gram g ON g.i = mi.idx AND g.j = mj.idx)""") + (
-        """SELECT p.i, p.j,
-                  round(CASE WHEN p.sd_i * p.sd_j > 0
-                             THEN (p.s - n.n * p.mu_i * p.mu_j) / (n.n - 1.0) / (p.sd_i * p.sd_j)
-                             ELSE 0.0 END, 6) AS covariance
-           FROM pairs p CROSS JOIN npat n""")
+        centred AS (SELECT p.patient_id, m.idx, coalesce(l.value, 0.0) - m.mean AS z, m.sd
+                    FROM (SELECT DISTINCT patient_id FROM mlong) p CROSS JOIN moments m
+                    LEFT JOIN mlong l ON l.patient_id = p.patient_id AND l.idx = m.idx),
+        products AS (SELECT a.idx AS i, b.idx AS j, sum(a.z * b.z) AS s, any_value(a.sd) * any_value(b.sd) AS d
+                     FROM centred a JOIN centred b ON a.patient_id = b.patient_id AND a.idx <= b.idx GROUP BY a.idx, b.idx)""") + (
+        """SELECT p.i, p.j, round(CASE WHEN p.d > 0 THEN p.s / (n.n - 1.0) / p.d ELSE 0.0 END, 6) AS covariance
+           FROM products p CROSS JOIN npat n""")
+    q["patient_vectors"] = _with(*space) + """
+        SELECT patient_id, count(*) AS n_entries, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices,
+               string_agg(CAST(CAST(round(value, 6) AS DECIMAL(18, 6)) AS VARCHAR), ',' ORDER BY idx) AS values
+        FROM mlong GROUP BY patient_id"""
+    q["score_saved_model"] = _with(*filt_t, *SPACE, *[_all_arm(c) for c in all_t], """
+        seen AS (SELECT t.patient_id, f.idx, sum(t.value) AS value FROM all_tuples t JOIN findex f ON f.feature = t.feature
+                 GROUP BY t.patient_id, f.idx),
+        scaled AS (SELECT p.patient_id, m.idx,
+                          CASE WHEN m.sd > 0 THEN (coalesce(s.value, 0.0) - m.mean) / m.sd ELSE 0.0 END AS z
+                   FROM (SELECT DISTINCT patient_id FROM seen) p CROSS JOIN moments m
+                   LEFT JOIN seen s ON s.patient_id = p.patient_id AND s.idx = m.idx)""") + (
+        "SELECT patient_id, count(*) AS n_components, round(sum(z * z), 6) AS squared_length FROM scaled GROUP BY patient_id")
     q["purity_from_pairs"] = """
         WITH pairs AS (SELECT CAST(vec_id % 3 AS INTEGER) AS cluster, label FROM embeddings),
              counts AS (SELECT cluster, label, count(*) AS n FROM pairs GROUP BY cluster, label),
@@ -222,9 +230,89 @@ def oracle_sql() -> dict[str, str]:
     q["purity_cohort_modes"] = _purity_modes_sql()
     q["streaming_kmeans_update"] = _streaming_sql()
     q["streaming_kmeans_stream"] = _streaming_sql()
+    for name, same in SAME_RESULT.items():
+        q[name] = q[same]
+    q["purity_pairing"] = _with(*labels_row, """
+        clusters AS (SELECT patient_id, CAST(count(*) % 5 AS INTEGER) AS cluster FROM medication GROUP BY patient_id),
+        pairs AS (SELECT c.cluster, l.label FROM clusters c
+                  FULL JOIN (SELECT * FROM labels WHERE label < 3) l ON l.patient_id = c.patient_id),
+        counts AS (SELECT cluster, label, count(*) AS n FROM pairs
+                   WHERE cluster IS NOT NULL AND label IS NOT NULL GROUP BY cluster, label),
+        tops AS (SELECT max(n) AS top FROM counts GROUP BY cluster)""") + """
+        SELECT (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) FROM counts) AS n_pairs,
+               (SELECT count(*) FROM pairs WHERE label IS NULL) AS n_unmatched_clusters,
+               (SELECT count(*) FROM pairs WHERE cluster IS NULL) AS n_unmatched_labels,
+               round(CAST((SELECT sum(top) FROM tops) AS DOUBLE) / (SELECT sum(n) FROM counts), 6) AS purity"""
+    q["kmeans_from_centres"] = _kmeans_sql(3)
+    q["mixture_em_step"] = _em_sql()
     return q
 
 
+#: Queries that give another one's rows by another way.
+SAME_RESULT = {
+    "medication_events_from_text": "medication_events",
+    "diagnostic_events_from_text": "diagnostic_events",
+    "phenotype_labels_rule_table": "phenotype_labels",
+    "phenotype_labels_long_lists": "phenotype_labels",
+    "phenotype_labels_from_store": "phenotype_labels",
+    "cohort_case_branches_long_lists": "cohort_case_branches",
+    "cohort_controls_rule_table": "cohort_controls",
+    "lab_mean_by_label_rule_table": "lab_mean_by_label",
+    "feature_tuples_round_trip": "feature_tuples_all",
+    "feature_tuples_from_allow_files": "feature_tuples_filtered",
+}
+
+
+def _all_arm(cte: str) -> str:
+    """The tuples' CTEs under other names (second copy, for all features beside the filtered ones)."""
+    return re.sub(r"\b(f_dx|f_lab|f_med|tuples)\b", r"all_\1", cte)
+
+
+_POINTS = """
+    pts AS (SELECT vec_id, CAST(d - 1 AS INTEGER) AS dim, CAST(embedding[d] AS DOUBLE) AS x
+            FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS d FROM embeddings)),
+    seeds AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster
+              FROM embeddings ORDER BY vec_id LIMIT 3),
+    centres0 AS (SELECT s.cluster, 0.0::DOUBLE AS n, p.dim, p.x AS c FROM seeds s JOIN pts p ON p.vec_id = s.vec_id)"""
+
+
+def _kmeans_sql(iterations: int) -> str:
+    """Lloyd's iterations unrolled: distances, nearest centres and new centres of each."""
+    steps = [_POINTS]
+    for k in range(iterations):
+        steps.append(f"""
+    dist{k} AS (SELECT p.vec_id, c.cluster, sum((p.x - c.c) * (p.x - c.c)) AS d2
+                FROM pts p JOIN centres{k} c ON c.dim = p.dim GROUP BY p.vec_id, c.cluster),
+    near{k} AS (SELECT vec_id, cluster FROM dist{k} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, cluster) = 1),
+    sums{k} AS (SELECT n.cluster, p.dim, CAST(count(*) AS DOUBLE) AS n, avg(p.x) AS c
+                FROM near{k} n JOIN pts p ON p.vec_id = n.vec_id GROUP BY n.cluster, p.dim),
+    centres{k + 1} AS (SELECT o.cluster, coalesce(s.n, 0.0) AS n, o.dim, coalesce(s.c, o.c) AS c
+                       FROM centres{k} o LEFT JOIN sums{k} s ON s.cluster = o.cluster AND s.dim = o.dim)""")
+    return "WITH " + ",".join(steps) + f" SELECT cluster, n, dim, round(c, 6) AS center FROM centres{iterations}"
+
+
+def _em_sql() -> str:
+    """One EM step by its definition: unit covariances, equal weights, log-sum-exp over three components."""
+    return "WITH " + _POINTS + """,
+    dims AS (SELECT count(DISTINCT dim) AS d, count(DISTINCT vec_id) AS m FROM pts),
+    logs AS (SELECT p.vec_id, c.cluster, ln(1.0::DOUBLE / 3) - sum((p.x - c.c) * (p.x - c.c)) / 2
+                                         - any_value(d) * ln(2 * pi()) / 2 AS v
+             FROM pts p JOIN centres0 c ON c.dim = p.dim CROSS JOIN dims GROUP BY p.vec_id, c.cluster),
+    tops AS (SELECT vec_id, max(v) AS top FROM logs GROUP BY vec_id),
+    totals AS (SELECT l.vec_id, any_value(top) + ln(sum(exp(v - top))) AS total FROM logs l JOIN tops t ON t.vec_id = l.vec_id GROUP BY l.vec_id),
+    resp AS (SELECT l.vec_id, l.cluster, exp(v - total) AS r FROM logs l JOIN totals t ON t.vec_id = l.vec_id),
+    held AS (SELECT cluster, sum(r) AS n FROM resp GROUP BY cluster),
+    means AS (SELECT r.cluster, p.dim, sum(r.r * p.x) / any_value(h.n) AS mean
+              FROM resp r JOIN pts p ON p.vec_id = r.vec_id JOIN held h ON h.cluster = r.cluster GROUP BY r.cluster, p.dim),
+    off AS (SELECT r.vec_id, r.cluster, r.r, p.dim, p.x - m.mean AS y
+            FROM resp r JOIN pts p ON p.vec_id = r.vec_id JOIN means m ON m.cluster = r.cluster AND m.dim = p.dim),
+    cov AS (SELECT a.cluster, a.dim AS i, b.dim AS j, sum(a.r * a.y * b.y) AS s
+            FROM off a JOIN off b ON a.vec_id = b.vec_id AND a.cluster = b.cluster AND a.dim <= b.dim GROUP BY a.cluster, a.dim, b.dim)
+    SELECT c.cluster AS component, round(h.n / m, 6) AS weight, c.i, c.j, round(e.mean, 6) AS mean,
+           round(c.s / h.n, 6) AS covariance, (SELECT round(avg(total), 6) FROM totals) AS likelihood
+    FROM cov c JOIN held h ON h.cluster = c.cluster JOIN means e ON e.cluster = c.cluster AND e.dim = c.i CROSS JOIN dims"""
+
+
 def _purity_modes_sql() -> str:
     row_ctes = _label_ctes(R)
     pat_ctes = [_rename(c) for c in _label_ctes(R.with_exclusion("patient"))]

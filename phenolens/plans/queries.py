@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_iso_date
-from ..operators import cohort, features, metrics, moments, stats
+from ..operators import cohort, features, metrics, moments, rule_table, stats
 from ..rules import (
     SYNTHETIC_ALLOWED_CODES,
     SYNTHETIC_ALLOWED_DRUGS,
@@ -24,17 +24,20 @@ from ..rules import (
     SYNTHETIC_RULES,
 )
 from ..sources import synthetic
-from ..sources.clinical import lab_events, load_event_tables
-from ..sources.sinks import write_labels
+from ..sources.clinical import diagnostic_events, lab_events, load_event_tables, medication_events
+from ..sources.csv import read_allow_list
+from ..sources.sinks import read_feature_tuples, write_feature_tuples, write_labels
+from ..sources.store import write_event_store
 from ..streaming import kmeans as skm
-from ..session import checkpoint_dir
-from . import clustering
+from ..session import checkpoint_dir, materialize
+from . import clustering, given, saved_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RULES = SYNTHETIC_RULES
 DIGITS = 6
 STREAM_K = 3
+GIVEN_ITERATIONS = 3
 
 
 def _r(c, name: str | None = None):
@@ -82,6 +85,18 @@ def q_lab_events_from_text(spark, sf):
     return lab_events(raw).select("patient_id", "date", "test_name", _r("value"))
 
 
+def q_medication_events_from_text(spark, sf):
+    """The drug-order builder over raw text: encounters and orders as the CSV files hold them."""
+    raw = synthetic.raw_frames(spark, sf)
+    return medication_events(raw["encounter"], raw["med"])
+
+
+def q_diagnostic_events_from_text(spark, sf):
+    """The diagnosis builder over raw text."""
+    raw = synthetic.raw_frames(spark, sf)
+    return diagnostic_events(raw["encounter"], raw["encounter_dx"])
+
+
 # --- C1-C12: cohort -----------------------------------------------------------
 
 def q_dx_target_patients(spark, sf):
@@ -135,6 +150,38 @@ def q_phenotype_labels_patient_exclusion(spark, sf):
     return cohort.phenotype(_tables(spark, sf), RULES.with_exclusion("patient"))
 
 
+def _compiled(spark, inline_terms=rule_table.INLINE_TERMS):
+    """The rules read from a rule table; with no inline terms every list is joined as a long one."""
+    return rule_table.compile_rules(rule_table.as_rule_table(spark, RULES), inline_terms)
+
+
+def q_phenotype_labels_rule_table(spark, sf):
+    return cohort.phenotype(_tables(spark, sf), _compiled(spark))
+
+
+def q_phenotype_labels_long_lists(spark, sf):
+    return cohort.phenotype(_tables(spark, sf), _compiled(spark, 0))
+
+
+def q_cohort_case_branches_long_lists(spark, sf):
+    return cohort.case_branches(_tables(spark, sf), _compiled(spark, 0))
+
+
+def q_cohort_controls_rule_table(spark, sf):
+    return cohort.controls(_tables(spark, sf), _compiled(spark))
+
+
+def q_lab_mean_by_label_rule_table(spark, sf):
+    out = cohort.label_stat(_tables(spark, sf), _compiled(spark))
+    return out.select("label", _r("mean_value"), "n_rows")
+
+
+def q_phenotype_labels_from_store(spark, sf):
+    """Labels from an event store: the tables bucketed by patient, no exchange on the patient."""
+    store = write_event_store(synthetic.synthetic_event_tables(spark, sf), buckets=8)
+    return cohort.phenotype(store.tables(spark), RULES)
+
+
 def q_lab_mean_by_label(spark, sf):
     """Two-input form: labels, then the lab table joined to them."""
     t = _tables(spark, sf)
@@ -196,6 +243,28 @@ def q_feature_tuples_filtered(spark, sf):
     return _round_tuples(_tuples_filtered(spark, sf))
 
 
+def q_feature_tuples_round_trip(spark, sf):
+    """All tuples exported as tab-separated text and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-tuples-{uuid.uuid4().hex}"
+    write_feature_tuples(_tuples_all(spark, sf), path, fmt="tsv")
+    return _round_tuples(read_feature_tuples(spark, path))
+
+
+def q_feature_tuples_from_allow_files(spark, sf):
+    """Both arms' tuples written once with their domain, then filtered by allow-lists read from text files.
+
+    The lists are written as text first, in capitals where the names allow it:
+    reading lower-cases them, and the match lowers both sides.
+    """
+    base = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-allow-{uuid.uuid4().hex}"
+    lists = {"codes": SYNTHETIC_ALLOWED_CODES, "drugs": SYNTHETIC_ALLOWED_DRUGS, "labs": SYNTHETIC_ALLOWED_LABS}
+    for kind, terms in lists.items():
+        spark.createDataFrame([(t.upper(),) for t in terms], "value string").write.text(f"{base}/{kind}.txt")
+    allow = {f"allow_{kind}": read_allow_list(spark, f"{base}/{kind}.txt") for kind in lists}
+    tagged = materialize(features.tagged_tuples(_tables(spark, sf)), "tagged-tuples")
+    return _round_tuples(features.allowed_tuples(tagged, **allow, case_insensitive=True))
+
+
 def q_feature_index(spark, sf):
     return features.feature_index(_tuples_all(spark, sf))
 
@@ -210,7 +279,7 @@ def q_feature_matrix_long(spark, sf):
 
 def _moments(spark, sf):
     space = _space(spark, sf)
-    n_patients = moments.count_patients(space.matrix_long)
+    n_patients = space.vectors.count()  # a count of the written vectors: one row a patient
     return space, n_patients, moments.feature_moments(space.matrix_long, n_patients)
 
 
@@ -232,27 +301,45 @@ def q_feature_covariance(spark, sf):
 
 
 def q_patient_vectors(spark, sf):
-    return _space(spark, sf).vectors
+    """The sparse vectors, their two arrays as text (values with six decimals)."""
+    six = F.transform("values", lambda v: F.round(v, DIGITS).cast("decimal(18,6)").cast("string"))
+    return _space(spark, sf).vectors.select(
+        "patient_id", F.size("indices").cast("long").alias("n_entries"),
+        F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"), F.array_join(six, ",").alias("values"))
 
 
 # --- C21-C29: models and purity ----------------------------------------------
 
 def q_pca_projection(spark, sf):
+    """Spark ML's StandardScaler + PCA on sparse vectors."""
     space = _space(spark, sf)
-    _, projection = clustering.fit_projection(space.vectors, n_features=space.n_features)
-    return projection.select("patient_id", vector_to_array("pca").alias("pca"))
+    projected = clustering.score(clustering.fit_pipeline(space), space.vectors, space.n_features)
+    return projected.select("patient_id", vector_to_array("pca").alias("pca"))
 
 
 def q_pca_projection_long(spark, sf):
-    """Scaler + PCA fitted from moments and the distributed Gram matrix, and
-    applied to the long form: no persisted dense vectors anywhere."""
+    """Scaler + PCA fitted from moments and the blocked Gram matrix, and applied to the long form."""
     space = _space(spark, sf)
     return clustering.score_long(clustering.fit_pca_long(space), space.matrix_long)
 
 
+def q_score_saved_model(spark, sf):
+    """Fit on the allow-listed tuples, save, load, and score all tuples with the loaded model.
+
+    Names that the model has not seen drop out. With as many components as
+    features the components are a rotation, so the squared length of a score is
+    that of the scaled row whatever the components' signs.
+    """
+    space = clustering.build_feature_space(_tuples_filtered(spark, sf))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/phenolens-model-{uuid.uuid4().hex}"
+    saved_model.save_model(clustering.fit_pca_long(space, space.n_features), space.index, path)
+    scores = saved_model.score_new(saved_model.load_model(spark, path), _tuples_all(spark, sf))
+    length = F.aggregate("pca", F.lit(0.0), lambda a, x: a + x * x)
+    return scores.select("patient_id", F.size("pca").cast("long").alias("n_components"), _r(length, "squared_length"))
+
+
 def _projection(spark, sf):
-    space = _space(spark, sf)
-    return clustering.fit_projection(space.vectors, n_features=space.n_features)[1]
+    return clustering.fit_projection(_space(spark, sf))[1]
 
 
 def q_kmeans_clusters(spark, sf):
@@ -269,8 +356,9 @@ def q_streaming_kmeans_clusters(spark, sf):
 
 def q_purity_report(spark, sf):
     t = _tables(spark, sf)
-    labels = cohort.phenotype(t, RULES)
-    out = clustering.purity_report(labels, _tuples_all(spark, sf), _tuples_filtered(spark, sf))
+    out = clustering.purity_report(
+        cohort.phenotype(t, RULES), features.tagged_tuples(t), allow_codes=SYNTHETIC_ALLOWED_CODES,
+        allow_drugs=SYNTHETIC_ALLOWED_DRUGS, allow_labs=SYNTHETIC_ALLOWED_LABS)
     return out.select("feature_set", "algorithm", "n_pairs", _r("purity"))
 
 
@@ -286,6 +374,39 @@ def q_purity_from_pairs(spark, sf):
     return metrics.purity(pairs).select("n_pairs", _r("purity"))
 
 
+def q_purity_pairing(spark, sf):
+    """Patients grouped by their number of drug orders (modulo 5) against the controls and cases, unmatched ones counted."""
+    t = _tables(spark, sf)
+    clusters = (t.med.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n"))
+                .select("patient_id", (F.col("n") % 5).cast("int").alias("cluster")))
+    labels = cohort.phenotype(t, RULES).where("label < 3")
+    out = metrics.paired_purity(clusters, labels)
+    return out.select("n_pairs", "n_unmatched_clusters", "n_unmatched_labels", _r("purity"))
+
+
+def _first_points(points, k=STREAM_K):
+    return [list(r["features"]) for r in points.orderBy("vec_id").limit(k).collect()]  # k start centres
+
+
+def q_kmeans_from_centres(spark, sf):
+    """Three Lloyd iterations over all embeddings from the points of the three lowest ids."""
+    points = _embedding_points(spark, sf)
+    model = given.kmeans_from(points, _first_points(points), iterations=GIVEN_ITERATIONS, tolerance=0.0)
+    rows = [(i, float(model.sizes[i]), d, x) for i, c in enumerate(model.centres) for d, x in enumerate(c)]
+    return spark.createDataFrame(rows, "cluster int, n double, dim int, center double").withColumn("center", _r("center"))
+
+
+def q_mixture_em_step(spark, sf):
+    """One EM step over all embeddings from three given means, unit covariance and equal weights."""
+    points = _embedding_points(spark, sf)
+    model, likelihood = given.em_step(points, given.Mixture.around(_first_points(points)))
+    d = model.means.shape[1]
+    rows = [(c, float(model.weights[c]), i, j, float(model.means[c, i]), float(model.covariances[c, i, j]), float(likelihood))
+            for c in range(STREAM_K) for i in range(d) for j in range(i, d)]
+    out = spark.createDataFrame(rows, "component int, weight double, i int, j int, mean double, covariance double, likelihood double")
+    return out.select("component", _r("weight"), "i", "j", _r("mean"), _r("covariance"), _r("likelihood"))
+
+
 def q_purity_cohort_modes(spark, sf):
     """Patient-mode labels as clusters against row-mode labels, paired by patient.
 
@@ -369,4 +490,18 @@ QUERIES: dict[str, Query] = {
     "gmm_clusters": q_gmm_clusters,
     "streaming_kmeans_clusters": q_streaming_kmeans_clusters,
     "purity_report": q_purity_report,
+    "medication_events_from_text": q_medication_events_from_text,
+    "diagnostic_events_from_text": q_diagnostic_events_from_text,
+    "phenotype_labels_rule_table": q_phenotype_labels_rule_table,
+    "phenotype_labels_long_lists": q_phenotype_labels_long_lists,
+    "cohort_case_branches_long_lists": q_cohort_case_branches_long_lists,
+    "cohort_controls_rule_table": q_cohort_controls_rule_table,
+    "lab_mean_by_label_rule_table": q_lab_mean_by_label_rule_table,
+    "phenotype_labels_from_store": q_phenotype_labels_from_store,
+    "feature_tuples_round_trip": q_feature_tuples_round_trip,
+    "feature_tuples_from_allow_files": q_feature_tuples_from_allow_files,
+    "score_saved_model": q_score_saved_model,
+    "purity_pairing": q_purity_pairing,
+    "kmeans_from_centres": q_kmeans_from_centres,
+    "mixture_em_step": q_mixture_em_step,
 }

@@ -24,6 +24,7 @@ from ..operators import cohort, features
 from ..rules import DIABETES_RULES, SYNTHETIC_RULES, CohortRules
 from ..sources import load_event_tables, read_allow_list, write_feature_tuples, write_labels
 from ..sources.clinical import EventTables
+from ..sources.store import write_event_store
 from . import clustering
 
 RULE_SETS = {"diabetes": DIABETES_RULES, "synthetic": SYNTHETIC_RULES}
@@ -45,25 +46,27 @@ def load_allow_lists(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def run_study(spark: SparkSession, raw_folder: str, allow_folder: str | None = None,
-              rules: CohortRules = DIABETES_RULES, case_insensitive: bool = False) -> Study:
+              rules: CohortRules = DIABETES_RULES, case_insensitive: bool = False, buckets: int = 64) -> Study:
     """Labels, feature tuples (all and allow-listed) and the purity report.
 
-    Without ``allow_folder`` the filtered arm keeps no tuples and its report
-    rows are absent. Nothing is collected; the report is a lazy DataFrame
-    whose models are already fitted.
+    Each raw CSV is parsed once, into an event store bucketed by patient; the
+    report writes the labels and the domain-tagged tuples once from it, and both
+    arms read those tuples. Without ``allow_folder`` the filtered arm keeps no
+    tuples and its report rows are absent. The models are fitted by the call;
+    the report's rows are computed when it is read.
     """
-    tables = load_event_tables(spark, raw_folder)
+    tables = write_event_store(load_event_tables(spark, raw_folder), buckets=buckets).tables(spark)
     labels = cohort.phenotype(tables, rules)
-    tuples_all = features.feature_tuples(tables)
+    tagged = features.tagged_tuples(tables)
+    tuples_all = tagged.select("patient_id", "feature", "value")
     if allow_folder is None:
-        report = clustering.evaluate(labels, clustering.build_feature_space(tuples_all).vectors, "all")
+        report = clustering.evaluate(labels, clustering.build_feature_space(tuples_all), "all")
         tuples_filtered = tuples_all.where(F.lit(False))
     else:
-        allow = load_allow_lists(spark, allow_folder)
-        tuples_filtered = features.feature_tuples(
-            tables, allow_codes=allow["codes"], allow_drugs=allow["drugs"], allow_labs=allow["labs"],
-            case_insensitive=case_insensitive)
-        report = clustering.purity_report(labels, tuples_all, tuples_filtered)
+        terms = load_allow_lists(spark, allow_folder)
+        allow = {f"allow_{kind}": terms[kind] for kind in ("codes", "drugs", "labs")}
+        tuples_filtered = features.allowed_tuples(tagged, **allow, case_insensitive=case_insensitive)
+        report = clustering.purity_report(labels, tagged, **allow, case_insensitive=case_insensitive)
     return Study(tables, labels, tuples_all, tuples_filtered, report)
 
 

@@ -75,6 +75,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir is not set: point it at a folder every executor can reach")
 
 
+def written_path(df: DataFrame, label: str) -> str:
+    """Write ``df`` as Parquet to a fresh folder under the checkpoint folder; the folder."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/phenolens-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
@@ -83,8 +90,4 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     the result is a columnar table with exact sizes for AQE and pushdown for
     later filters. The folder name is unique per call.
     """
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/phenolens-{label}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(written_path(df, label))

@@ -10,9 +10,10 @@ Schemas (one snake_case model everywhere):
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_date, parse_number
@@ -22,7 +23,7 @@ DIAGNOSTIC_COLUMNS = ("patient_id", "code", "date")
 MEDICATION_COLUMNS = ("patient_id", "date", "medicine")
 LAB_COLUMNS = ("patient_id", "date", "test_name", "value")
 
-# File names of the raw inputs inside a data folder.
+# --- fixed values: file names of the raw inputs inside a data folder ---
 ENCOUNTER_FILE = "encounter_INPUT.csv"
 ENCOUNTER_DX_FILE = "encounter_dx_INPUT.csv"
 MEDICATION_FILE = "medication_orders_INPUT.csv"
@@ -31,11 +32,18 @@ LAB_FILE = "lab_results_INPUT.csv"
 
 @dataclass(frozen=True)
 class EventTables:
-    """The three event tables every operator reads."""
+    """The three event tables every operator reads.
+
+    ``visits`` may hold the diagnoses and drug orders of ``dx`` and ``med`` in
+    one table, ``(patient_id, code, medicine, date)`` with a code or a
+    medicine in each row, as a function of a predicate on the medicine; the
+    labelling then reads their common source once.
+    """
 
     dx: DataFrame
     med: DataFrame
     lab: DataFrame
+    visits: Callable[[Callable[[Column], Column]], DataFrame] | None = None
 
 
 def medication_events(encounter: DataFrame, med: DataFrame) -> DataFrame:

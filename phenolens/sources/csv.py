@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# --- fixed value: the pattern of a table's name ---
 # The table name is the last run of word characters, before an optional
 # ".csv" suffix; a path that ends in anything else keeps its full text.
 _TABLE_NAME = re.compile(r"(\w+)(\.csv)?$")

@@ -14,12 +14,13 @@ match as joining the text forms and avoids casting billions of keys.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .clinical import EventTables
+from .clinical import ENCOUNTER_DX_FILE, ENCOUNTER_FILE, LAB_FILE, MEDICATION_FILE, EventTables
 
 
 # Schemas already read, by local path and modification time: a repeated read
@@ -103,46 +104,69 @@ def synthetic_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lab(spark, sf_dir)
 
 
+def synthetic_visits(spark: SparkSession, sf_dir: str, wanted: Callable[[Column], Column]) -> DataFrame:
+    """Diagnoses and the drug orders whose medicine is ``wanted``, from one scan of the lines.
+
+    ``(patient_id, code, medicine, date)``; a row has a code (line 1 of an
+    order) or a medicine (the other lines). The predicate marks parts before
+    any join, and lines that are neither first nor of a marked part go in the
+    join with the parts, below the join with the orders.
+    """
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name",
+        F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("p_code"),
+        F.coalesce(wanted(F.col("p_name")), F.lit(False)).alias("p_wanted"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+    first = F.col("l_linenumber") == 1
+    kept = lines.join(part, (F.col("l_partkey") == F.col("p_partkey")) & (first | ((F.col("l_linenumber") > 1) & F.col("p_wanted"))))
+    orders = table(spark, sf_dir, "orders").where(F.col("o_custkey").isNotNull()).select("o_orderkey", "o_custkey", "o_orderdate")
+    return kept.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        F.when(first, F.col("p_code")).alias("code"),
+        F.when(~first, F.col("p_name")).alias("medicine"),
+        F.when(first, F.col("o_orderdate").cast("date")).otherwise(F.col("l_shipdate").cast("date")).alias("date"))
+
+
 def synthetic_event_tables(spark: SparkSession, sf_dir: str) -> EventTables:
     lines = encounter_lines(spark, sf_dir)
-    return EventTables(dx=_dx(lines), med=_med(lines), lab=_lab(spark, sf_dir))
+    return EventTables(dx=_dx(lines), med=_med(lines), lab=_lab(spark, sf_dir),
+                       visits=lambda wanted: synthetic_visits(spark, sf_dir, wanted))
 
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-def write_raw_csvs(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Render the driver tables as the four raw health-record CSV inputs.
+def raw_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The driver tables as the four raw health-record inputs: ``encounter``, ``encounter_dx``, ``med`` and ``lab``, all text.
 
-    Keys and numbers become text, dates become ISO date-times, lab values
-    are printed in full; :func:`phenolens.sources.load_event_tables` must
-    turn them back into the same event tables.
+    Keys and numbers become text, dates become ISO date-times, lab values are
+    printed in full.
     """
-    from .clinical import ENCOUNTER_DX_FILE, ENCOUNTER_FILE, LAB_FILE, MEDICATION_FILE
-
-    def out(df: DataFrame, name: str) -> None:
-        df.write.mode("error").option("header", "true").csv(f"{folder.rstrip('/')}/{name}")
-
     orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    out(orders.select(
-        F.col("o_orderkey").cast("string").alias("Encounter_ID"),
-        F.col("o_custkey").cast("string").alias("Member_ID"),
-        F.date_format("o_orderdate", ISO).alias("Encounter_DateTime"),
-    ), ENCOUNTER_FILE)
-    out(lines.where(F.col("l_linenumber") == 1).select(
-        F.col("l_orderkey").cast("string").alias("Encounter_ID"),
-        F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("Code_ID"),
-    ), ENCOUNTER_DX_FILE)
-    out(lines.where(F.col("l_linenumber") > 1).select(
-        F.col("l_orderkey").cast("string").alias("Encounter_ID"),
-        F.date_format("l_shipdate", ISO).alias("Order_Date"),
-        F.col("p_name").alias("Drug_Name"),
-    ), MEDICATION_FILE)
-    out(table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("Member_ID"),
-        F.date_format("ts", ISO).alias("Date_Resulted"),
-        F.col("event_type").alias("Result_Name"),
-        F.col("value").cast("string").alias("Numeric_Result"),
-    ), LAB_FILE)
+    return {
+        "encounter": orders.select(
+            F.col("o_orderkey").cast("string").alias("Encounter_ID"),
+            F.col("o_custkey").cast("string").alias("Member_ID"),
+            F.date_format("o_orderdate", ISO).alias("Encounter_DateTime")),
+        "encounter_dx": lines.where(F.col("l_linenumber") == 1).select(
+            F.col("l_orderkey").cast("string").alias("Encounter_ID"),
+            F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("Code_ID")),
+        "med": lines.where(F.col("l_linenumber") > 1).select(
+            F.col("l_orderkey").cast("string").alias("Encounter_ID"),
+            F.date_format("l_shipdate", ISO).alias("Order_Date"),
+            F.col("p_name").alias("Drug_Name")),
+        "lab": table(spark, sf_dir, "events").select(
+            F.col("user_id").cast("string").alias("Member_ID"),
+            F.date_format("ts", ISO).alias("Date_Resulted"),
+            F.col("event_type").alias("Result_Name"),
+            F.col("value").cast("string").alias("Numeric_Result")),
+    }
+
+
+def write_raw_csvs(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """``raw_frames`` as header CSVs, which :func:`phenolens.sources.load_event_tables` turns back into the event tables."""
+    names = {"encounter": ENCOUNTER_FILE, "encounter_dx": ENCOUNTER_DX_FILE, "med": MEDICATION_FILE, "lab": LAB_FILE}
+    for kind, df in raw_frames(spark, sf_dir).items():
+        df.write.mode("error").option("header", "true").csv(f"{folder.rstrip('/')}/{names[kind]}")
