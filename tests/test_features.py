@@ -76,9 +76,11 @@ def test_index_independent_of_partitions(spark, parts):
 def test_moments_and_covariance_match_numpy(spark):
     t = synthetic_event_tables(spark, "/root/testdata/sf0.001")
     space = build_feature_space(features.feature_tuples(t))
-    vecs = sorted((r.patient_id, r.features) for r in space.vectors.collect())
-    x = np.array([v for _, v in vecs])
-    n = x.shape[0]
+    rows = sorted(space.vectors.collect(), key=lambda r: r.patient_id)
+    n, x = len(rows), np.zeros((len(rows), space.n_features))
+    for k, r in enumerate(rows):
+        assert r.indices == sorted(set(r.indices))
+        x[k, r.indices] = r["values"]
     mom = {r.idx: r for r in moments.feature_moments(space.matrix_long, n).collect()}
     mean, sd = x.mean(0), x.std(0, ddof=1)
     for i in range(space.n_features):
@@ -130,7 +132,7 @@ def test_salted_paths_of_scaling_and_scoring(spark, monkeypatch):
     space = build_feature_space(features.feature_tuples(t))
     n = space.matrix_long.select("patient_id").distinct().count()
     mom = moments.feature_moments(space.matrix_long, n)
-    model, _ = clustering.fit_projection(space.vectors, n_features=space.n_features)
+    model, _ = clustering.fit_projection(space)
     plain_scaled = sorted(tuple(r) for r in moments.scaled_long(space.matrix_long, mom, space.n_features).collect())
     plain_scores = {r.patient_id: r.pca for r in clustering.score_long(model, space.matrix_long).collect()}
     monkeypatch.setattr(features, "BROADCAST_INDEX_MAX_ROWS", 10)
@@ -139,3 +141,23 @@ def test_salted_paths_of_scaling_and_scoring(spark, monkeypatch):
     assert salted_scaled == plain_scaled
     assert salted_scores.keys() == plain_scores.keys()
     assert all(np.allclose(salted_scores[p], plain_scores[p]) for p in plain_scores)
+
+
+def test_vectors_add_repeated_indices_and_take_no_zero_room(spark):
+    long = spark.createDataFrame([("b", 7, 1.0), ("a", 3, 2.0), ("a", 1, 5.0), ("a", 3, 0.5), ("c", 2_000_000, 1.0)],
+                                 "patient_id string, idx int, value double")
+    got = {r.patient_id: (r.indices, r["values"]) for r in features.patient_vectors(long).collect()}
+    assert got == {"a": ([1, 3], [5.0, 2.5]), "b": ([7], [1.0]), "c": ([2_000_000], [1.0])}
+
+
+def test_allow_list_of_a_table_filters_groups_not_events(spark):
+    t = synthetic_event_tables(spark, "/root/testdata/sf0.001")
+    terms = spark.createDataFrame([("RED PLATE",), ("cold gear",), ("nothing",)], "term string")
+    late = features.medication_features(t.med, terms, case_insensitive=True)
+    early = features.medication_features(t.med, ["red plate", "cold gear"])
+    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, early.collect())) != []
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") < plan.index("Aggregate")  # the join stands above the grouping
+    tagged = features.tagged_tuples(t)
+    both = features.allowed_tuples(tagged, allow_drugs=["red plate"], allow_labs=["purchase"])
+    assert {r.feature for r in both.collect()} == {"red plate", "purchase"}

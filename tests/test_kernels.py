@@ -1,46 +1,35 @@
 """Property tests of the NumPy kernels that run inside Spark tasks."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from phenolens.operators.features import _densify_udf
-from phenolens.operators.moments import _gram_partials
+from phenolens.operators.moments import _gram_partials, _sum_blocks
 
 N = 7
-entry = st.tuples(st.integers(0, N - 1), st.floats(-1e3, 1e3, allow_nan=False))
-patient = st.lists(entry, max_size=12)
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.lists(patient, max_size=20))
-def test_densify_adds_entries_into_dense_rows(spark, rows):
-    # Declaring a pandas UDF needs an active session; the kernel runs locally.
-    idx = pd.Series([np.array([i for i, _ in r], dtype=np.int32) for r in rows], dtype=object)
-    val = pd.Series([np.array([v for _, v in r], dtype=np.float64) for r in rows], dtype=object)
-    out = _densify_udf(N).func(idx, val)
-    assert len(out) == len(rows)
-    for r, dense in zip(rows, out):
-        expect = np.zeros(N)
-        for i, v in r:
-            expect[i] += v
-        assert np.allclose(dense, expect)
+patient = st.dictionaries(st.integers(0, N - 1), st.floats(-100, 100, allow_nan=False), max_size=N)
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.lists(st.lists(st.floats(-100, 100, allow_nan=False), min_size=N, max_size=N),
-                         max_size=6), max_size=4))
-def test_gram_partials_sum_to_xtx(batches):
-    frames = [pd.DataFrame({"features": [np.array(r) for r in b]}) for b in batches]
-    out = list(_gram_partials(N)(iter(frames)))
+@given(st.lists(st.lists(patient, max_size=6), max_size=4), st.lists(st.floats(-10, 10), min_size=N, max_size=N), st.integers(1, 9))
+def test_gram_partials_sum_to_the_centred_product(batches, center, block):
+    frames = [pa.RecordBatch.from_arrays(
+        [pa.array([list(r) for r in b], pa.list_(pa.int32())), pa.array([list(r.values()) for r in b], pa.list_(pa.float64()))],
+        names=["indices", "values"]) for b in batches]
+    out = list(_gram_partials(N, np.array(center), block)(iter(frames)))
     rows = [r for b in batches for r in b]
     if not rows:
         assert out == []
         return
-    x = np.array(rows)
+    x = np.array([[r.get(i, 0.0) for i in range(N)] for r in rows]) - center
     g = x.T @ x
-    (df,) = out
-    assert len(df) == N * (N + 1) // 2
-    assert (df["i"] <= df["j"]).all()
-    assert np.allclose(df["s"], g[df["i"], df["j"]])
+    for batch in out:
+        (r,) = batch.to_pylist()
+        i, j = r["bi"], r["bj"]
+        assert i <= j and np.allclose(np.reshape(r["cells"], g[i:i + block, j:j + block].shape), g[i:i + block, j:j + block])
+
+
+def test_blocks_of_a_group_are_added():
+    group = pa.table({"bi": [0, 0], "bj": [2, 2], "cells": [[1.0, 2.0], [10.0, 20.0]]})
+    assert _sum_blocks(["bi", "bj"])(group).to_pylist() == [{"bi": 0, "bj": 2, "cells": [11.0, 22.0]}]

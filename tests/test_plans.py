@@ -3,7 +3,9 @@
 import re
 
 from phenolens.plans import queries as Q
-from phenolens.operators import cohort, features
+from phenolens.operators import cohort, features, rule_table
+from phenolens.session import materialize
+from phenolens.sources.store import write_event_store
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,8 +72,9 @@ def test_phenotype_has_no_python_udf(spark):
 
 def test_vectors_need_one_shuffle(spark):
     from phenolens.plans import clustering
-    sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)))
-    p = plan(sp.vectors)
+    sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)), materialize=False)
+    p = plan(features.patient_vectors(features.indexed_tuples(
+        materialize(features.feature_tuples(Q._tables(spark, SF)), "tuples"), sp.index, sp.n_features)))
     # The data moves once, by patient; other exchanges only touch the small
     # per-partition counts of the feature index.
     assert p.count("hashpartitioning(patient_id") == 1
@@ -99,7 +102,50 @@ def test_both_exclusion_modes_in_one_pass(spark):
 def test_long_form_scoring_stays_in_the_jvm(spark):
     from phenolens.plans import clustering
     sp = clustering.build_feature_space(features.feature_tuples(Q._tables(spark, SF)))
-    model, _ = clustering.fit_projection(sp.vectors, n_features=sp.n_features)
+    model, _ = clustering.fit_projection(sp)
     p = plan(clustering.score_long(model, sp.matrix_long))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
-    assert p.count("hashpartitioning(patient_id") == 2  # (patient, idx) sums, then patient
+    assert p.count("hashpartitioning(patient_id") == 1  # the written vectors are summed already
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_labelling_reads_each_table_once_and_filters_drugs_below_the_encounter_join(spark):
+    rules = rule_table.compile_rules(rule_table.as_rule_table(spark, Q.RULES))
+    for df in (cohort.phenotype(Q._tables(spark, SF), Q.RULES), cohort.phenotype(Q._tables(spark, SF), rules)):
+        p = plan(df)
+        assert all(p.count(f"{t}.parquet") == 1 for t in ("lineitem", "orders", "part", "events"))
+        o = optimized(df)
+        # The drug names stand in the projection of the parts; the join with the parts keeps their lines only.
+        orders_join = o.index("Join Inner, (l_orderkey")
+        assert o.index("p_wanted", orders_join) > orders_join and "red plate" in o[orders_join:]
+        assert "p_wanted" in next(line for line in o.splitlines() if "Join Inner" in line and "l_partkey" in line)
+
+
+def test_long_drug_list_is_a_semi_join_below_the_encounter_joins(spark):
+    rules = rule_table.compile_rules(rule_table.as_rule_table(spark, Q.RULES), inline_terms=0)
+    assert set(rules.long) == {"target_dx", "excluding_dx", "related_dx", "target_drugs", "excluding_drugs"}
+    o = optimized(cohort.phenotype(Q._tables(spark, SF), rules))
+    lines = o.splitlines()
+    semi = next(k for k, line in enumerate(lines) if "LeftSemi" in line)
+    joins = [k for k, line in enumerate(lines) if "Join Inner" in line and "l_orderkey" in line and k < semi]
+    depth = lambda k: len(lines[k]) - len(lines[k].lstrip(" :+-"))
+    assert joins and any(depth(k) < depth(semi) for k in joins)
+
+
+def test_event_store_needs_no_exchange_on_the_patient(spark):
+    t = write_event_store(Q._tables(spark, SF), buckets=4).tables(spark)
+    assert "Exchange" not in plan(features.diagnostic_features(t.dx))
+    assert "Exchange" not in plan(features.medication_features(t.med))
+    vectors = t.dx.selectExpr("patient_id", "cast(length(code) as int) as idx", "1d as value")
+    assert "Exchange" not in plan(vectors.groupBy("patient_id", "idx").count())
+    # The labels' union of three tables keeps the buckets' layout.
+    assert plan(cohort.phenotype(t, Q.RULES)).count("Exchange hashpartitioning(patient_id") == 0
+
+
+def test_both_arms_read_one_written_table(spark):
+    tagged = materialize(features.tagged_tuples(Q._tables(spark, SF)), "tagged-tuples")
+    p = plan(features.allowed_tuples(tagged, allow_drugs=["red plate"], allow_labs=["purchase"]))
+    assert "lineitem" not in p and "events.parquet" not in p and "In(" in p or "EqualTo(domain" in p
