@@ -111,16 +111,32 @@ def med_row_flags(med: DataFrame, rules: Rules) -> DataFrame:
         "patient_id", *_med_flags())
 
 
+def event_row_flags(events: DataFrame, rules: CompiledRules, with_stat: bool = False) -> DataFrame:
+    """All flags of domain-tagged rows ``(patient_id, domain, name, date, value)``; rows that no rule can use are left out."""
+    of = lambda domain: F.when(F.col("domain") == domain, F.col("name"))
+    rows = events.select("patient_id", "domain", of("dx").alias("code"), of("med").alias("medicine"),
+                         of("lab").alias("test_name"), "date", "value")
+    rows = _with_lists(rows, F.col("code"), rules, CODE_LISTS, lower=False).drop("term")
+    rows = _with_lists(rows, F.col("medicine"), rules, DRUG_LISTS, lower=True).withColumns(_lab_flags(rules, with_stat))
+    used = (F.col("domain") == "dx") | F.col("_in_target_drugs") | F.col("_in_excluding_drugs") | F.col("lab_used")
+    return rows.where(used).select("patient_id", (F.col("domain") == "dx").alias("in_dx"), *_dx_flags(rules), *_med_flags(),
+                                   *[c for c in _lab_flags(rules, with_stat) if c != "lab_used"])
+
+
+def _lab_flags(rules: CompiledRules, with_stat: bool) -> dict[str, Column]:
+    marker = _marker(F.col("test_name"), rules.inline)
+    abnormal = abnormal_lab("test_name", "value", rules.inline.abnormal_labs)
+    used, out = marker | abnormal, {"lab_marker": marker, "lab_abnormal": abnormal}
+    if with_stat:
+        is_stat = F.lower(F.col("test_name")) == F.lit(rules.inline.stat_test.lower())
+        used, out = used | is_stat, {**out, "stat_value": F.when(is_stat, F.col("value"))}
+    return {**out, "lab_used": F.coalesce(used, F.lit(False))}
+
+
 def lab_row_flags(lab: DataFrame, rules: Rules, with_stat: bool = False) -> DataFrame:
     """Flags of the lab rows that a rule can use."""
-    rules = compiled(rules).inline
-    marker = _marker(F.col("test_name"), rules)
-    abnormal = abnormal_lab("test_name", "value", rules.abnormal_labs)
-    used, cols = marker | abnormal, ["patient_id", marker.alias("lab_marker"), abnormal.alias("lab_abnormal")]
-    if with_stat:
-        is_stat = F.lower(F.col("test_name")) == F.lit(rules.stat_test.lower())
-        used, cols = used | is_stat, [*cols, F.when(is_stat, F.col("value")).alias("stat_value")]
-    return lab.where(used).select(*cols)
+    flags = _lab_flags(compiled(rules), with_stat)
+    return lab.where(flags.pop("lab_used")).select("patient_id", *[c.alias(name) for name, c in flags.items()])
 
 
 def _any(name: str) -> Column:
@@ -129,7 +145,8 @@ def _any(name: str) -> Column:
 
 def patient_flags(rules: Rules, dx: DataFrame | None = None,
                   med: DataFrame | None = None, lab: DataFrame | None = None,
-                  with_stat: bool = False, visits: DataFrame | None = None) -> DataFrame:
+                  with_stat: bool = False, visits: DataFrame | None = None,
+                  events: DataFrame | None = None) -> DataFrame:
     """One row per patient seen in any given table, with every rule flag.
 
     Columns: ``patient_id, in_dx, dx_target_row, dx_target_any, dx_excluding,
@@ -137,12 +154,14 @@ def patient_flags(rules: Rules, dx: DataFrame | None = None,
     first_target_date, lab_marker, lab_abnormal, dx_target``, where
     ``dx_target`` follows ``rules.exclusion``. Flags of a table that is not
     given are false.
-    ``visits`` stands for ``dx`` and ``med`` together (see ``EventTables``).
+    ``visits`` stands for ``dx`` and ``med`` together, ``events`` for all three (see ``EventTables``).
     ``with_stat`` adds ``stat_sum`` and ``stat_n``: sum and count of the
     values of ``rules.stat_test`` for the patient, from the same pass.
     """
     rules = compiled(rules)
     parts = []
+    if events is not None:
+        parts.append(event_row_flags(events, rules, with_stat))
     if visits is not None:
         parts.append(visit_row_flags(visits, rules))
     if dx is not None:
@@ -215,12 +234,18 @@ def label_column(target: Column | None = None) -> Column:
 def table_flags(tables: EventTables, rules: Rules, lab: bool = True, with_stat: bool = False) -> DataFrame:
     """``patient_flags`` of event tables; diagnoses and drug orders of a common source are read in one scan of it."""
     rules = compiled(rules)
+    if tables.events is not None:
+        events = tables.events if lab else tables.events.where("domain <> 'lab'")
+        return patient_flags(rules, events=events, with_stat=with_stat)
     labs = tables.lab if lab else None
-    # Lists too long for a predicate: a semi join goes below the joins of tables.med.
-    if tables.visits is None or any(n in rules.long for n in DRUG_LISTS):
+    if tables.visits is None:
         return patient_flags(rules, dx=tables.dx, med=tables.med, lab=labs, with_stat=with_stat)
-    wanted = drug_terms(rules)
-    return patient_flags(rules, visits=tables.visits(lambda name: in_set(F.lower(name), wanted)), lab=labs, with_stat=with_stat)
+
+    def mark(rows: DataFrame, name: str) -> DataFrame:
+        marked = _with_lists(rows, F.col(name), rules, DRUG_LISTS, lower=True)
+        return marked.select(*rows.columns, (F.col("_in_target_drugs") | F.col("_in_excluding_drugs")).alias("wanted"))
+
+    return patient_flags(rules, visits=tables.visits(mark), lab=labs, with_stat=with_stat)
 
 
 def phenotype(tables: EventTables, rules: Rules) -> DataFrame:

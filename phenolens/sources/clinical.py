@@ -13,7 +13,7 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parse_date, parse_number
@@ -36,14 +36,18 @@ class EventTables:
 
     ``visits`` may hold the diagnoses and drug orders of ``dx`` and ``med`` in
     one table, ``(patient_id, code, medicine, date)`` with a code or a
-    medicine in each row, as a function of a predicate on the medicine; the
-    labelling then reads their common source once.
+    medicine in each row; the labelling then reads their common source once.
+    It is a function of another one, which gets a table with the name of its
+    medicine column and adds a boolean column ``wanted``: so that only wanted
+    orders reach the joins. ``events`` may hold all three as rows
+    ``(patient_id, domain, name, date, value)``, the domain being dx, med or lab.
     """
 
     dx: DataFrame
     med: DataFrame
     lab: DataFrame
-    visits: Callable[[Callable[[Column], Column]], DataFrame] | None = None
+    visits: Callable[[Callable[[DataFrame, str], DataFrame]], DataFrame] | None = None
+    events: DataFrame | None = None
 
 
 def medication_events(encounter: DataFrame, med: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -104,21 +104,20 @@ def synthetic_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lab(spark, sf_dir)
 
 
-def synthetic_visits(spark: SparkSession, sf_dir: str, wanted: Callable[[Column], Column]) -> DataFrame:
-    """Diagnoses and the drug orders whose medicine is ``wanted``, from one scan of the lines.
+def synthetic_visits(spark: SparkSession, sf_dir: str, mark: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Diagnoses and the drug orders whose medicine ``mark`` wants, from one scan of the lines.
 
     ``(patient_id, code, medicine, date)``; a row has a code (line 1 of an
-    order) or a medicine (the other lines). The predicate marks parts before
-    any join, and lines that are neither first nor of a marked part go in the
-    join with the parts, below the join with the orders.
+    order) or a medicine (the other lines). The parts are marked before any
+    join, and lines that are neither first nor of a marked part go in the join
+    with the parts, below the join with the orders.
     """
-    part = table(spark, sf_dir, "part").select(
+    part = mark(table(spark, sf_dir, "part").select(
         "p_partkey", "p_name",
-        F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("p_code"),
-        F.coalesce(wanted(F.col("p_name")), F.lit(False)).alias("p_wanted"))
+        F.concat(F.col("p_brand"), F.lit("."), (F.col("p_size") % 10).cast("string")).alias("p_code")), "p_name")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
     first = F.col("l_linenumber") == 1
-    kept = lines.join(part, (F.col("l_partkey") == F.col("p_partkey")) & (first | ((F.col("l_linenumber") > 1) & F.col("p_wanted"))))
+    kept = lines.join(part, (F.col("l_partkey") == F.col("p_partkey")) & (first | ((F.col("l_linenumber") > 1) & F.col("wanted"))))
     orders = table(spark, sf_dir, "orders").where(F.col("o_custkey").isNotNull()).select("o_orderkey", "o_custkey", "o_orderdate")
     return kept.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("string").alias("patient_id"),
@@ -130,7 +129,7 @@ def synthetic_visits(spark: SparkSession, sf_dir: str, wanted: Callable[[Column]
 def synthetic_event_tables(spark: SparkSession, sf_dir: str) -> EventTables:
     lines = encounter_lines(spark, sf_dir)
     return EventTables(dx=_dx(lines), med=_med(lines), lab=_lab(spark, sf_dir),
-                       visits=lambda wanted: synthetic_visits(spark, sf_dir, wanted))
+                       visits=lambda mark: synthetic_visits(spark, sf_dir, mark))
 
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"

@@ -118,21 +118,33 @@ def test_labelling_reads_each_table_once_and_filters_drugs_below_the_encounter_j
         p = plan(df)
         assert all(p.count(f"{t}.parquet") == 1 for t in ("lineitem", "orders", "part", "events"))
         o = optimized(df)
-        # The drug names stand in the projection of the parts; the join with the parts keeps their lines only.
-        orders_join = o.index("Join Inner, (l_orderkey")
-        assert o.index("p_wanted", orders_join) > orders_join and "red plate" in o[orders_join:]
-        assert "p_wanted" in next(line for line in o.splitlines() if "Join Inner" in line and "l_partkey" in line)
+        # The join with the parts, which keeps the wanted lines only, lies below the join with the orders.
+        tree = o.splitlines()
+        parts = next(k for k, line in enumerate(tree) if "Join Inner" in line and "l_partkey" in line)
+        orders = next(k for k, line in enumerate(tree) if "Join Inner" in line and "l_orderkey" in line)
+        assert orders < parts and indent(tree[orders]) < indent(tree[parts])
+        assert "red plate" in tree[parts] or "wanted" in tree[parts]
 
 
-def test_long_drug_list_is_a_semi_join_below_the_encounter_joins(spark):
+def indent(line):
+    return len(line) - len(line.lstrip(" :+-"))
+
+
+def test_long_drug_lists_are_joined_with_the_parts_below_the_encounter_join(spark):
     rules = rule_table.compile_rules(rule_table.as_rule_table(spark, Q.RULES), inline_terms=0)
     assert set(rules.long) == {"target_dx", "excluding_dx", "related_dx", "target_drugs", "excluding_drugs"}
-    o = optimized(cohort.phenotype(Q._tables(spark, SF), rules))
-    lines = o.splitlines()
-    semi = next(k for k, line in enumerate(lines) if "LeftSemi" in line)
-    joins = [k for k, line in enumerate(lines) if "Join Inner" in line and "l_orderkey" in line and k < semi]
-    depth = lambda k: len(lines[k]) - len(lines[k].lstrip(" :+-"))
-    assert joins and any(depth(k) < depth(semi) for k in joins)
+    df = cohort.phenotype(Q._tables(spark, SF), rules)
+    assert plan(df).count("lineitem.parquet") == 1
+    tree = optimized(df).splitlines()
+    orders = next(k for k, line in enumerate(tree) if "Join Inner" in line and "l_orderkey" in line)
+    below = [line for line in tree[orders + 1:] if indent(line) > indent(tree[orders])]
+    assert any("Join LeftOuter, (lower(p_name" in line and "broadcast" in line for line in below)  # size-checked
+
+
+def test_long_drug_list_on_a_written_table_is_a_semi_join(spark):
+    rules = rule_table.compile_rules(rule_table.as_rule_table(spark, Q.RULES), inline_terms=0)
+    med = materialize(Q._tables(spark, SF).med, "med")
+    assert "LeftSemi" in optimized(cohort.med_row_flags(med, rules))
 
 
 def test_event_store_needs_no_exchange_on_the_patient(spark):
@@ -141,8 +153,10 @@ def test_event_store_needs_no_exchange_on_the_patient(spark):
     assert "Exchange" not in plan(features.medication_features(t.med))
     vectors = t.dx.selectExpr("patient_id", "cast(length(code) as int) as idx", "1d as value")
     assert "Exchange" not in plan(vectors.groupBy("patient_id", "idx").count())
-    # The labels' union of three tables keeps the buckets' layout.
-    assert plan(cohort.phenotype(t, Q.RULES)).count("Exchange hashpartitioning(patient_id") == 0
+    labels = cohort.phenotype(t, Q.RULES)
+    assert "Exchange" not in plan(labels) and plan(labels).count("FileScan") == 1
+    assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, cohort.phenotype(Q._tables(spark, SF), Q.RULES).collect()))
+    assert "PushedFilters: [IsNotNull(domain), EqualTo(domain,med)" in plan(t.med)
 
 
 def test_both_arms_read_one_written_table(spark):
