@@ -7,7 +7,9 @@ a task's memory depends on the batch and on its longest text alone.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, written_path
 
 CHUNK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -29,9 +31,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written under the shared checkpoint folder and read again."""
-    return materialize(df, label)
+    """``df`` written under the shared checkpoint folder and read again; within ``scratch`` the folder goes at its end."""
+    path = written_path(df, label)
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Owner of the tables that ``written`` makes within it: at the end it deletes exactly those folders.
+
+    It yields a function that writes a table to stay: what is read after the end must come from such a
+    table, or from the caller's own.
+    """
+    owned: list[str] = []
+    before = _OWNED.set(owned)
+    try:
+        yield materialize
+    finally:
+        _OWNED.reset(before)
+        for path in owned:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:

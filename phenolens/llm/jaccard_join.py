@@ -47,8 +47,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, renamed, written
-from .near_dedup import connected_components, shingles
+from .common import chunks, mix, renamed, scratch, written
+from .shingle_sets import connected_components, shingles
 
 PERCENT = 80
 #: Share of a set (in percent) that order 1 looks at beyond the shortest prefix, and that must be shared.
@@ -72,7 +72,7 @@ def prefix_size(n, percent: int):
     return n - up(percent, n) + 1
 
 
-def _set_batches(percent: int, first_only: bool):
+def set_batches(percent: int, first_only: bool):
     """mapInArrow function: doc_id, n, the class (hash of the set) and either order 1's first tokens or all of them with two prefixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,13 +194,17 @@ def linked(classes: DataFrame, percent: int, more: DataFrame | None = None) -> D
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row of ``docs``."""
-    docs = renamed(docs, {id_col: "doc_id", text_col: "text"})
-    sets = written(docs.mapInArrow(_set_batches(percent, True), "doc_id long, n long, cls long, first array<long>"), "sets")
+    with scratch(docs.sparkSession) as keep:
+        return keep(_joined(renamed(docs, {id_col: "doc_id", text_col: "text"}), percent), "joined")
+
+
+def _joined(docs: DataFrame, percent: int) -> DataFrame:
+    sets = written(docs.mapInArrow(set_batches(percent, True), "doc_id long, n long, cls long, first array<long>"), "sets")
     known = sets.where("n > 0 and doc_id is not null").select("doc_id", "cls")
     alive = written(with_partners(sets, percent), "partners")
     classes = written(
         of_documents(docs, alive).mapInArrow(
-            _set_batches(percent, False),
+            set_batches(percent, False),
             "doc_id long, n long, cls long, tokens array<long>, order1 array<int>, order3 array<int>")
         .where("n > 0").dropDuplicates(["cls"]).drop("doc_id"), "classes")
     # Versions of one document are linked through their id.

@@ -13,12 +13,12 @@ independent samples.
 
 ``BANDS`` bands of ``ROWS`` places make bucket keys. Documents with equal sets
 are one class first, so copies are never paired. In a bucket each member is
-compared with the smallest one; members that did not join its component are
-compared in further rounds with a growing share of the members of other
-components, all of them in the last round, so that no pair of different
-components in a bucket is left unchecked. Pairs are passed over only if their
-distances to the bucket's centre differ by more than a link allows (Jaccard
-distance is a metric). Every link is confirmed on the full sets.
+compared with the smallest one. Where a bucket then still holds several
+components, its members are compared further, each with all members of other
+components that can be linked with it at all: those with which it shares one
+of its rarest shingles, by the exact filters of ``jaccard_join``. A passage
+that thousands of documents have in common is frequent, so it makes no pairs of
+them. Every link is confirmed on the full sets.
 
 A pair at the threshold shares no bucket with probability
 (1 - .75 ** ROWS) ** BANDS, 2e-5 with the defaults, less above it.
@@ -38,46 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, chunks, mix, renamed, word_hashes, word_spans, written
+from .common import chunks, mix, renamed, scratch, written
+from .jaccard_join import linked, set_batches
+from .shingle_sets import MULT, connected_components, shingles
 
-SHINGLE_WORDS = 5
 COORDINATES = 200
 ROWS = 5
 BANDS = COORDINATES // ROWS
 PERCENT = 75
-#: The rounds after the first compare with one member in so many of the other components.
-SHARES = (64, 1)
-
-_MULT = mix(np.arange(1, 64, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
-
-
-def shingles(data: np.ndarray, offs: np.ndarray, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of the distinct shingles of each text, sorted by row and hash."""
-    data = LOWER[data]
-    start, end, row = word_spans(data, offs)
-    h = word_hashes(data, start, end)
-    rows = len(offs) - 1
-    first = np.searchsorted(row, np.arange(rows))
-    last = np.searchsorted(row, np.arange(rows), "right")
-    count = last - first
-    full = np.zeros(0, np.uint64)
-    at = np.zeros(0, np.int64)
-    if len(h) >= words:
-        full = sum(h[j:len(h) - words + 1 + j] * _MULT[j] for j in range(words))
-        ok = row[:len(full)] == row[words - 1:]
-        full, at = mix(full[ok]), row[:len(ok)][ok]
-    short = np.flatnonzero((count > 0) & (count < words))
-    if len(short):
-        few = np.array([(h[first[i]:last[i]] * _MULT[:count[i]]).sum(dtype=np.uint64) for i in short], np.uint64)
-        few += _MULT[50] * count[short].astype(np.uint64)
-        full, at = np.concatenate((full, mix(few))), np.concatenate((at, short))
-    order = np.lexsort((full, at))
-    full, at = full[order], at[order]
-    if len(full):
-        new = np.ones(len(full), bool)
-        new[1:] = (full[1:] != full[:-1]) | (at[1:] != at[:-1])
-        full, at = full[new], at[new]
-    return at, full
 
 
 def sketches(at: np.ndarray, value: np.ndarray, rows: int, coordinates: int = COORDINATES) -> np.ndarray:
@@ -88,7 +56,7 @@ def sketches(at: np.ndarray, value: np.ndarray, rows: int, coordinates: int = CO
     for r in range(2 * coordinates):
         if not len(value):
             break
-        h = mix(value ^ mix(np.array([r + 1], np.uint64) * _MULT[60]))
+        h = mix(value ^ mix(np.array([r + 1], np.uint64) * MULT[60]))
         own = (np.uint64(r) << np.uint64(40)) | (h & np.uint64((1 << 40) - 1))
         place = ((h >> np.uint64(32)) * t >> np.uint64(32)).astype(np.int64) if r < coordinates else r - coordinates
         np.minimum.at(out, at * coordinates + place, own)
@@ -102,7 +70,7 @@ def sketches(at: np.ndarray, value: np.ndarray, rows: int, coordinates: int = CO
 def band_keys(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     n, t = sketch.shape
     parts = sketch[:, :t // rows * rows].reshape(n, t // rows, rows)
-    key = (parts * _MULT[:rows]).sum(2, dtype=np.uint64) + mix(np.arange(t // rows, dtype=np.uint64) + np.uint64(7))
+    key = (parts * MULT[:rows]).sum(2, dtype=np.uint64) + mix(np.arange(t // rows, dtype=np.uint64) + np.uint64(7))
     return mix(key).view(np.int64)
 
 
@@ -115,7 +83,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             n = np.bincount(at, minlength=rows).astype(np.int64)
             h1, h2 = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
             np.add.at(h1, at, mix(value))
-            np.add.at(h2, at, mix(value ^ _MULT[55]))
+            np.add.at(h2, at, mix(value ^ MULT[55]))
             keys = band_keys(sketches(at, value, rows))
             some = n > 0
             offsets = np.concatenate(([0], np.cumsum(np.where(some, keys.shape[1], 0)))).astype(np.int32)
@@ -125,10 +93,17 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 names=["doc_id", "n_shingles", "h1", "h2", "bands"])
 
 
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of document ids those whose full sets are similar enough."""
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify_batches, "a long, b long")
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with the comparison of their full sets; the last right text's set is kept."""
+    last, last_set = None, None
     for batch in batches:
-        linked, distance, last, last_set = [], [], None, None
+        linked = []
         right = batch.column("text_b").to_pylist()
         left = [s for _, _, data, offs in chunks(batch.column("text_a"))
                 for s in _sets(*shingles(data, offs), len(offs) - 1)]
@@ -138,51 +113,21 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 (_, _, data, offs), = chunks(pa.array([b]))
                 last_set = shingles(data, offs)[1]
             both = len(np.intersect1d(a, last_set, assume_unique=True))
-            either = len(a) + len(last_set) - both
-            linked.append(100 * both >= PERCENT * either and both > 0)
-            distance.append(1 - both / either if either else 1.0)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(distance, pa.float64())],
-            names=["a", "b", "linked", "distance"])
+            linked.append(both > 0 and 100 * both >= PERCENT * (len(a) + len(last_set) - both))
+        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
 def _sets(at: np.ndarray, value: np.ndarray, rows: int) -> list[np.ndarray]:
     return np.split(value, np.searchsorted(at, np.arange(1, rows)))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of document ids with linked (similarity at the threshold or above) and Jaccard distance."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify_batches, "a long, b long, linked boolean, distance double")
-            .groupBy("a", "b").agg(F.max("linked").alias("linked"), F.min("distance").alias("distance")))
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node of the edges (a, b): the smallest node it reaches.
-
-    Smallest labels spread along the edges and are then looked up through
-    themselves, which halves the distance to the root each round.
-    """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    label = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                    .select("node", F.least("node", "m").alias("component")), "labels")
-    while True:
-        heard = (both.join(label, both.b == label.node).groupBy("a").agg(F.min("component").alias("m")))
-        near = (label.join(heard, label.node == heard.a)
-                .select("node", F.col("component").alias("old"), F.least("component", "m").alias("component")))
-        root = label.select(F.col("node").alias("r"), F.col("component").alias("root"))
-        step = written(near.join(root, near.component == root.r)
-                       .select("node", "old", F.least("component", "root").alias("component")), "labels")
-        label = step.select("node", "component")
-        if step.where("old <> component").isEmpty():
-            return label
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    docs = renamed(docs, {id_col: "doc_id", text_col: "text"})
+    with scratch(docs.sparkSession) as keep:
+        return keep(_judged(renamed(docs, {id_col: "doc_id", text_col: "text"})), "near_duplicates")
+
+
+def _judged(docs: DataFrame) -> DataFrame:
     rows = written(docs.mapInArrow(
         _sketch_batches, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"), "sketches")
     classes = written(
@@ -198,38 +143,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = F.least("n", "center_n") * 100 >= F.greatest("n", "center_n") * PERCENT
     pairs = buckets.where((F.col("rep") != F.col("center")) & alike).select(
         F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
-    checked = written(verified(pairs, texts), "checked")
-    links = checked.where("linked").select("a", "b")
-    # Bounds of each member's distance to the bucket's centre: known where it was compared, else from the sizes.
-    known = checked.select(F.col("a").alias("rep"), F.col("b").alias("center"), "distance")
-    buckets = written(buckets.join(known, ["rep", "center"], "left").select(
-        "key", "rep", "n",
-        F.when(F.col("rep") == F.col("center"), 0.0).otherwise(
-            F.coalesce("distance", 1 - F.least("n", "center_n") / F.greatest("n", "center_n"))).alias("near"),
-        F.when(F.col("rep") == F.col("center"), 0.0).otherwise(F.coalesce("distance", F.lit(1.0))).alias("far")), "bounded")
-    checked = checked.select("a", "b")
-    # Jaccard distance is a metric: two members cannot be linked if their distances to the centre differ by more.
-    most = 1 - PERCENT / 100 + 1e-9
-    reachable = (F.col("near") - F.col("center_far") <= most) & (F.col("center_near") - F.col("far") <= most)
+    links = written(confirmed(pairs, texts), "links").distinct()
     component = connected_components(links)
-    for share in SHARES:
-        tagged = buckets.join(component, buckets.rep == component.node, "left").select(
-            "key", "rep", "n", "near", "far", F.coalesce("component", "rep").alias("c"))
-        open_keys = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        mixed = tagged.join(open_keys, "key")
-        # The centres of a round: of every component in the bucket one member in `share`.
-        centers = (mixed.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0)
-                   .select("key", F.col("c").alias("center_c"), F.col("rep").alias("center"), F.col("n").alias("center_n"),
-                           F.col("near").alias("center_near"), F.col("far").alias("center_far")))
-        todo = (mixed.join(centers, "key").where((F.col("c") != F.col("center_c")) & alike & reachable)
-                .select(F.greatest("rep", "center").alias("a"), F.least("rep", "center").alias("b")).distinct()
-                .join(checked, ["a", "b"], "left_anti"))
-        new = written(verified(todo, texts).select("a", "b", "linked"), "checked")
-        checked = checked.union(new.select("a", "b"))
-        new = new.where("linked").select("a", "b")
-        if not new.isEmpty():
-            links = links.union(new)
-            component = connected_components(links)
+    # Buckets that still hold several components: their members meet under the orders of the set join.
+    tagged = buckets.select("key", "rep").join(component, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", F.coalesce("component", "rep").alias("c"))
+    several = tagged.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    left = tagged.join(several, "key").select(F.col("rep").alias("doc_id")).distinct()
+    sets = written(texts.join(left, "doc_id").mapInArrow(
+        set_batches(PERCENT, False),
+        "doc_id long, n long, cls long, tokens array<long>, order1 array<int>, order3 array<int>")
+        .dropDuplicates(["cls"]), "open_sets")
+    own = sets.select("doc_id", "cls")
+    known = (links.join(own.withColumnsRenamed({"doc_id": "a", "cls": "ca"}), "a")
+             .join(own.withColumnsRenamed({"doc_id": "b", "cls": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    grouped = written(own.join(linked(sets.drop("doc_id"), PERCENT, known), F.col("cls") == F.col("node")), "open_groups")
+    first = grouped.groupBy("component").agg(F.min("doc_id").alias("a"))
+    more = grouped.join(first, "component").where("a < doc_id").select("a", F.col("doc_id").alias("b"))
+    if not more.isEmpty():
+        component = connected_components(links.union(more))
 
     by_class = classes.join(component, classes.rep == component.node, "left").select(
         "n_shingles", "h1", "h2", F.coalesce("component", "rep").alias("component_id"))
