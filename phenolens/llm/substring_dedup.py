@@ -9,7 +9,9 @@ and a passage of ``2 * SPREAD + WINDOW`` bytes or more has a whole chunk in
 common wherever it stands. A chunk has about ``SPREAD / 2`` bytes and at most
 ``SPREAD``; only where a text repeats itself every few bytes (a ruled line)
 are equal hashes passed over, up to ``MAX_BYTES``, and cuts counted from the
-start of such a stretch. Chunks are deduplicated by a 128-bit
+start of such a stretch. Chunk hashes of 8 bytes are counted first, combined in
+each task, and marked in a bit table of fixed size if they occur twice; only
+chunks with a mark, a small part, go on. They are deduplicated by a 128-bit
 digest: the occurrence with the smallest (doc_id, start) stays. A run of
 neighbouring repeated chunks is extended byte by byte, by up to ``REACH`` bytes
 on either side, as far as the text equals that around the first occurrence of
@@ -22,7 +24,8 @@ ones (a stock phrase) stay. Over 50 words of two letters or more on average
 Cases: null and empty texts have no chunks and stay as they are. Rows that
 share a ``doc_id`` are told apart by a hash of the text; equal rows are one
 document, so they keep or lose the same bytes. A null ``doc_id`` sorts before
-all others. An empty table gives an empty result. Text is processed whole;
+all others. Other columns stay, whatever they are called. Runs are extended
+along the first occurrence of their outermost chunks only. An empty table gives an empty result. Text is processed whole;
 memory follows the longest text.
 """
 
@@ -33,17 +36,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, chunks, mix, renamed, versioned, written
+from .common import SPACES, chunks, mix, prefix_hash, scratch, versioned, written
 
 WINDOW = 16
 SPREAD = 64
 MAX_BYTES = 256
 RUN_BYTES = 100
 REACH = 256
+#: Chunk hashes that a task combines at a time, and bits of the table of repeated ones (16 MB).
+HELD, MARK_BITS = 1 << 20, 1 << 27
 #: Of a word cut by the end of a run, at most so many bytes are given back.
 WORD_BYTES = 24
 
@@ -93,23 +99,75 @@ def boundaries(data: np.ndarray) -> list[int]:
     return ends if ends and ends[-1] == n else [*ends, n]
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) of every chunk of the texts that lie one behind the other, start and end within the whole."""
+    ends = [boundaries(data[lo:hi]) for lo, hi in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+    count = np.array([len(e) for e in ends], np.int64)
+    row = np.repeat(np.arange(len(ends)), count)
+    end = np.concatenate([np.asarray(e, np.int64) for e in ends]) if len(row) else np.zeros(0, np.int64)
+    end = end + offs[row]
+    start = np.concatenate(([0], end[:-1])) if len(row) else end
+    return row, np.maximum(start, offs[row]), end
+
+
+def chunk_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    p, down = prefix_hash(data)
+    return mix((p[end] - p[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, n): the chunk hashes of a task, combined ``HELD`` at a time."""
+    held: list[np.ndarray] = []
+
+    def flushed() -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
     for batch in batches:
-        for lo, hi, data, offs in chunks(batch.column("text")):
-            starts, stops, digests, counts = [], [], [], []
-            for i in range(lo, hi):
-                own = data[offs[i - lo]:offs[i - lo + 1]]
-                raw, ends = own.tobytes(), boundaries(own)
-                begins = [0, *ends[:-1]] if ends else []
-                digests += [hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(begins, ends, strict=True)]
-                starts += begins
-                stops += ends
-                counts.append(len(ends))
-            rows = pa.array(np.repeat(np.arange(lo, hi), counts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(rows), batch.column("version").take(rows), pa.array(starts, pa.int32()),
-                 pa.array(stops, pa.int32()), pa.array(digests, pa.binary())],
-                names=["doc_id", "version", "start", "end", "digest"])
+        for _, _, data, offs in chunks(batch.column("text")):
+            _, start, end = pieces(data, offs)
+            held.append(chunk_hashes(data, start, end))
+            if sum(map(len, held)) >= HELD:
+                yield flushed()
+    if held:
+        yield flushed()
+
+
+def repeated_marks(own: DataFrame) -> np.ndarray:
+    """A bit for each chunk hash that occurs twice or more, at the place of its lowest bits.
+
+    The table has ``MARK_BITS`` bits whatever the input; a chunk that shares its bit with a repeated
+    one goes on for nothing, which costs time and changes no result.
+    """
+    twice = own.mapInArrow(_count_batches, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    place = F.col("h").bitwiseAND(F.lit(MARK_BITS - 1))
+    words = twice.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(h & {63} as int))").alias("bit")
+                         ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(MARK_BITS // 64, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _chunk_batches(marks: Broadcast):
+    """mapInArrow function: the chunks that may be repeated, with their digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = marks.value
+        for batch in batches:
+            for lo, _, data, offs in chunks(batch.column("text")):
+                row, start, end = pieces(data, offs)
+                place = chunk_hashes(data, start, end) & np.uint64(MARK_BITS - 1)
+                some = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+                row, start, end = row[some], start[some], end[some]
+                raw = data.tobytes()
+                digests = [hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+                rows = pa.array(row + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(rows), batch.column("version").take(rows),
+                     pa.array((start - offs[row]).astype(np.int32)), pa.array((end - offs[row]).astype(np.int32)),
+                     pa.array(digests, pa.binary())], names=["doc_id", "version", "start", "end", "digest"])
+
+    return run
 
 
 def _edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,11 +259,10 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = end
             kept.append(raw[at:])
             out.append((b"".join(kept).decode(), sum(e - s for s, e in runs), len(runs)))
-        rest = [name for name in batch.schema.names if name not in ("text", "edges")]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in rest), *(pa.array([x[k] for x in out], t) for k, t in
-                                                 enumerate((pa.string(), pa.int64(), pa.int64())))],
-            names=[*rest, "text", "n_removed", "n_spans"])
+            [batch.column("doc_id"), batch.column("row"),
+             *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64())))],
+            names=["doc_id", "row", "text", "n_removed", "n_spans"])
 
 
 def merged(spans: list) -> list[tuple[int, int]]:
@@ -221,27 +278,30 @@ def merged(spans: list) -> list[tuple[int, int]]:
 
 def repeated_chunks(own: DataFrame) -> DataFrame:
     """doc_id, version, spans: the chunks of each row that an earlier place has too, with that place."""
-    pieces = own.mapInArrow(_chunk_batches, "doc_id long, version long, start int, end int, digest binary")
+    marks = own.sparkSession.sparkContext.broadcast(repeated_marks(own))
+    # Written: read for the first places and again for the others.
+    found = written(own.mapInArrow(_chunk_batches(marks), "doc_id long, version long, start int, end int, digest binary"), "chunks")
     place = F.struct("doc_id", "version", "start")
-    repeated = (pieces.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    repeated = (found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                 .where("n > 1").select("digest", "first"))
-    return (pieces.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
+    return (found.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
             .groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "first")).alias("spans")))
 
 
 def run_edges(own: DataFrame) -> DataFrame:
     """doc_id, version, edges: the ends of each row's runs of repeated chunks and the bytes around their first occurrences."""
-    # Written: read for the places and again for the edges.
-    edges = written(repeated_chunks(own).mapInArrow(
-        _edge_batches, "doc_id long, version long, lo int, hi int, place int, ahead boolean, "
-        "first_id long, first_version long, first_place int"), "run_edges")
+    # Written to stay: read for the places and again for the edges. The chunks go.
+    with scratch(own.sparkSession) as keep:
+        edges = keep(repeated_chunks(own).mapInArrow(
+            _edge_batches, "doc_id long, version long, lo int, hi int, place int, ahead boolean, "
+            "first_id long, first_version long, first_place int"), "run_edges")
     key = ["first_id", "first_version", "first_place", "ahead"]
     places = (edges.select(*key).distinct().groupBy("first_id", "first_version")
               .agg(F.collect_list(F.struct("first_place", "ahead")).alias("places")))
     held = own.join(places, own.doc_id.eqNullSafe(places.first_id) & (own.version == places.first_version))
-    beside = (held.select("doc_id", "version", "text", "places").mapInArrow(
+    # Rows that repeat give their bytes again; the set of edges below holds them once.
+    beside = held.select("doc_id", "version", "text", "places").mapInArrow(
         _beside_batches, "first_id long, first_version long, first_place int, ahead boolean, beside binary")
-        .dropDuplicates(key))
     e, b = edges.alias("e"), beside.alias("b")
     joined = e.join(b, F.expr(" and ".join(f"e.{k} <=> b.{k}" for k in key)))
     return (joined.select("doc_id", "version", F.struct("lo", "hi", "place", "e.ahead", "beside").alias("edge"))
@@ -251,18 +311,19 @@ def run_edges(own: DataFrame) -> DataFrame:
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the texts that are left; n_removed and n_spans (bytes and runs cut) are added.
 
-    The other columns stay, but for ``n_chars``, which follows the new text.
+    The other columns stay, whatever their names, but for ``n_chars``, which follows the new text, and
+    for columns named as the new ones.
     """
-    own = versioned(renamed(docs, {id_col: "doc_id", text_col: "text"}))
-    spans = run_edges(own).select(F.col("doc_id").alias("__id"), F.col("version").alias("__v"), F.col("edges").alias("__edges"))
-    whole = docs.withColumnRenamed(id_col, "doc_id").withColumnRenamed(text_col, "text")
-    whole = versioned(whole, "__version")
-    joined = whole.join(spans, whole.doc_id.eqNullSafe(F.col("__id")) & (whole["__version"] == F.col("__v")), "left")
-    rest = [c for c in whole.columns if c not in ("text", "__version", "n_chars", "n_removed", "n_spans")]
-    joined = joined.select(*rest, "text", F.col("__edges").alias("edges"))
-    out = joined.mapInArrow(_cut_batches, T.StructType(
-        [joined.schema[c] for c in rest]
-        + [T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())]))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out
+    rest = [c for c in docs.columns if c not in (id_col, text_col, "doc_id", "text", "n_removed", "n_spans")]
+    # The other columns travel in one struct, so no name of theirs meets one of these.
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(rest)])
+    whole = versioned(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), row.alias("row")))
+    spans = run_edges(whole.select("doc_id", "text", "version")).withColumnsRenamed({"doc_id": "id", "version": "v"})
+    joined = whole.join(spans, whole.doc_id.eqNullSafe(F.col("id")) & (F.col("version") == F.col("v")), "left").select(
+        "doc_id", "row", "text", "edges")
+    out = joined.mapInArrow(_cut_batches, T.StructType([
+        joined.schema["doc_id"], joined.schema["row"], T.StructField("text", T.StringType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())]))
+    chars = F.length("text").cast("long")
+    return out.select("doc_id", *[chars.alias(c) if c == "n_chars" else F.col(f"row.c{k}").alias(c) for k, c in enumerate(rest)],
+                      "text", "n_removed", "n_spans")
