@@ -15,7 +15,8 @@ chunks with a mark, a small part, go on. They are deduplicated by a 128-bit
 digest: the occurrence with the smallest (doc_id, start) stays. A run of
 neighbouring repeated chunks is extended byte by byte, by up to ``REACH`` bytes
 on either side, as far as the text equals that around the first occurrence of
-the run's outermost chunk or the one next to it; so a repeated passage goes as a whole, not only
+the run's outermost chunk or the one next to it (a chunk carries hashes of the ``SIDE``
+bytes on either side, so that short runs that cannot grow long enough need no bytes fetched); so a repeated passage goes as a whole, not only
 its whole chunks. Extended runs of ``RUN_BYTES`` or more are cut out of the
 text, but for the parts of words at their ends and one space in front; shorter
 ones (a stock phrase) stay. Over 50 words of two letters or more on average
@@ -48,6 +49,8 @@ SPREAD = 64
 MAX_BYTES = 256
 RUN_BYTES = 100
 REACH = 256
+#: Bytes on either side of a chunk whose hash it carries: an end that differs there is extended by less.
+SIDE = 16
 #: Chunk hashes that a task combines at a time, and bits of the table of repeated ones (16 MB).
 HELD, MARK_BITS = 1 << 20, 1 << 27
 #: Of a word cut by the end of a run, at most so many bytes are given back.
@@ -110,8 +113,9 @@ def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return row, np.maximum(start, offs[row]), end
 
 
-def chunk_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    p, down = prefix_hash(data)
+def chunk_hashes(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes [start, end), from the ``prefix_hash`` of the whole."""
+    p, down = sums
     return mix((p[end] - p[start]) * down[start] + (end - start).astype(np.uint64))
 
 
@@ -127,7 +131,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for _, _, data, offs in chunks(batch.column("text")):
             _, start, end = pieces(data, offs)
-            held.append(chunk_hashes(data, start, end))
+            held.append(chunk_hashes(prefix_hash(data), start, end))
             if sum(map(len, held)) >= HELD:
                 yield flushed()
     if held:
@@ -156,16 +160,20 @@ def _chunk_batches(marks: Broadcast):
         for batch in batches:
             for lo, _, data, offs in chunks(batch.column("text")):
                 row, start, end = pieces(data, offs)
-                place = chunk_hashes(data, start, end) & np.uint64(MARK_BITS - 1)
+                sums = prefix_hash(data)
+                place = chunk_hashes(sums, start, end) & np.uint64(MARK_BITS - 1)
                 some = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
                 row, start, end = row[some], start[some], end[some]
                 raw = data.tobytes()
                 digests = [hashlib.blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+                before = chunk_hashes(sums, np.maximum(start - SIDE, offs[row]), start).astype(np.uint32).view(np.int32)
+                after = chunk_hashes(sums, end, np.minimum(end + SIDE, offs[row + 1])).astype(np.uint32).view(np.int32)
                 rows = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(rows), batch.column("version").take(rows),
                      pa.array((start - offs[row]).astype(np.int32)), pa.array((end - offs[row]).astype(np.int32)),
-                     pa.array(digests, pa.binary())], names=["doc_id", "version", "start", "end", "digest"])
+                     pa.array(before), pa.array(after), pa.array(digests, pa.binary())],
+                    names=["doc_id", "version", "start", "end", "before", "after", "digest"])
 
     return run
 
@@ -174,23 +182,35 @@ def _edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Both ends of every run, with the same place of the first occurrence.
 
     The second chunk from an end is another try where its first occurrence is not beside that of the outermost.
+    An end can be extended by up to ``REACH`` bytes where the hashes of the ``SIDE`` bytes beside it agree, else by
+    fewer than ``SIDE``. Runs that may meet so are a group; a group that stays below ``RUN_BYTES`` is left out.
     """
     for batch in batches:
         out: list[tuple] = []
         for doc, version, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "spans")), strict=True):
             spans.sort(key=lambda s: s["start"])
             where = [(s["first"]["doc_id"], s["first"]["version"], s["first"]["start"] - s["start"]) for s in spans]
-            at = 0
+            at, group, least, most = 0, [], 0, -1
             for lo, hi in merged(spans):
                 end = at
                 while end < len(spans) and spans[end]["end"] <= hi:
                     end += 1
-                for side, order in (("start", range(at, end)), ("end", range(end - 1, at - 1, -1))):
+                edges, grows = [], {}
+                for side, beside, order in (("start", "before", range(at, end)), ("end", "after", range(end - 1, at - 1, -1))):
+                    grows[side] = SIDE - 1
                     for k in order[:2]:
                         if k == order[0] or where[k] != where[order[0]]:
                             place = spans[k][side]
-                            out.append((doc, version, lo, hi, place, side == "end", *where[k][:2], where[k][2] + place))
+                            edges.append((doc, version, lo, hi, place, side == "end", *where[k][:2], where[k][2] + place))
+                            if spans[k][beside] == spans[k]["first"][beside]:
+                                grows[side] = REACH
+                if lo - grows["start"] > most:
+                    out += group if most - least >= RUN_BYTES else []
+                    group, least = [], lo - grows["start"]
+                group += edges
+                least, most = min(least, lo - grows["start"]), max(most, hi + grows["end"])
                 at = end
+            out += group if most - least >= RUN_BYTES else []
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(EDGES)], schema=EDGES)
 
 
@@ -280,12 +300,12 @@ def repeated_chunks(own: DataFrame) -> DataFrame:
     """doc_id, version, spans: the chunks of each row that an earlier place has too, with that place."""
     marks = own.sparkSession.sparkContext.broadcast(repeated_marks(own))
     # Written: read for the first places and again for the others.
-    found = written(own.mapInArrow(_chunk_batches(marks), "doc_id long, version long, start int, end int, digest binary"), "chunks")
-    place = F.struct("doc_id", "version", "start")
-    repeated = (found.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-                .where("n > 1").select("digest", "first"))
-    return (found.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
-            .groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end", "first")).alias("spans")))
+    found = written(own.mapInArrow(_chunk_batches(marks), "doc_id long, version long, start int, end int, before int, after int, digest binary"), "chunks")
+    repeated = (found.groupBy("digest").agg(F.min(F.struct("doc_id", "version", "start", "before", "after")).alias("first"),
+                                            F.count("*").alias("n")).where("n > 1").select("digest", "first"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.expr("version = first.version and start = first.start")
+    return (found.join(repeated, "digest").where(~is_first).groupBy("doc_id", "version")
+            .agg(F.collect_set(F.struct("start", "end", "before", "after", "first")).alias("spans")))
 
 
 def run_edges(own: DataFrame) -> DataFrame:

@@ -283,3 +283,24 @@ def test_scratch_deletes_its_own_tables_and_no_others(spark):
         assert not Path(gone[0].removeprefix("file://")).exists() and Path(gone[1].removeprefix("file://")).exists()
     assert sorted(r.id for r in result.collect()) == [0, 2, 4] and stays.count() == 3
     assert not Path(gone[1].removeprefix("file://")).parent.exists()
+
+
+def test_runs_left_out_would_not_have_been_cut(spark, docs, monkeypatch):
+    import pyarrow as pa
+
+    own = common.versioned(docs.select("doc_id", "text"))
+    texts = {r.doc_id: r.text.encode() for r in own.where("text is not null").collect()}
+    spans = substring_dedup.repeated_chunks(own).toArrow().combine_chunks().to_batches()
+
+    def cuts(side):
+        monkeypatch.setattr(substring_dedup, "SIDE", side)
+        by_doc: dict = {}
+        for e in pa.Table.from_batches(substring_dedup._edge_batches(spans)).to_pylist():
+            other, at = texts[e["first_id"]], e["first_place"]
+            e["beside"] = other[at:at + substring_dedup.REACH] if e["ahead"] else other[max(0, at - substring_dedup.REACH):at]
+            by_doc.setdefault(e["doc_id"], []).append(e)
+        runs = {doc: substring_dedup.extended(texts[doc], edges) for doc, edges in by_doc.items()}
+        return sum(map(len, by_doc.values())), {doc: r for doc, r in runs.items() if r}
+
+    (some, kept), (every, same) = cuts(16), cuts(10_000)
+    assert some < every and kept == same and kept
