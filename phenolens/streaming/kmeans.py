@@ -12,10 +12,13 @@ Update rule for one batch with per-cluster point count ``m`` and point sum ``s``
   into ``x + p`` (largest) and ``x - p`` (smallest), ``p = 1e-14 * max(|x|, 1)``
   per coordinate.
 
-The k centres travel into the plan as array literals, so the nearest centre
-is a per-row expression (no join, no shuffle); the batch statistics are one
-``groupBy(cluster)`` with partial aggregation; the update itself runs over
-the k-row centre table. Only the k centres (model state, bounded by k) are
+Few centres travel into the plan as array literals, so the nearest centre is
+a per-row expression (no join, no shuffle). More than ``LITERAL_VALUES``
+coordinates in all are broadcast as one block instead, and an Arrow function
+measures a batch of points against it: the plan does not grow with k, and the
+distances are added up in the same order, so both ways give the same bits.
+The batch statistics are one ``groupBy(cluster)`` with partial aggregation;
+the update itself runs over the k-row centre table. Only the k centres (model state, bounded by k) are
 read on the driver, to become the next batch's literals.
 """
 
@@ -24,10 +27,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Coordinates of all centres together that go into the plan as literals.
+LITERAL_VALUES = 1024
+#: Distances (points x centres) that a task holds at a time.
+BLOCK_DISTANCES = 1 << 20
+
 CENTRE_SCHEMA = T.StructType([
     T.StructField("cluster", T.IntegerType(), False),
     T.StructField("weight", T.DoubleType(), False),
@@ -58,9 +67,13 @@ def _sq_distance(features: Column, centre: Sequence[float]) -> Column:
 
 
 def nearest_centre(features: Column, centres: Sequence[Sequence[float]]) -> Column:
-    """0-based index of the nearest centre (squared Euclidean; ties -> lowest index)."""
+    """0-based index of the nearest centre (squared Euclidean; ties -> lowest index).
+
+    Null for features that are null, hold a null or have another length: no distance is known.
+    """
     dists = F.array(*[_sq_distance(features, c) for c in centres])
-    return (F.array_position(dists, F.array_min(dists)) - F.lit(1)).cast("int")
+    known = (F.size(features) == F.lit(len(centres[0]))) & ~F.exists(features, lambda x: x.isNull())
+    return F.when(known, F.array_position(dists, F.array_min(dists)) - F.lit(1)).cast("int")
 
 
 def _local_centres(centres: DataFrame) -> list[tuple[int, float, list[float]]]:
@@ -68,12 +81,49 @@ def _local_centres(centres: DataFrame) -> list[tuple[int, float, list[float]]]:
     return [(r["cluster"], r["weight"], list(r["center"])) for r in rows]
 
 
+def nearest_rows(features: pa.Array, centres: np.ndarray) -> np.ndarray:
+    """Index of the centre nearest to each row of a list array; -1 for rows that are null, hold a null or have another length."""
+    dim = centres.shape[1]
+    offs = features.offsets.to_numpy()
+    values = features.values
+    x = values.to_numpy(zero_copy_only=False).astype(np.float64)
+    nulls = np.concatenate(([0], np.cumsum(values.is_null().to_numpy(zero_copy_only=False))))
+    good = features.is_valid().to_numpy(zero_copy_only=False) & (np.diff(offs) == dim) & (nulls[offs[1:]] == nulls[offs[:-1]])
+    rows, out = np.flatnonzero(good), np.full(len(features), -1, np.int64)
+    step = max(1, BLOCK_DISTANCES // len(centres))
+    for at in range(0, len(rows), step):
+        part = rows[at:at + step]
+        block = x[offs[part][:, None] + np.arange(dim)]
+        total = np.zeros((len(part), len(centres)))
+        for d in range(dim):  # one coordinate after the other, as the literal form adds them
+            diff = block[:, d, None] - centres[:, d]
+            total += diff * diff
+        out[part] = np.where(np.isnan(total), np.inf, total).argmin(1)
+    return out
+
+
+def _assign_block(points: DataFrame, local: list[tuple[int, float, list[float]]], features_col: str) -> DataFrame:
+    """``assign`` with the centres broadcast as one block of k x dim numbers."""
+    block = points.sparkSession.sparkContext.broadcast(
+        (np.array([c[0] for c in local], np.int32), np.array([c[2] for c in local], np.float64)))
+
+    @F.arrow_udf("int")
+    def nearest(features: pa.Array) -> pa.Array:
+        ids, centres = block.value
+        found = nearest_rows(features, centres)
+        return pa.array(ids[found], mask=found < 0)
+
+    return points.withColumn("cluster", nearest(F.col(features_col).cast("array<double>")))
+
+
 def assign(points: DataFrame, centres: DataFrame, features_col: str = "features") -> DataFrame:
-    """Add ``cluster`` (id of the nearest centre) to every point."""
+    """Add ``cluster`` (id of the nearest centre; ties: the smallest id) to every point."""
     local = _local_centres(centres)
+    if sum(len(c[2]) for c in local) > LITERAL_VALUES:
+        return _assign_block(points, local, features_col)
     pos = nearest_centre(F.col(features_col), [c[2] for c in local])
     ids = F.array(*[F.lit(c[0]) for c in local])
-    return points.withColumn("cluster", F.element_at(ids, pos + F.lit(1)))
+    return points.withColumn("cluster", F.when(pos.isNotNull(), F.get(ids, pos)))
 
 
 def batch_statistics(assigned: DataFrame, dim: int, features_col: str = "features") -> DataFrame:
@@ -153,6 +203,9 @@ class StreamingKMeans:
     centres are ``batch=-1`` and batch ``b`` writes ``batch=b`` (dynamic
     partition overwrite). Batch ``b`` starts from the newest state below
     ``b``, so a batch replayed after a failure recomputes the same centres.
+    Once batch ``b`` is written, states older than the one it started from are
+    deleted, but for the initial one, so the folder holds three states however long the stream runs; a
+    table that ``latest`` gave is good until two more batches have run.
     ``state_dir`` must be a folder the driver and every executor can reach.
     """
 
@@ -187,6 +240,18 @@ class StreamingKMeans:
         """``foreachBatch`` callback: one update from the previous state."""
         start = self.latest(batch.sparkSession, before=batch_id)
         self._write(update(batch, start, self.decay, self.time_unit, self.features_col), batch_id)
+        self._forget(batch.sparkSession, batch_id)
+
+    def _forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Delete the states before the one that batch ``batch_id`` started from, but for the initial one."""
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.state_dir)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        paths = {int(p.getName().removeprefix("batch=")): p for p in (f.getPath() for f in files.listStatus(folder))
+                 if p.getName().startswith("batch=")}
+        start = max((b for b in paths if b < batch_id), default=batch_id)
+        for b, path in paths.items():
+            if 0 <= b < start:
+                files.delete(path, True)
 
     def predict(self, points: DataFrame) -> DataFrame:
         return assign(points, self.latest(points.sparkSession), self.features_col)

@@ -113,3 +113,56 @@ def test_replayed_batch_writes_same_state(spark, tmpdir_fresh):
     assert first == again
     state = spark.read.parquet(os.path.join(tmpdir_fresh, "state"))
     assert state.where("batch = 0").count() == 2
+
+
+def _points(spark, n, dim, seed=3):
+    rng = np.random.default_rng(seed)
+    return spark.createDataFrame([(i, rng.standard_normal(dim).tolist()) for i in range(n)], "id int, features array<double>")
+
+
+def test_many_centres_are_measured_as_one_block(spark):
+    dim = 64
+    points = _points(spark, 2000, dim)
+    centres = np.random.default_rng(5).standard_normal((500, dim))
+    got = skm.assign(points, skm.centres_frame(spark, centres.tolist(), 1.0)).collect()
+    for r in got[::97]:
+        assert r.cluster == ((np.array(r.features) - centres) ** 2).sum(1).argmin()
+    out = skm.update(points, skm.centres_frame(spark, centres.tolist(), 1.0)).orderBy("cluster").collect()
+    want, weights = numpy_update(np.array([r.features for r in got]), centres, np.ones(500), 1.0, "batches")
+    np.testing.assert_allclose([r.center for r in out], want, atol=1e-9)
+    assert [r.weight for r in out] == weights.tolist()
+
+
+def test_plan_does_not_grow_with_the_number_of_centres(spark):
+    points = _points(spark, 10, 64)
+
+    def size(k):
+        plan = skm.assign(points, skm.centres_frame(spark, np.zeros((k, 64)).tolist(), 1.0))
+        return len(plan._jdf.queryExecution().executedPlan().toString())
+
+    assert abs(size(50) - size(500)) < 20
+
+
+def test_block_and_literals_give_the_same_bits(spark, monkeypatch):
+    points = _points(spark, 500, 5).unionByName(spark.createDataFrame(
+        [(-1, None), (-2, [1.0, None, 0.0, 0.0, 0.0]), (-3, [1.0]), (-4, [0.0] * 5), (-5, [float("nan")] * 5)],
+        "id int, features array<double>"))
+    centres = np.random.default_rng(1).standard_normal((6, 5)).tolist()
+    centres[3] = centres[1]  # a tie: the smaller id has it
+    frame = skm.centres_frame(spark, centres, 1.0)
+    literal = {r.id: r.cluster for r in skm.assign(points, frame).collect()}
+    monkeypatch.setattr(skm, "LITERAL_VALUES", 0)
+    block = {r.id: r.cluster for r in skm.assign(points, frame).collect()}
+    assert block == literal and [block[i] for i in (-1, -2, -3)] == [None] * 3 and 3 not in block.values()
+
+
+def test_state_folder_holds_the_first_and_two_states(spark, tmpdir_fresh):
+    state = os.path.join(tmpdir_fresh, "rotating")
+    model = skm.StreamingKMeans(state, skm.centres_frame(spark, [[0.0, 0.0], [5.0, 5.0]], 0.0))
+    batches = [spark.createDataFrame([([float(b), 1.0],), ([6.0, 5.0 + b],)], "features array<double>") for b in range(5)]
+    for b, batch in enumerate(batches):
+        model.process_batch(batch, b)
+    assert sorted(f for f in os.listdir(state) if f.startswith("batch=")) == ["batch=-1", "batch=3", "batch=4"]
+    before = model.latest(spark).orderBy("cluster").collect()
+    model.process_batch(batches[4], 4)  # a batch replayed starts from the same state
+    assert model.latest(spark).orderBy("cluster").collect() == before
