@@ -11,9 +11,9 @@ by windows of ``SPAN`` characters that overlap by ``OVERLAP``; each character ta
 its scores from the window that has it furthest from an edge, and Viterbi over
 the whole text gives the spans. The gates are straight lines cut at their ends,
 in place of logistic curves, which costs a third. Where
-the score of the empty tag is ahead by more than any two transitions can make
-up for, the best path is known; the rest is decoded between such places, which
-gives the same path. Spans of at least ``LEAST_CHARS`` characters whose labels
+no run of other tags can make up for the steps into and out of it, the best
+path has the empty tag; the rest is decoded between such places, which gives
+the same path. Spans of at least ``LEAST_CHARS`` characters whose labels
 have a mean score (a softmax over the tags) of ``SURE`` or more and that touch
 no base span are added.
 
@@ -171,23 +171,32 @@ def _lstm_back(p, side, e, kept, dout, grad):
 
 
 def _states(p, side, x, active):
-    """Hidden states as ``_lstm`` gives them, of symbols (T, N), of which the first ``active[t]`` count at t."""
+    """Hidden states as ``_lstm`` gives them, of symbols (T, N), of which the first ``active[t]`` count at t.
+
+    The four gates lie one behind the other, (4, N, HIDDEN), so that every step runs over whole
+    blocks of memory; the bounds are as large as they are for the same reason.
+    """
+    gates = lambda m: np.ascontiguousarray(m.reshape(-1, 4, HIDDEN).swapaxes(0, 1))
     scale = np.repeat(np.float32([0.25, 1]), (3 * HIDDEN, HIDDEN))
     shift = np.repeat(np.float32([0.5, 0]), (3 * HIDDEN, HIDDEN))
-    low = np.repeat(np.float32([0, -1]), (3 * HIDDEN, HIDDEN))
-    table, turn = (p["embed"] @ p[f"x{side}"] + p[f"c{side}"]) * scale + shift, np.ascontiguousarray(p[f"h{side}"] * scale)
-    h = c = np.zeros((x.shape[1], HIDDEN), np.float32)
+    table = gates((p["embed"] @ p[f"x{side}"] + p[f"c{side}"]) * scale + shift)
+    turn = gates(p[f"h{side}"] * scale)
+    n = x.shape[1]
+    low, high = np.zeros((4, n, HIDDEN), np.float32), np.ones((4, n, HIDDEN), np.float32)
+    low[3] = -1
+    h = c = np.zeros((n, HIDDEN), np.float32)
     out = np.zeros((*x.shape, HIDDEN), np.float32)
     for t, m in enumerate(active.tolist()):
         z = h[:m] @ turn
-        z += table.take(x[t, :m], 0)
-        np.maximum(z, low, out=z)
-        np.minimum(z, np.float32(1), out=z)
-        c = z[:, HIDDEN:2 * HIDDEN] * c[:m]
-        z[:, 3 * HIDDEN:] *= z[:, :HIDDEN]
-        c += z[:, 3 * HIDDEN:]
-        cut = np.minimum(c, np.float32(1))
-        h = np.multiply(z[:, 2 * HIDDEN:3 * HIDDEN], np.maximum(cut, np.float32(-1), out=cut), out=out[t, :m])
+        z += table.take(x[t, :m], 1)
+        np.maximum(z, low[:, :m], out=z)
+        np.minimum(z, high[:, :m], out=z)
+        i, f, o, g = z
+        g *= i
+        f *= c[:m]
+        c = np.add(f, g, out=f)
+        cut = np.minimum(c, high[3, :m], out=g)
+        h = np.multiply(o, np.maximum(cut, low[3, :m], out=cut), out=out[t, :m])
     return out
 
 
@@ -200,7 +209,8 @@ def scores(p: dict[str, np.ndarray], x: np.ndarray, size: np.ndarray) -> np.ndar
     turn = (lambda v: v[::-1]) if full else lambda v: v[turned, np.arange(len(size))]
     s = _states(p, "f", x, active) @ p["out"][:HIDDEN]
     s += turn(_states(p, "b", turn(x), active) @ p["out"][HIDDEN:])
-    return s + p["bias"]
+    s += np.tile(p["bias"], (x.shape[1], 1))
+    return s
 
 
 def _logsum(x, axis):
@@ -281,10 +291,30 @@ def viterbi(s: np.ndarray, step: np.ndarray, length: np.ndarray | None = None, i
     return out.T
 
 
+def possible(s: np.ndarray, offs: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Where the best path of a text may have another tag than 0 (everywhere else it has not).
+
+    A run of other tags on the best path is no worse than zeros in its place. Its lead over them is at most
+    the sum of ``lead`` over the run, which counts the dearest step between other tags for each character,
+    less ``cost``, what it takes to enter and leave the run. A character with no run through it that makes
+    up for the cost has tag 0.
+    """
+    inside, stay, enter, leave = (float(v) for v in (step[1:, 1:].max(), step[0, 0], step[0, 1:].max(), step[1:, 0].max()))
+    lead = (np.maximum.reduce([s[:, k] for k in range(1, TAGS)]) - s[:, 0]).astype(np.float64) + (inside - stay)
+    some = offs[1:] > offs[:-1]  # the first and the last character of a text need no step on one side
+    lead[offs[:-1][some]] += stay - enter
+    lead[offs[1:][some] - 1] += stay - leave
+    cost = inside + stay - enter - leave
+    total = np.concatenate(([0.0], np.cumsum(lead)))
+    most = np.maximum.accumulate(total[:0:-1])[::-1]  # of the sums up to the end of a run that holds the character
+    least = np.minimum.accumulate(total[:-1])
+    return most - least >= cost - 1e-3
+
+
 def best_tags(s: np.ndarray, offs: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Best tags of texts whose scores (T, TAGS) lie one behind the other, text k from offs[k] to offs[k + 1]."""
     tags = np.zeros(len(s), np.int64)
-    open_ = s[:, 0] - s[:, 1:].max(1) <= 2 * (step.max() - step.min())
+    open_ = possible(s, offs, step)
     edge = np.zeros(len(s) + 1, bool)
     edge[offs] = True
     before, after = np.concatenate(([False], open_[:-1])), np.concatenate((open_[1:], [False]))
@@ -423,11 +453,10 @@ def stitched(p: dict[str, np.ndarray], texts: list[str]) -> tuple[np.ndarray, np
     cuts = [*range(0, whole, WINDOWS), *range(whole, len(first), WINDOWS), len(first)]
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         at, n = first[lo:hi], size[lo:hi]
-        steps = np.arange(n[0])[:, None]
-        place = np.minimum(at + steps, len(x) - 1)
-        s = scores(p, x[place], n)
-        zone = (steps >= lo_zone[lo:hi]) & (steps < hi_zone[lo:hi])
-        out[place[zone]] = s[zone]
+        place = np.minimum(at + np.arange(n[0])[:, None], len(x) - 1)
+        each = np.ascontiguousarray(scores(p, x[place], n).swapaxes(0, 1))
+        for k, (start, a, b) in enumerate(zip(at.tolist(), lo_zone[lo:hi].tolist(), hi_zone[lo:hi].tolist(), strict=True)):
+            out[start + a:start + b] = each[k, a:b]
     return out, offs
 
 
