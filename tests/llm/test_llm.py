@@ -143,6 +143,17 @@ def test_quality_base_matches_brute_force(docs, texts, odd, empty):
     assert quality.with_verdict(empty, model).count() == 0
 
 
+def test_quality_verdict_can_be_filtered(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    verdict = quality.with_verdict(docs.withColumn("__words", F.lit(1)), quality.fit(docs, labels))
+    every = {r.doc_id: r for r in verdict.collect()}
+    kept = verdict.where("kept and not base_failed")
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in every.items() if r.kept}
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter (") < plan.index("Generate")  # the filter reads finished columns
+    assert plan.count("Generate inline") == 3  # words, hashes and windows once a row each
+
+
 def test_quality_separates_the_labels(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = quality.with_verdict(docs, quality.fit(docs, labels)).where("not base_failed").join(labels, "doc_id").collect()
@@ -177,6 +188,20 @@ def test_base_spans_match_the_patterns(text):
     assert pii.base_spans(text) == brute_pii(text)
 
 
+def test_best_tags_are_those_of_the_whole_text():
+    rng = np.random.default_rng(3)
+    for k in range(400):
+        offs = np.concatenate(([0], np.cumsum(rng.integers(0, 12, rng.integers(1, 6)))))
+        scores = rng.normal(0, 2, (offs[-1], pii.TAGS))
+        scores[:, 0] += k % 4
+        step = rng.normal(0, 2, (pii.TAGS, pii.TAGS)) + np.eye(pii.TAGS) * (k % 3)
+        if not offs[-1]:
+            continue
+        got = pii.best_tags(scores, offs, step)
+        for lo, hi in zip(offs[:-1], offs[1:], strict=True):
+            assert lo == hi or (pii.viterbi(scores[None, lo:hi], step)[0] == got[lo:hi]).all()
+
+
 def test_model_adds_rewritten_forms_and_leaves_prose_alone(spark):
     rng = np.random.default_rng(5)
     prose = "thing of the inner hand and ered onto then".split()
