@@ -200,7 +200,12 @@ def _states(p, side, x, active):
     return out
 
 
-def scores(p: dict[str, np.ndarray], x: np.ndarray, size: np.ndarray) -> np.ndarray:
+def scores(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """Tag scores (N, T, TAGS) of windows of symbols (N, T), all of them whole."""
+    return window_scores(p, x.T, np.full(len(x), x.shape[1])).swapaxes(0, 1)
+
+
+def window_scores(p: dict[str, np.ndarray], x: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Tag scores (T, N, TAGS) of windows of symbols (T, N), longest first, of which the first ``size`` count."""
     steps, full = np.arange(x.shape[0]), size[-1] == x.shape[0]
     active = np.full(len(steps), x.shape[1]) if full else np.searchsorted(-size, -steps, "left")
@@ -454,7 +459,7 @@ def stitched(p: dict[str, np.ndarray], texts: list[str]) -> tuple[np.ndarray, np
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         at, n = first[lo:hi], size[lo:hi]
         place = np.minimum(at + np.arange(n[0])[:, None], len(x) - 1)
-        each = np.ascontiguousarray(scores(p, x[place], n).swapaxes(0, 1))
+        each = np.ascontiguousarray(window_scores(p, x[place], n).swapaxes(0, 1))
         for k, (start, a, b) in enumerate(zip(at.tolist(), lo_zone[lo:hi].tolist(), hi_zone[lo:hi].tolist(), strict=True)):
             out[start + a:start + b] = each[k, a:b]
     return out, offs

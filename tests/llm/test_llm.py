@@ -162,6 +162,42 @@ def test_quality_separates_the_labels(spark, docs):
     assert quality.fit(docs, none).threshold == -float("inf")
 
 
+def test_quality_counts_every_labelled_document(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 300, 12))) for i in range(10_300)]
+    docs, labels = frame(spark, rows), spark.range(len(rows)).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert set(quality.fit(docs, labels).weights) == {0.0}  # all are good, so the target is the corpus
+    good, bad = " ".join(f"good{i}" for i in range(60)), " ".join(f"bad{i}" for i in range(60))
+    docs = frame(spark, [(i, f"{good if i % 3 else bad} x{i % 4}") for i in range(60)])
+    labels = spark.range(10, 90).select(F.col("id").alias("doc_id"), (F.col("id") % 3 != 0).cast("int").alias("quality"))
+    model = quality.fit(docs, labels.union(labels))
+    rows = quality.with_verdict(docs, model).collect()
+    assert all(r.kept == bool(r.doc_id % 3) for r in rows)
+    monkeypatch.setattr(quality, "BROADCAST_LABELS", 0)
+    assert quality.fit(docs, labels) == model
+
+
+def best_cut(scored):
+    good, bad = [s for s, q in scored if q == 1], [s for s, q in scored if q == 0]
+    every, best, cut = sorted({*good, *bad}), 0, -float("inf")
+    for k, s in enumerate(every if good and bad else []):
+        gain = sum(x <= s for x in bad) * len(good) - 5 * sum(x <= s for x in good) * len(bad)
+        if gain > best:
+            best, cut = gain, (s + (every[k + 1] if k + 1 < len(every) else s + 1)) / 2
+    return cut
+
+
+def test_threshold_is_the_best_cut_of_all_scores(spark):
+    rng = np.random.default_rng(6)
+    for n, digits, apart in ((0, 3, 0), (40, 1, 1), (400, 4, 0.02), (400, 2, 3), (300, 3, -1)):
+        quality_of = rng.integers(0, 2, n)
+        scores = np.round(rng.normal(0, 1, n) + apart * quality_of, digits)
+        scored = [(float(s), int(q)) for s, q in zip(scores, quality_of, strict=True)]
+        for rows in (scored, [r for r in scored if r[1]], scored + [(9.5, 2)]):
+            got = quality.threshold_of(spark.createDataFrame(rows, "s double, quality int"))
+            assert got == best_cut(rows)
+
+
 # --- personal data ---
 
 def brute_pii(text):
