@@ -11,7 +11,7 @@ executor re-reads the files instead of recomputing the feature pipeline).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
@@ -33,6 +33,7 @@ from ..operators.features import (
 from ..operators.metrics import paired_by_patient, purity
 from ..operators.moments import feature_moments, gram_blocks, matrix_of, moment_arrays
 from ..session import materialize as materialize_table
+from ..session import together
 from ..streaming.kmeans import assign, random_centres, update
 from .subspace import LinearProjection, fit_subspace
 
@@ -56,17 +57,18 @@ class FeatureSpace:
     n_features: int
 
 
-def build_feature_space(tuples: DataFrame, materialize: bool = True) -> FeatureSpace:
+def build_feature_space(tuples: DataFrame, materialize: bool = True, written: bool = False) -> FeatureSpace:
     """Index, long matrix and sparse patient vectors from feature tuples.
 
     The tuples feed the index, its size and the vectors. With ``materialize``
     they are written once under ``spark.checkpoint.dir``, and so are the
     vectors: the aggregated tuples are far smaller than the raw events, so
     writing them beats re-running the event scans and joins for every
-    consumer, and a lost executor re-reads them. The long matrix lists the
+    consumer, and a lost executor re-reads them. Tuples that are rows of a
+    ``written`` table already are read from there. The long matrix lists the
     vectors' entries, so neither join nor shuffle is repeated for it.
     """
-    if materialize:
+    if materialize and not written:
         tuples = materialize_table(tuples, "feature-tuples")
     # The index reads its ranks from a table written once (see feature_index).
     index = feature_index(tuples)
@@ -206,17 +208,17 @@ def streaming_kmeans_clusters(projection: DataFrame, k: int = K_CLUSTERS, seed:
 
 
 def evaluate(labels: DataFrame, space: FeatureSpace, feature_set: str) -> DataFrame:
-    """Three purities for one feature set: ``(feature_set, algorithm, n_pairs, purity)``."""
+    """Three purities for one feature set: ``(feature_set, algorithm, n_pairs, purity)``.
+
+    The fits do not depend on each other and run side by side.
+    """
     _, projection = fit_projection(space)
-    runs = {
-        "kmeans": kmeans_clusters(projection),
-        "gmm": gmm_clusters(projection),
-        "streaming_kmeans": streaming_kmeans_clusters(projection),
-    }
+    runs = {"kmeans": kmeans_clusters, "gmm": gmm_clusters, "streaming_kmeans": streaming_kmeans_clusters}
+    clusters = together(*[partial(fit, projection) for fit in runs.values()])
     rows = [
-        purity(paired_by_patient(clusters, labels)).select(
+        purity(paired_by_patient(found, labels)).select(
             F.lit(feature_set).alias("feature_set"), F.lit(name).alias("algorithm"), "n_pairs", "purity")
-        for name, clusters in runs.items()
+        for name, found in zip(runs, clusters, strict=True)
     ]
     return reduce(DataFrame.unionByName, rows)
 
@@ -226,11 +228,13 @@ def purity_report(labels: DataFrame, tagged: DataFrame, allow_codes: Allow = Non
     """Six purities: k-means, GMM, streaming k-means on all and on allow-listed features.
 
     ``tagged`` are the domain-tagged tuples; they are written once and both
-    arms read that table. The labels are joined six times, so they are written
-    once too. The events are read twice in all: for the labels and the tuples.
+    arms read that table, side by side. The labels are joined six times, so they
+    are written once too. The events are read twice in all: for the labels and the tuples.
     """
     labels = materialize_table(labels.select("patient_id", "label"), "labels")
     tagged = materialize_table(tagged, "tagged-tuples")
     arms = (("all", tagged.select("patient_id", "feature", "value")),
             ("filtered", allowed_tuples(tagged, allow_codes, allow_drugs, allow_labs, case_insensitive)))
-    return reduce(DataFrame.unionByName, [evaluate(labels, build_feature_space(tuples), name) for name, tuples in arms])
+    return reduce(DataFrame.unionByName, together(*[
+        lambda name=name, tuples=tuples: evaluate(labels, build_feature_space(tuples, written=True), name)
+        for name, tuples in arms]))

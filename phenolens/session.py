@@ -10,9 +10,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "phenolens", extra: dict | None = None) -> SparkSession:
@@ -91,3 +97,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     later filters. The folder name is unique per call.
     """
     return df.sparkSession.read.parquet(written_path(df, label))
+
+
+def together(*calls: Callable[[], T]) -> list[T]:
+    """Results of the calls, whose Spark jobs run side by side: stages of few tasks leave cores to the others'."""
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [run.result() for run in [pool.submit(inheritable_thread_target(call)) for call in calls]]

@@ -1,11 +1,18 @@
 """Scaler + PCA + clusterers on the sf0.001 feature space (rows-only style checks)."""
 
+import threading
+
 import numpy as np
 import pytest
 
 from phenolens.operators import cohort, features, moments
 from phenolens.plans import clustering, given, saved_model, subspace
-from phenolens.rules import SYNTHETIC_RULES
+from phenolens.rules import (
+    SYNTHETIC_ALLOWED_CODES,
+    SYNTHETIC_ALLOWED_DRUGS,
+    SYNTHETIC_ALLOWED_LABS,
+    SYNTHETIC_RULES,
+)
 from phenolens.sources import synthetic_event_tables
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -58,6 +65,30 @@ def test_purity_report(spark, space):
         assert r.n_pairs == 148 and 1 / 3 <= r.purity <= 1
 
 
+def test_purity_report_runs_its_fits_side_by_side(spark, space, monkeypatch):
+    t, _ = space
+    meet, labels_written = threading.Barrier(2, timeout=120), []
+    inner, write = clustering.gmm_clusters, clustering.materialize_table
+
+    def gmm_of_both_arms(projection):
+        meet.wait()  # breaks unless both arms get here at once
+        return inner(projection)
+
+    def recorded(df, label):
+        labels_written.append(label)
+        return write(df, label)
+
+    monkeypatch.setattr(clustering, "gmm_clusters", gmm_of_both_arms)
+    monkeypatch.setattr(clustering, "materialize_table", recorded)
+    rep = clustering.purity_report(
+        cohort.phenotype(t, SYNTHETIC_RULES), features.tagged_tuples(t), allow_codes=SYNTHETIC_ALLOWED_CODES,
+        allow_drugs=SYNTHETIC_ALLOWED_DRUGS, allow_labs=SYNTHETIC_ALLOWED_LABS).collect()
+    assert [(r.feature_set, r.algorithm) for r in rep] == [
+        (arm, fit) for arm in ("all", "filtered") for fit in ("kmeans", "gmm", "streaming_kmeans")]
+    assert all(0 < r.purity <= 1 for r in rep)
+    assert labels_written.count("tagged-tuples") == 1 and "feature-tuples" not in labels_written
+
+
 @pytest.fixture(scope="module")
 def ml_scores(space):
     _, sp = space
