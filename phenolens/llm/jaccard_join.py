@@ -9,8 +9,8 @@ pass all of them before its full sets are compared:
 * order 1, the token hash, on single sets. Of the first
   ``|x| - t|x| + l`` tokens (``l`` a ``MARGIN`` share of the set) a linked pair
   shares at least ``l``, so a set fewer of whose first tokens occur in any other
-  set has no partner. What remains is a small part of the corpus; the others
-  are not looked at again.
+  set has no partner. What remains is a small part of the corpus, of which one
+  document of each class is read again.
 * order 2, document frequency among the sets that are left, rarest first, on
   pairs. A pair is a candidate if it shares a token and no more tokens stand
   before that one than a link allows, in either set: with positions i and j,
@@ -110,14 +110,20 @@ def _lists(at: np.ndarray, value: np.ndarray, rows: int) -> pa.ListArray:
 
 
 def with_partners(sets: DataFrame, percent: int) -> DataFrame:
-    """doc_id of the sets that order 1 leaves: enough of their first tokens occur in another class too."""
-    first = sets.where("n > 0 and doc_id is not null").select("doc_id", "cls", "n", F.explode("first").alias("token"))
+    """doc_id of one document of each class that order 1 leaves: enough of its first tokens occur in another class too.
+
+    The tokens and their classes are dealt once, and both the bounds of each token and the rows
+    that have it read that exchange.
+    """
+    some = sets.where("n > 0 and doc_id is not null and cls is not null")  # the latter is implied, but makes both plans equal
+    first = some.select(F.explode("first").alias("token"), "cls").repartition("token")
     shared = (first.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
               .where("lo < hi").select("token").hint("shuffle_hash"))
-    found = first.select("token", "doc_id", "n").join(shared, "token").groupBy("doc_id").agg(
-        F.count("*").alias("found"), F.min("n").alias("n"))
+    # Copies repeat the rows of their class.
+    found = first.join(shared, "token").distinct().groupBy("cls").agg(F.count("*").alias("found"))
+    classes = some.groupBy("cls").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
     # The partner is at least percent of this set in size, and so is its margin of this one's.
-    return found.where(F.col("found") >= up(MARGIN, up(percent, F.col("n")))).select("doc_id")
+    return classes.join(found, "cls").where(F.col("found") >= up(MARGIN, up(percent, F.col("n")))).select("doc_id").distinct()
 
 
 def of_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -160,6 +160,16 @@ def test_join_equals_brute_force_on_groups_of_near_copies(spark, percent):
     assert rows_key(tuple(r) for r in got.collect()) == rows_key(brute_join(rows, percent))
 
 
+def test_partners_are_found_by_one_exchange_of_the_tokens(spark):
+    rows = [(1, "a b c d e f g"), (1, "other text of the id one"), (2, "A b c d e f g"), (3, "a b c d e f h"), (4, "alone is this text here"), (5, None)]
+    sets = frame(spark, rows).mapInArrow(  # so low a percentage that all tokens are first ones
+        jaccard_join.set_batches(10, True), "doc_id long, n long, cls long, first array<long>").localCheckpoint()
+    found = jaccard_join.with_partners(sets, 10)
+    assert sorted(r.doc_id for r in found.collect()) == [1, 3]  # the least id of each class
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") >= 1 and "ReusedExchange [token" in plan
+
+
 def test_join_of_an_empty_table(spark):
     assert jaccard_join.join_components(frame(spark, [])).count() == 0
     none = jaccard_join.join_components(frame(spark, [(1, None), (2, " ")])).collect()
