@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,8 @@ REACH = 256
 SIDE = 16
 #: Chunk hashes that a task combines at a time, and bits of the table of repeated ones (16 MB).
 HELD, MARK_BITS = 1 << 20, 1 << 27
+#: Text bytes, and repeated chunks, that a task takes from a batch at a time: Python objects are made of no more.
+SLICE_BYTES, SLICE_SPANS = 1 << 18, 1 << 13
 #: Of a word cut by the end of a run, at most so many bytes are given back.
 WORD_BYTES = 24
 
@@ -129,7 +132,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     for batch in batches:
-        for _, _, data, offs in chunks(batch.column("text")):
+        for _, _, data, offs in chunks(batch.column("text"), SLICE_BYTES):
             _, start, end = pieces(data, offs)
             held.append(chunk_hashes(prefix_hash(data), start, end))
             if sum(map(len, held)) >= HELD:
@@ -158,7 +161,7 @@ def _chunk_batches(marks: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marks.value
         for batch in batches:
-            for lo, _, data, offs in chunks(batch.column("text")):
+            for lo, _, data, offs in chunks(batch.column("text"), SLICE_BYTES):
                 row, start, end = pieces(data, offs)
                 sums = prefix_hash(data)
                 place = chunk_hashes(sums, start, end) & np.uint64(MARK_BITS - 1)
@@ -178,6 +181,22 @@ def _chunk_batches(marks: Broadcast):
     return run
 
 
+def slices(batch: pa.RecordBatch, limit: int, texts: str | None = None, lists: str | None = None, each: int = 1) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, in order: the bytes of ``texts`` and ``each`` for every item of ``lists`` are at most ``limit``
+    together; a row that has more is a part of its own."""
+    size = np.zeros(len(batch), np.int64)
+    if texts:
+        size += pc.binary_length(batch.column(texts)).fill_null(0).to_numpy(zero_copy_only=False)
+    if lists:
+        size += each * pc.list_value_length(batch.column(lists)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    offs = np.concatenate(([0], np.cumsum(size)))
+    lo = 0
+    while lo < len(batch):
+        hi = max(int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1, lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Both ends of every run, with the same place of the first occurrence.
 
@@ -186,32 +205,50 @@ def _edge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     fewer than ``SIDE``. Runs that may meet so are a group; a group that stays below ``RUN_BYTES`` is left out.
     """
     for batch in batches:
-        out: list[tuple] = []
-        for doc, version, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "spans")), strict=True):
-            spans.sort(key=lambda s: s["start"])
-            where = [(s["first"]["doc_id"], s["first"]["version"], s["first"]["start"] - s["start"]) for s in spans]
-            at, group, least, most = 0, [], 0, -1
-            for lo, hi in merged(spans):
-                end = at
-                while end < len(spans) and spans[end]["end"] <= hi:
-                    end += 1
-                edges, grows = [], {}
-                for side, beside, order in (("start", "before", range(at, end)), ("end", "after", range(end - 1, at - 1, -1))):
-                    grows[side] = SIDE - 1
-                    for k in order[:2]:
-                        if k == order[0] or where[k] != where[order[0]]:
-                            place = spans[k][side]
-                            edges.append((doc, version, lo, hi, place, side == "end", *where[k][:2], where[k][2] + place))
-                            if spans[k][beside] == spans[k]["first"][beside]:
-                                grows[side] = REACH
-                if lo - grows["start"] > most:
-                    out += group if most - least >= RUN_BYTES else []
-                    group, least = [], lo - grows["start"]
-                group += edges
-                least, most = min(least, lo - grows["start"]), max(most, hi + grows["end"])
-                at = end
+        for part in slices(batch, SLICE_SPANS, lists="spans"):
+            yield _edges(part)
+
+
+def _edges(part: pa.RecordBatch) -> pa.RecordBatch:
+    spans = part.column("spans").flatten()
+    first = spans.field("first")
+    row = np.repeat(np.arange(len(part)), pc.list_value_length(part.column("spans")).fill_null(0).to_numpy(zero_copy_only=False))
+    order = np.lexsort((spans.field("start").to_numpy(), row))
+    row = row[order]
+    number = lambda column: column.to_numpy()[order].astype(np.int64)
+    start, end, place = number(spans.field("start")), number(spans.field("end")), number(first.field("start"))
+    # A run ends where the next chunk of the row starts behind all before it.
+    reach = np.maximum.accumulate(end + (row << 32))
+    at = np.flatnonzero(np.concatenate(([True], start[1:] + (row[1:] << 32) > reach[:-1]))) if len(row) else row
+    until = np.append(at[1:], len(row)) if len(row) else row
+    same = {side: (number(spans.field(beside)) == number(first.field(beside))).tolist() for side, beside in (("start", "before"), ("end", "after"))}
+    runs = zip(row[at].tolist(), at.tolist(), until.tolist(), start[at].tolist(), (reach[until - 1] - (row[at] << 32)).tolist(), strict=True)
+    docs, versions = part.column("doc_id").to_pylist(), part.column("version").to_pylist()
+    where = list(zip(first.field("doc_id").take(pa.array(order)).to_pylist(), first.field("version").to_numpy()[order].tolist(),
+                     (place - start).tolist(), strict=True))
+    sides = {"start": start.tolist(), "end": end.tolist()}
+    out: list[tuple] = []
+    group, least, most, last = [], 0, -1, -1
+    for k, begin, stop, lo, hi in runs:
+        if k != last:
             out += group if most - least >= RUN_BYTES else []
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(EDGES)], schema=EDGES)
+            group, least, most, last = [], 0, -1, k
+        edges, grows = [], {}
+        for side, outer, step in (("start", begin, 1), ("end", stop - 1, -1)):
+            grows[side] = SIDE - 1
+            for c in (outer, outer + step)[:stop - begin]:
+                if c == outer or where[c] != where[outer]:
+                    at_place = sides[side][c]
+                    edges.append((docs[k], versions[k], lo, hi, at_place, side == "end", *where[c][:2], where[c][2] + at_place))
+                    if same[side][c]:
+                        grows[side] = REACH
+        if lo - grows["start"] > most:
+            out += group if most - least >= RUN_BYTES else []
+            group, least = [], lo - grows["start"]
+        group += edges
+        least, most = min(least, lo - grows["start"]), max(most, hi + grows["end"])
+    out += group if most - least >= RUN_BYTES else []
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], f.type) for k, f in enumerate(EDGES)], schema=EDGES)
 
 
 EDGES = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("place", pa.int32()),
@@ -220,16 +257,17 @@ EDGES = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("lo", pa.in
 
 def _beside_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ``REACH`` bytes behind (ahead) or before places of a text."""
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
     for batch in batches:
-        out: list[tuple] = []
-        for doc, version, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "version", "text", "places")), strict=True):
-            raw = text.encode()
-            for p in places:
-                at = p["first_place"]
-                out.append((doc, version, at, p["ahead"], raw[at:at + REACH] if p["ahead"] else raw[max(0, at - REACH):at]))
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)],
-                                         names=["first_id", "first_version", "first_place", "ahead", "beside"])
+        for part in slices(batch, SLICE_BYTES, "text", "places", REACH):
+            out: list[tuple] = []
+            for doc, version, text, places in zip(*(part.column(c).to_pylist() for c in ("doc_id", "version", "text", "places")), strict=True):
+                raw = text.encode()
+                for p in places:
+                    at = p["first_place"]
+                    out.append((doc, version, at, p["ahead"], raw[at:at + REACH] if p["ahead"] else raw[max(0, at - REACH):at]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)],
+                                             names=["first_id", "first_version", "first_place", "ahead", "beside"])
 
 
 def extended(raw: bytes, edges: list) -> list[tuple[int, int]]:
@@ -267,22 +305,27 @@ def extended(raw: bytes, edges: list) -> list[tuple[int, int]]:
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for text, edges in zip(batch.column("text").to_pylist(), batch.column("edges").to_pylist(), strict=True):
-            if text is None or not edges:
-                out.append((text, 0, 0))
-                continue
-            raw, kept, at = text.encode(), [], 0
-            runs = extended(raw, edges)
-            for start, end in runs:
-                kept.append(raw[at:start])
-                at = end
-            kept.append(raw[at:])
-            out.append((b"".join(kept).decode(), sum(e - s for s, e in runs), len(runs)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row"),
-             *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64())))],
-            names=["doc_id", "row", "text", "n_removed", "n_spans"])
+        for part in slices(batch, SLICE_BYTES, "text", "edges", REACH):
+            yield _cut(part)
+
+
+def _cut(part: pa.RecordBatch) -> pa.RecordBatch:
+    out = []
+    for text, edges in zip(part.column("text").to_pylist(), part.column("edges").to_pylist(), strict=True):
+        if text is None or not edges:
+            out.append((text, 0, 0))
+            continue
+        raw, kept, at = text.encode(), [], 0
+        runs = extended(raw, edges)
+        for start, end in runs:
+            kept.append(raw[at:start])
+            at = end
+        kept.append(raw[at:])
+        out.append((b"".join(kept).decode(), sum(e - s for s, e in runs), len(runs)))
+    return pa.RecordBatch.from_arrays(
+        [part.column("doc_id"), part.column("row"),
+         *(pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64())))],
+        names=["doc_id", "row", "text", "n_removed", "n_spans"])
 
 
 def merged(spans: list) -> list[tuple[int, int]]:

@@ -314,3 +314,63 @@ def test_runs_left_out_would_not_have_been_cut(spark, docs, monkeypatch):
 
     (some, kept), (every, same) = cuts(16), cuts(10_000)
     assert some < every and kept == same and kept
+
+
+def _op9_batches(rows: int):
+    """Spans of repeated chunks, places and edges of ``rows`` texts of 2,000 bytes, as the tasks of op9 get them."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(21)
+    int32, int64, boolean = pa.int32(), pa.int64(), pa.bool_()
+    first = [("doc_id", int64), ("version", int64), ("start", int32), ("before", int32), ("after", int32)]
+    span = pa.struct([("start", int32), ("end", int32), ("before", int32), ("after", int32), ("first", pa.struct(first))])
+    edge = pa.struct([("lo", int32), ("hi", int32), ("place", int32), ("ahead", boolean), ("beside", pa.binary())])
+    place = pa.struct([("first_place", int32), ("ahead", boolean)])
+    spans, places, edges, texts = [], [], [], []
+    for k in range(rows):
+        texts.append(None if k % 50 == 7 else "".join(map(chr, rng.integers(97, 123, 2000))))
+        starts = [32 * int(x) for x in np.flatnonzero(rng.random(60) < 0.5)]
+        rng.shuffle(starts)
+        spans.append([{"start": s, "end": s + 32, "before": s % 3, "after": s % 5,
+                       "first": {"doc_id": [None, k % 9][k % 40 > 0], "version": 0, "start": s + 100 * (k % 2), "before": 0, "after": 0}} for s in starts])
+        places.append([{"first_place": s, "ahead": s % 64 == 0} for s in starts])
+        raw = (texts[-1] or "").encode()
+        edges.append([{"lo": s, "hi": s + 120, "place": s + 120, "ahead": True, "beside": raw[s + 120:s + 160]} for s in starts[:5]])
+    ids = pa.array([None if k == 3 else k for k in range(rows)], int64)
+    row = pa.array([{"c0": k} for k in range(rows)])
+    make = lambda **columns: pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    version, held = pa.array([0] * rows, int64), [t or "" for t in texts]
+    return ((substring_dedup._edge_batches, make(doc_id=ids, version=version, spans=pa.array(spans, pa.list_(span)))),
+            (substring_dedup._beside_batches, make(doc_id=ids, version=version, text=pa.array(held), places=pa.array(places, pa.list_(place)))),
+            (substring_dedup._cut_batches, make(doc_id=ids, row=row, text=pa.array(texts), edges=pa.array(edges, pa.list_(edge)))))
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+def test_op9_takes_a_batch_in_parts_of_bounded_memory(kind):
+    import tracemalloc
+
+    def peak(run, batch):
+        for _ in run(iter([batch.slice(0, 100)])):
+            pass
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    run, batch = _op9_batches(4000)[kind]
+    assert peak(run, batch) < 1.5 * peak(run, batch.slice(0, 2000))
+
+
+def test_op9_parts_change_no_result(monkeypatch):
+    import pyarrow as pa
+
+    def results(limit):
+        monkeypatch.setattr(substring_dedup, "SLICE_BYTES", limit)
+        monkeypatch.setattr(substring_dedup, "SLICE_SPANS", limit)
+        return [pa.Table.from_batches(run(iter([batch.slice(0, 0), batch.slice(100), batch.slice(0, 100)]))) for run, batch in _op9_batches(300)]
+
+    whole = results(1 << 40)
+    assert results(1) == whole and results(5000) == whole
+    assert len(whole[0]) > 300 and len(whole[1]) > 300 and sum(whole[2].column("n_removed").to_pylist()) > 300
