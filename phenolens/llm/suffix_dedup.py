@@ -173,10 +173,10 @@ def _column_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         seg, win = repeated_windows(group, table.column("lead").to_numpy().astype(np.int64), table.column("bytes").to_pylist())
         order = np.lexsort((win, seg))
         seg, win = seg[order], win[order]
-        new = np.ones(len(seg), bool)
+        new, last = np.ones(len(seg), bool), np.ones(len(seg), bool)  # both empty if no window repeats
         new[1:] = (seg[1:] != seg[:-1]) | (win[1:] != win[:-1] + 1)
-        head = np.flatnonzero(new)
-        tail = np.append(head[1:], len(seg)) - 1
+        last[:-1] = new[1:]
+        head, tail = np.flatnonzero(new), np.flatnonzero(last)
         start = table.column("start").to_numpy()[seg[head]] + win[head]
         end = table.column("start").to_numpy()[seg[head]] + win[tail] + LENGTH
         take = pa.array(seg[head])

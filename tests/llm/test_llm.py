@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from phenolens.llm import (
     bpe,
+    common,
     fingerprint,
     language_id,
     licenses,
@@ -418,6 +420,16 @@ def test_repeats_match_brute_force(spark, docs, texts, hot, monkeypatch):
     assert got == brute_repeats(rows)
 
 
+def test_equal_anchors_without_an_equal_window(spark):
+    draw = np.random.default_rng(8)
+    own = ["".join(map(chr, draw.integers(97, 123, 150))) for _ in range(6)]
+    rows = [(i, own[2 * i] + PASSAGE[:90] + own[2 * i + 1]) for i in range(3)]  # 90 bytes in common: no window, but anchors
+    hashes = [set(suffix_dedup.segments(*next(common.chunks(pa.array([t])))[2:])[4].tolist()) for _, t in rows]
+    assert set.intersection(*hashes)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert got == brute_repeats(rows) == {i: (390, 0, 0, t.encode()) for i, t in rows}
+
+
 def test_repeats_odd_rows_and_long_texts(spark, odd, empty, monkeypatch):
     assert suffix_dedup.remove_repeats(odd).count() == len(odd_rows())
     assert suffix_dedup.remove_repeats(empty).count() == 0
